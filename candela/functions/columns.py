@@ -51,20 +51,25 @@ def trading_session(ts) -> Column:
     return expr.otherwise(F.lit(S.SESSION_OTHER))
 
 
-def time_parts(ts) -> list[Column]:
-    """Calendar attributes of a minute timestamp, in dimension-table order."""
+def time_part_map(ts) -> dict[str, Column]:
+    """Calendar attributes of a minute timestamp, by name, in dimension-table order."""
     ts = _c(ts)
-    return [
-        F.year(ts).alias("year"),
-        F.month(ts).alias("month"),
-        F.dayofmonth(ts).alias("day"),
-        F.hour(ts).alias("hour"),
-        F.minute(ts).alias("minute"),
-        F.quarter(ts).alias("quarter"),
-        F.date_format(ts, "EEEE").alias("day_name"),
-        F.date_format(ts, "EEE").alias("day_name_short"),
-        F.dayofweek(ts).alias("day_of_week"),
-        F.dayofweek(ts).isin(*S.WEEKEND_DAYS).alias("is_weekend"),
-        trading_session(ts).alias("trading_session"),
-        F.to_date(ts).alias("date"),
-    ]
+    parts = {
+        "year": F.year(ts),
+        "month": F.month(ts),
+        "day": F.dayofmonth(ts),
+        "hour": F.hour(ts),
+        "minute": F.minute(ts),
+        "quarter": F.quarter(ts),
+        "day_name": F.date_format(ts, "EEEE"),
+        "day_name_short": F.date_format(ts, "EEE"),
+        "day_of_week": F.dayofweek(ts),
+        "is_weekend": F.dayofweek(ts).isin(*S.WEEKEND_DAYS),
+        "trading_session": trading_session(ts),
+        "date": F.to_date(ts),
+    }
+    return {k: v.alias(k) for k, v in parts.items()}
+
+
+def time_parts(ts) -> list[Column]:
+    return list(time_part_map(ts).values())

@@ -145,6 +145,30 @@ def bronze_from_events(events: DataFrame) -> DataFrame:
     return unify(live, arch)
 
 
+def exchange_listing(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """An exchange listing (exchange field names) derived from the tables: every event type is a
+    trading symbol quoted in the universe's quote asset; every order priority is listed too, trading
+    when its leading digit is at most 3 and quoted in BTC when that digit is 3. So the universe
+    filter keeps some and drops others, and two tradable symbols have no candles at all."""
+    ev = (events.select(F.col("event_type").alias("symbol")).distinct()
+                .select("symbol", F.lit(S.UNIVERSE_STATUS).alias("status"), F.upper("symbol").alias("baseAsset"),
+                        F.lit(S.UNIVERSE_QUOTE_ASSET).alias("quoteAsset")))
+    digit = F.substring("symbol", 1, 1)
+    od = (orders.select(F.col("o_orderpriority").alias("symbol")).distinct()
+                .select("symbol", F.when(digit <= "3", F.lit(S.UNIVERSE_STATUS)).otherwise(F.lit("HALT")).alias("status"),
+                        F.upper(F.regexp_replace("symbol", "^[0-9]-", "")).alias("baseAsset"),
+                        F.when(digit == "3", F.lit("BTC")).otherwise(F.lit(S.UNIVERSE_QUOTE_ASSET)).alias("quoteAsset")))
+    return (ev.unionByName(od)
+              .withColumns({"baseAssetPrecision": F.lit(8).cast("long"), "quotePrecision": F.lit(8).cast("long")}))
+
+
+def symbol_records_from_tables(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """Universe filter over the derived listing, listing time = first tick (fallback when none)."""
+    from candela.operators.universe import first_seen, symbol_records, tradable
+    t = ticks(events)
+    return symbol_records(tradable(exchange_listing(events, orders)), first_seen(t, "symbol", "ts"))
+
+
 def symbol_records_from_events(events: DataFrame) -> DataFrame:
     """Symbol metadata records for the event types: trading, quoted in the universe's quote asset,
     tracked from the first tick."""

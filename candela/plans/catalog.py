@@ -5,36 +5,71 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from candela import schemas as S
+from candela.operators import gaps as G
+from candela.operators import manifest as M
 from candela.operators import rollup as R
-from candela.operators.dims import dim_symbol
+from candela.operators import serve as V
+from candela.operators.dedup import first_arrival
+from candela.operators.dims import dim_symbol, dim_time_covering
 from candela.operators.fact import fact_klines
+from candela.operators.monitors import evaluate_all
 from candela.operators.rules import KLINE_RULES, failure_summary
 from candela.operators.stage import stage
+from candela.operators.universe import check_candidates, tradable
+from candela.operators.upsert import latest_per_key
 from candela.plans import adapter as A
 from candela.plans.compare import comparable
+from candela.plans.layers import stored
 
 NOT_COMPARED = ("raw_payload", "_rescued_data", "route", "version", "m")
 
 
-def _events(spark: SparkSession, d: str) -> DataFrame:
-    return A.table(spark, d, "events")
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return A.table(spark, d, name)
+
+
+# -- shared frames ---------------------------------------------------------------------------------
+
+def bronze_frame(spark, d) -> DataFrame:
+    return A.bronze_from_events(_t(spark, d, "events"))
 
 
 def staged_frame(spark, d) -> DataFrame:
-    return stage(A.bronze_from_events(_events(spark, d)))
+    """The silver staged table (built once per input folder, then read back)."""
+    def build():
+        return stage(bronze_frame(spark, d)).withColumn("candle_date", F.to_date("open_time_ts"))
+    return stored(spark, "silver_staged", d, build, partition_by=["candle_date"],
+                  sort_by=["symbol", "open_time_ts"]).drop("candle_date")
+
+
+def valid_frame(spark, d) -> DataFrame:
+    return KLINE_RULES.valid(staged_frame(spark, d))
 
 
 def dim_frame(spark, d) -> DataFrame:
-    return dim_symbol(A.symbol_records_from_events(_events(spark, d)))
+    return dim_symbol(A.symbol_records_from_tables(_t(spark, d, "events"), _t(spark, d, "orders")))
 
 
 def fact_frame(spark, d) -> DataFrame:
-    return fact_klines(KLINE_RULES.valid(staged_frame(spark, d)), dim_frame(spark, d))
+    return fact_klines(valid_frame(spark, d), dim_frame(spark, d))
+
 
+def as_of(spark, d):
+    return G.as_of_from(_t(spark, d, "events"), "ts")
+
+
+# -- queries ---------------------------------------------------------------------------------------
 
 def q_bars_1m(spark, d):
-    return comparable(A.bars(_events(spark, d)))
+    return comparable(A.bars(_t(spark, d, "events")))
+
+
+def q_bronze_union(spark, d):
+    b = bronze_frame(spark, d)
+    return comparable(b.withColumn("rescued", F.col(S.RESCUE_COLUMN).isNotNull()), drop=NOT_COMPARED)
 
 
 def q_staged(spark, d):
@@ -42,7 +77,7 @@ def q_staged(spark, d):
 
 
 def q_rules_valid(spark, d):
-    return comparable(KLINE_RULES.valid(staged_frame(spark, d)), drop=NOT_COMPARED)
+    return comparable(valid_frame(spark, d), drop=NOT_COMPARED)
 
 
 def q_rules_quarantine(spark, d):
@@ -53,10 +88,30 @@ def q_rules_summary(spark, d):
     return failure_summary(KLINE_RULES.quarantine(staged_frame(spark, d)))
 
 
+def q_upsert_scd1(spark, d):
+    return comparable(latest_per_key(valid_frame(spark, d)), drop=NOT_COMPARED)
+
+
+def q_dedup_first(spark, d):
+    return comparable(first_arrival(valid_frame(spark, d).filter(F.col("is_final"))), drop=NOT_COMPARED)
+
+
+def q_universe_filter(spark, d):
+    listing = A.exchange_listing(_t(spark, d, "events"), _t(spark, d, "orders"))
+    kept, dropped = check_candidates(listing, tradable(listing))
+    cols = ["symbol", "status", F.col("quoteAsset").alias("quote_asset")]
+    return (kept.select(*cols, F.lit("kept").alias("decision"))
+                .unionByName(dropped.select(*cols, F.lit("dropped").alias("decision"))))
+
+
 def q_dim_symbol(spark, d):
     return dim_frame(spark, d)
 
 
+def q_dim_time_month(spark, d):
+    return comparable(dim_time_covering(A.ticks(_t(spark, d, "events")), "ts"))
+
+
 def q_fact_bars(spark, d):
     return comparable(fact_frame(spark, d))
 
@@ -69,15 +124,104 @@ def q_rollup_daily(spark, d):
     return comparable(R.daily_summary(fact_frame(spark, d)))
 
 
+def q_rollup_lineitem_daily(spark, d):
+    li = _t(spark, d, "lineitem")
+    qty = F.col("l_quantity").cast(S.PRICE)
+    src = li.select("l_partkey", F.col("l_shipdate").cast("timestamp").alias("l_shipdate"),
+                    qty.alias("volume"), F.col("l_extendedprice").cast(S.PRICE).alias("quote"),
+                    F.when(F.col("l_returnflag") == "R", qty).otherwise(F.lit(0)).alias("taker"))
+    return comparable(R.rollup(src, "day", key="l_partkey", ts="l_shipdate", ohlc=False, volume="volume",
+                               quote="quote", trades=None, taker="taker"))
+
+
+def q_gap_report(spark, d):
+    return comparable(G.gap_report(fact_frame(spark, d), dim_frame(spark, d), as_of(spark, d)))
+
+
+def q_gap_report_today(spark, d):
+    return comparable(G.gap_report(fact_frame(spark, d), dim_frame(spark, d), as_of(spark, d), include_today=True))
+
+
+def q_gap_runs(spark, d):
+    return comparable(G.gap_runs(fact_frame(spark, d), dim_frame(spark, d), as_of(spark, d)))
+
+
+def q_monitors(spark, d):
+    now = as_of(spark, d)
+    gaps = G.gap_report(fact_frame(spark, d), dim_frame(spark, d), now)
+    return evaluate_all(bronze_frame(spark, d), KLINE_RULES.quarantine(staged_frame(spark, d)), gaps, now)
+
+
+def _orders_calendar(spark, d):
+    o = _t(spark, d, "orders")
+    listings = o.groupBy(F.col("o_orderpriority").alias("symbol")).agg(F.min("o_orderdate").alias("first_ts"))
+    months = o.select(F.col("o_orderpriority").alias("symbol"), F.year("o_orderdate").alias("year"),
+                      F.month("o_orderdate").alias("month")).distinct()
+    landed = months.filter((F.col("year") * 12 + F.col("month")) % 7 != 0)
+    now = o.agg(F.max("o_orderdate").alias("t")).first()["t"]
+    return listings, months, landed, now
+
+
+def q_backfill_manifest(spark, d):
+    listings, _, landed, now = _orders_calendar(spark, d)
+    return M.to_fetch(M.month_series(listings, now), landed)
+
+
+def q_ingest_status(spark, d):
+    listings, months, landed, now = _orders_calendar(spark, d)
+    return M.status_summary(M.month_status(M.month_series(listings, now), landed, months))
+
+
+def _daily(spark, d):
+    return R.daily_summary(fact_frame(spark, d))
+
+
+def q_daily_price_action(spark, d):
+    return comparable(V.daily_price_action(_daily(spark, d)))
+
+
+def q_market_sentiment(spark, d):
+    return comparable(V.market_sentiment(fact_frame(spark, d)))
+
+
+def q_volatility_rank(spark, d):
+    return comparable(V.volatility_rank(_daily(spark, d)))
+
+
+def q_volume_analysis(spark, d):
+    return comparable(V.volume_analysis(fact_frame(spark, d)))
+
+
+def q_session_breakdown(spark, d):
+    return comparable(V.session_breakdown(fact_frame(spark, d)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "bars_1m": q_bars_1m,
+        "bronze_union": q_bronze_union,
         "staged": q_staged,
         "rules_valid": q_rules_valid,
         "rules_quarantine": q_rules_quarantine,
         "rules_summary": q_rules_summary,
+        "upsert_scd1": q_upsert_scd1,
+        "dedup_first": q_dedup_first,
+        "universe_filter": q_universe_filter,
         "dim_symbol": q_dim_symbol,
+        "dim_time_month": q_dim_time_month,
         "fact_bars": q_fact_bars,
         "rollup_hourly": q_rollup_hourly,
         "rollup_daily": q_rollup_daily,
+        "rollup_lineitem_daily": q_rollup_lineitem_daily,
+        "gap_report": q_gap_report,
+        "gap_report_today": q_gap_report_today,
+        "gap_runs": q_gap_runs,
+        "monitors": q_monitors,
+        "backfill_manifest": q_backfill_manifest,
+        "ingest_status": q_ingest_status,
+        "daily_price_action": q_daily_price_action,
+        "market_sentiment": q_market_sentiment,
+        "volatility_rank": q_volatility_rank,
+        "volume_analysis": q_volume_analysis,
+        "session_breakdown": q_session_breakdown,
     }

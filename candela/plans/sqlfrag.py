@@ -38,3 +38,10 @@ def pct(num: str, den: str) -> str:
     q19 = rdiv(f"({n} * CAST({10 ** 19} AS HUGEINT))", d)
     p15 = rdiv(f"({q19} * 100)", str(10 ** 4))
     return f"(CASE WHEN ({den}) = 0 OR ({den}) IS NULL OR ({num}) IS NULL THEN NULL ELSE {to6(p15, 15)} END)"
+
+
+def ratio_q(num: str, den: str, scale: int) -> str:
+    """Spark's exact quotient num/den at ``scale`` as a HUGEINT (for ordering by the exact value)."""
+    n, d = units(num), units(den)
+    return (f"(CASE WHEN ({den}) = 0 OR ({den}) IS NULL OR ({num}) IS NULL THEN NULL ELSE "
+            f"{rdiv(f'({n} * CAST({10 ** scale} AS HUGEINT))', d)} END)")

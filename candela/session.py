@@ -34,6 +34,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     b = SparkSession.builder.appName(app_name)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            b = b.config("spark.driver.memory", os.environ.get("CANDELA_DRIVER_MEMORY", "16g"))
     conf = dict(BASE_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
