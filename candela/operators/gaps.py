@@ -35,6 +35,9 @@ def _ts(v: dt.datetime):
 def present_minutes(fact: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
     """Distinct (symbol_id, minute) of the fact inside the window. The literal bounds reach the
     scan (date-partition pruning / row-group skipping on a stored fact)."""
+    if "fact_date" in fact.columns:  # stored fact: prune date partitions too
+        fact = fact.filter(F.col("fact_date").between(F.lit(start.date().isoformat()).cast("date"),
+                                                      F.lit(end.date().isoformat()).cast("date")))
     return (fact.filter((F.col("timestamp_key") >= _ts(start)) & (F.col("timestamp_key") < _ts(end)))
                 .select("symbol_id", F.date_trunc("minute", "timestamp_key").alias("minute"))
                 .dropDuplicates())

@@ -50,11 +50,16 @@ def valid_frame(spark, d) -> DataFrame:
 
 
 def dim_frame(spark, d) -> DataFrame:
-    return dim_symbol(A.symbol_records_from_tables(_t(spark, d, "events"), _t(spark, d, "orders")))
+    """The gold symbol dimension (stored)."""
+    return stored(spark, "gold_dim_symbol", d,
+                  lambda: dim_symbol(A.symbol_records_from_tables(_t(spark, d, "events"), _t(spark, d, "orders"))))
 
 
 def fact_frame(spark, d) -> DataFrame:
-    return fact_klines(valid_frame(spark, d), dim_frame(spark, d))
+    """The gold fact (stored, partitioned by ``fact_date`` and sorted by symbol and minute)."""
+    def build():
+        return fact_klines(valid_frame(spark, d), dim_frame(spark, d)).withColumn("fact_date", F.to_date("timestamp_key"))
+    return stored(spark, "gold_fact", d, build, partition_by=["fact_date"], sort_by=["symbol_id", "timestamp_key"])
 
 
 def as_of(spark, d):
@@ -113,7 +118,7 @@ def q_dim_time_month(spark, d):
 
 
 def q_fact_bars(spark, d):
-    return comparable(fact_frame(spark, d))
+    return comparable(fact_frame(spark, d).drop("fact_date"))
 
 
 def q_rollup_hourly(spark, d):

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from candela.session import scratch_path
 
-_LOCK = threading.Lock()
+_LOCK = threading.RLock()
 _MEMO: dict[tuple, str] = {}
 
 
