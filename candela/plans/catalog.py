@@ -23,6 +23,8 @@ from candela.operators.upsert import latest_per_key
 from candela.plans import adapter as A
 from candela.plans.compare import comparable
 from candela.plans.layers import stored
+from candela.session import scratch_path
+from candela.streaming import runner as ST
 
 NOT_COMPARED = ("raw_payload", "_rescued_data", "route", "version", "m")
 
@@ -34,7 +36,10 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 # -- shared frames ---------------------------------------------------------------------------------
 
 def bronze_frame(spark, d) -> DataFrame:
-    return A.bronze_from_events(_t(spark, d, "events"))
+    """The bronze table: both routes unified (stored, partitioned by ingestion date)."""
+    def build():
+        return A.bronze_from_events(_t(spark, d, "events")).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
+    return stored(spark, "bronze", d, build, partition_by=["ingest_date"]).drop("ingest_date")
 
 
 def staged_frame(spark, d) -> DataFrame:
@@ -201,6 +206,56 @@ def q_session_breakdown(spark, d):
     return comparable(V.session_breakdown(fact_frame(spark, d)))
 
 
+# -- streaming ------------------------------------------------------------------------------------
+
+def _feed_in_chunks(spark, rows: DataFrame, date_col, input_dir: str, run_once, n: int = 3) -> None:
+    """Append ``rows`` to a stream's input folder in ``n`` consecutive date ranges and run the
+    stream incrementally after each (one scheduled refresh per range)."""
+    day = F.datediff(date_col, F.lit("1970-01-01"))
+    b = rows.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    span = b.hi - b.lo + 1
+    chunk = F.floor((day - F.lit(b.lo)) * n / F.lit(span))
+    for k in range(n):
+        rows.filter(chunk == k).write.mode("append").parquet(input_dir)
+        run_once()
+
+
+def q_stream_scd1(spark, d):
+    base = scratch_path(spark, "stream-scd1")
+    bronze = bronze_frame(spark, d)
+    inp, clean, quar = f"{base}/input", f"{base}/clean", f"{base}/quarantine"
+
+    def run_once():
+        src = stage(spark.readStream.schema(bronze.schema).parquet(inp))
+        ST.run(src, f"{base}/_ckpt", foreach_batch=ST.silver_batch_writer(clean, quar))
+    _feed_in_chunks(spark, bronze, F.to_date("ingestion_timestamp"), inp, run_once)
+    return comparable(spark.read.parquet(clean).drop(ST.DATE_COL), drop=NOT_COMPARED)
+
+
+def q_stream_fact(spark, d):
+    base = scratch_path(spark, "stream-fact")
+    bronze, dim = bronze_frame(spark, d), dim_frame(spark, d)
+    inp, fact = f"{base}/input", f"{base}/fact"
+
+    def run_once():
+        src = KLINE_RULES.valid(stage(spark.readStream.schema(bronze.schema).parquet(inp)))
+        ST.run(src, f"{base}/_ckpt", foreach_batch=ST.fact_batch_writer(fact, dim))
+    _feed_in_chunks(spark, bronze, F.to_date("ingestion_timestamp"), inp, run_once)
+    return comparable(spark.read.parquet(fact).drop(ST.DATE_COL))
+
+
+def q_stream_hourly_final(spark, d):
+    base = scratch_path(spark, "stream-hourly")
+    fact = fact_frame(spark, d).drop("fact_date")
+    inp, out = f"{base}/input", f"{base}/hourly"
+
+    def run_once():
+        src = ST.hourly_final(spark.readStream.schema(fact.schema).parquet(inp))
+        ST.run(src, f"{base}/_ckpt", sink_path=out)
+    _feed_in_chunks(spark, fact, F.to_date("timestamp_key"), inp, run_once)
+    return comparable(spark.read.parquet(out))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "bars_1m": q_bars_1m,
@@ -229,4 +284,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "volatility_rank": q_volatility_rank,
         "volume_analysis": q_volume_analysis,
         "session_breakdown": q_session_breakdown,
+        "stream_scd1": q_stream_scd1,
+        "stream_fact": q_stream_fact,
+        "stream_hourly_final": q_stream_hourly_final,
     }

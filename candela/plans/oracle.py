@@ -145,6 +145,12 @@ def oracles() -> dict[str, str]:
     q["rollup_hourly"] = with_adapter(rollup_sql("fact", "symbol_id", "date_trunc('hour', timestamp_key)", "hour_start"))
     q["rollup_daily"] = with_adapter(rollup_sql("fact", "symbol_id", "CAST(timestamp_key AS DATE)", "date"))
     q.update(more_oracles())
+    # Streams end equal to their batch forms; the hourly stream holds back hours whose end plus
+    # the 5-minute delay is past the last event time seen.
+    q["stream_scd1"] = q["upsert_scd1"]
+    q["stream_fact"] = q["fact_bars"]
+    q["stream_hourly_final"] = (q["rollup_hourly"] +
+        "\nWHERE hour_start + INTERVAL 65 MINUTE <= (SELECT max(timestamp_key) FROM fact)")
     return q
 
 
