@@ -39,6 +39,8 @@ def read_csv_archives(spark: SparkSession, path: str, streaming: bool = False,
     bounds each batch. ``symbol``/``year`` path segments are not used as partition columns:
     the symbol is taken from the file path so a malformed path yields NULL.
     """
+    # Field-count checks need every field parsed (see session.BASE_CONF).
+    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("csv").schema(S.CSV_SCHEMA).options(**CSV_OPTIONS)
     if streaming and max_files_per_trigger:
