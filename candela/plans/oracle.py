@@ -58,7 +58,7 @@ staged0 AS (
                           year(open_time_ts), month(open_time_ts)) END AS source_file,
          CASE WHEN m % 101 <> 0 THEN open_time_ts END AS open_time_ts,
          open_time_ts + CASE WHEN symbol = 'click' THEN INTERVAL 59999999 MICROSECOND ELSE INTERVAL 59999 MILLISECOND END AS close_time_ts,
-         m % 89 = 0 AS rescued, route, version, m, close AS v_close, volume AS v_volume
+         m % 89 = 0 AS rescued, route, version, m, close AS v_close, volume AS v_volume, open_time_ts AS v_ts
   FROM versions),
 staged AS (
   SELECT *, CAST(high - low AS DECIMAL(19,8)) AS price_range,
@@ -147,6 +147,11 @@ def oracles() -> dict[str, str]:
     q.update(more_oracles())
     # Streams end equal to their batch forms; the hourly stream holds back hours whose end plus
     # the 5-minute delay is past the last event time seen.
+    zip_cols = BRONZE_COLS.replace("is_final, ingestion_timestamp, source_system, source_file, rescued", (
+        "TRUE AS is_final, 'spot_archive_rest' AS source_system, "
+        "printf('raw_klines/symbol=%s/year=%d/month=%02d.csv', coalesce(symbol, ''), year(v_ts), month(v_ts)) "
+        "AS source_file, rescued"))
+    q["zip_archives"] = with_adapter(f"SELECT {zip_cols} FROM staged0 WHERE version = 'final'")
     q["stream_scd1"] = q["upsert_scd1"]
     q["stream_fact"] = q["fact_bars"]
     q["stream_hourly_final"] = (q["rollup_hourly"] +

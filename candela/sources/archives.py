@@ -66,6 +66,17 @@ def archive_path(symbol: Column, year: Column, month: Column, root: str = "raw_k
     return F.format_string(f"{root}/symbol=%s/year=%d/month=%02d.csv", F.coalesce(symbol, F.lit("")), year, month)
 
 
+def write_landing(rows: DataFrame, root: str) -> None:
+    """Land archive rows as headerless CSV in ``symbol=/year=/month=`` folders (Spark names the
+    files inside each month folder; the readers above take the symbol from the path either way).
+    One shuffle groups each symbol-month into one task's output."""
+    cols = [n for n, _ in S.CSV_COLUMNS]
+    out = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in cols],
+                      "symbol", "year", "month")
+    (out.repartition("symbol", "year", "month").write.mode("append").option("header", "false")
+        .partitionBy("symbol", "year", "month").csv(root))
+
+
 # -- zipped archives ----------------------------------------------------------------------------
 
 UNZIP_SCHEMA = "path string, status string, line string"
@@ -94,6 +105,25 @@ def _unzip_batches(batches):
         yield pd.DataFrame({"path": out_path, "status": out_status, "line": out_line})
 
 
+ZIP_SCHEMA = "path string, content binary"
+
+
+def _zip_group(pdf: pd.DataFrame) -> pd.DataFrame:
+    """One archive per group (one symbol-month: at most 44,640 one-minute lines, bounded by the
+    calendar, not by data volume). Lines are ordered by open time inside the archive."""
+    pdf = pdf.sort_values("open_time")
+    buf = io.BytesIO()
+    name = pdf["path"].iloc[0]
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        z.writestr(name.rsplit("/", 1)[-1].replace(".zip", ".csv"), "\n".join(pdf["line"]) + "\n")
+    return pd.DataFrame({"path": [name], "content": [buf.getvalue()]})
+
+
+def zip_monthly(lines: DataFrame) -> DataFrame:
+    """(path, line, open_time) rows -> one zipped archive per path (grouped map over Arrow)."""
+    return lines.groupBy("path").applyInPandas(_zip_group, ZIP_SCHEMA)
+
+
 def unzip_archives(binary: DataFrame) -> DataFrame:
     """(path, content) rows -> (path, status, line). Runs in Arrow batches; with the
     ``binaryFile`` source each task reads its own group of files, so archives never pass

@@ -115,3 +115,18 @@ def test_zip_archives_first_member_and_bad_zip(spark, tmp_dir):
     rows = archive_rows(un).collect()
     assert len(rows) == 2 and {r.symbol for r in rows} == {"AAA"}
     assert rows[0].source_file.endswith("month=01.csv")
+
+
+def test_landing_writer_round_trip(spark, tmp_dir):
+    from candela.sources.archives import write_landing
+    rows = spark.createDataFrame(
+        [("AAA", 2024, 1, 1704067200000, "1.0", "2.0", "0.5", "1.5", "10", 1704067259999, "15", 7, "4", "6"),
+         ("BBB", 2024, 2, 1706745600000, "3.0", "4.0", "2.5", "3.5", "20", 1706745659999, "70", 9, "8", "28")],
+        "symbol string, year int, month int, open_time long, open string, high string, low string, close string, "
+        "volume string, close_time long, quote_asset_volume string, number_of_trades int, "
+        "taker_buy_base_vol string, taker_buy_quote_vol string")
+    write_landing(rows, f"{tmp_dir}/landing")
+    back = read_csv_archives(spark, f"{tmp_dir}/landing").collect()
+    assert sorted((r.symbol, r.open_time, r.close, r._rescued_data) for r in back) == [
+        ("AAA", 1704067200000, "1.5", None), ("BBB", 1706745600000, "3.5", None)]
+    assert all("/year=" in r.source_file and "/month=" in r.source_file for r in back)
