@@ -26,6 +26,8 @@ def main() -> None:
     spark = get_spark(f"local[{cpus}]", int(cpus) * 2, app_name="candela-bench")
     spark.sparkContext.setLogLevel("ERROR")
     times: dict[str, float] = {}
+    # JVM / code-generation warm-up on a trivial job, not timed.
+    spark.range(0, 100_000, 1, int(cpus)).selectExpr("sum(id)", "count(distinct id % 7)").collect()
 
     def run(name, build):
         t0 = time.time()

@@ -98,3 +98,12 @@ def test_silver_scan_prunes_and_pushes(spark):
     assert "PartitionFilters: [isnotnull(fact_date" in plan
     assert "PushedFilters: [IsNotNull(symbol_id), EqualTo(symbol_id,3)]" in plan
     assert "ReadSchema: struct<symbol_id:int,close:decimal(18,8)>" in plan
+
+
+def test_respect_listing_skips_minutes_before_tracking_start(spark):
+    dim, fact, present = _fixture(spark)
+    start_b = T0 - dt.timedelta(days=2)
+    dim = dim.withColumn("tracking_start_ts", F.when(F.col("symbol") == "EMPTY",
+                                                     F.lit(start_b.strftime("%Y-%m-%d %H:%M:%S"))))
+    got = G.gap_report(fact, dim, T0, respect_listing=True)
+    assert got.filter(F.col("symbol") == "EMPTY").count() == 2 * 1440
