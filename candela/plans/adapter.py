@@ -137,9 +137,10 @@ def csv_lines(r: DataFrame) -> DataFrame:
                      "ingestion_timestamp"))
 
 
-def bronze_from_events(events: DataFrame) -> DataFrame:
-    """Both routes parsed by the real source parsers and unified (ingestion time = arrival rule)."""
-    r = raw(versions(bars(events)))
+def bronze_from_events(events: DataFrame, bar_rows: DataFrame | None = None) -> DataFrame:
+    """Both routes parsed by the real source parsers and unified (ingestion time = arrival rule).
+    ``bar_rows`` may be a stored copy of ``bars(events)``."""
+    r = raw(versions(bar_rows if bar_rows is not None else bars(events)))
     live = parse_messages(messages(r), "value", F.col("ingestion_timestamp"))
     arch = parse_csv_lines(csv_lines(r), "line", "path", F.col("ingestion_timestamp"))
     return unify(live, arch)

@@ -35,10 +35,16 @@ def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 # -- shared frames ---------------------------------------------------------------------------------
 
+def bars_frame(spark, d) -> DataFrame:
+    """1-minute bars from the tick table (stored: both input routes read them)."""
+    return stored(spark, "bars", d, lambda: A.bars(_t(spark, d, "events")))
+
+
 def bronze_frame(spark, d) -> DataFrame:
     """The bronze table: both routes unified (stored, partitioned by ingestion date)."""
     def build():
-        return A.bronze_from_events(_t(spark, d, "events")).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
+        return (A.bronze_from_events(_t(spark, d, "events"), bars_frame(spark, d))
+                 .withColumn("ingest_date", F.to_date("ingestion_timestamp")))
     return stored(spark, "bronze", d, build, partition_by=["ingest_date"]).drop("ingest_date")
 
 
