@@ -14,6 +14,18 @@ from pyspark.sql import functions as F
 
 from candela.session import scratch_path
 
+# Table registry: quality tier and description of each stored table (kept with the code rather
+# than in storage-engine table properties).
+TABLES = {
+    "bars": {"quality": "input", "comment": "1-minute bars built from the tick table"},
+    "bronze": {"quality": "bronze", "comment": "archive CSV rows and live messages, unified, untyped"},
+    "silver_staged": {"quality": "silver", "comment": "typed candles with derived measures, before the rules"},
+    "silver_clean": {"quality": "silver", "comment": "one current candle per (symbol, minute), upserted"},
+    "quarantine": {"quality": "quarantine", "comment": "rows failing a data-quality rule, with the rules failed"},
+    "gold_dim_symbol": {"quality": "gold", "comment": "tradable symbols with surrogate ids"},
+    "gold_fact": {"quality": "gold", "comment": "one final candle per symbol and minute"},
+}
+
 _LOCK = threading.RLock()
 _MEMO: dict[tuple, str] = {}
 
@@ -46,6 +58,10 @@ def stored(spark: SparkSession, name: str, key: str, build, partition_by=None, s
     return spark.read.parquet(path)
 
 
+def table_properties(name: str) -> dict:
+    return dict(TABLES.get(name, {}))
+
+
 def forget(spark: SparkSession | None = None) -> None:
     with _LOCK:
         _MEMO.clear()
