@@ -32,14 +32,18 @@ _MEMO: dict[tuple, str] = {}
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
                 sort_by: list[str] | None = None) -> str:
-    """Write a layer: one shuffle clusters rows by the partition columns (few, large files per
-    date rather than one small file per task and date), then rows are sorted by the key
-    columns inside each file so row-group min/max statistics skip well."""
+    """Write a layer clustered by (partition columns, key columns).
+
+    One range shuffle on the partition and key columns gives each task a contiguous key range:
+    few files per date (not one small file per task and date), no single task owning a whole date
+    (a plain hash repartition on the date would), and rows sorted by key inside each file so
+    row-group min/max statistics skip well. The number of ranges follows
+    ``spark.sql.shuffle.partitions`` and AQE merges small ones.
+    """
     out = df
-    if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
-    if sort_by:
-        out = out.sortWithinPartitions(*sort_by)
+    keys = list(partition_by or []) + list(sort_by or [])
+    if keys:
+        out = out.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

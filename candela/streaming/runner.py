@@ -54,7 +54,7 @@ def merge_into_dates(batch: DataFrame, target: str, date_expr, combine: Callable
         merged = combine(b)
     # Cut the lineage to the files being replaced before overwriting them.
     merged = merged.checkpoint(eager=True)
-    (merged.repartition(F.col(DATE_COL)).write.mode("overwrite")
+    (merged.repartitionByRange(F.col(DATE_COL)).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COL).parquet(target))
 
 
