@@ -91,13 +91,14 @@ def fact_batch_writer(fact_path: str, dim_symbol: DataFrame):
     return write
 
 
-def hourly_final(fact_stream: DataFrame, delay: str = S.HOURLY_FINAL_DELAY, key: str = "symbol_id",
+def hourly_final(fact_stream: DataFrame, delay: str | None = S.HOURLY_FINAL_DELAY, key: str = "symbol_id",
                  ts: str = "timestamp_key", width: str = "1 hour") -> DataFrame:
     """Finalised bucket summary for append mode: a bucket is emitted once, when the watermark
     (max event time - delay) passes its end; late in-bucket rows that arrive before then are
-    included. Grouping uses ``window()`` (a plain truncation is not allowed in append mode)."""
-    g = (fact_stream.withWatermark(ts, delay)
-                    .groupBy(key, F.window(ts, width).alias("w"))
+    included. Grouping uses ``window()`` (a plain truncation is not allowed in append mode).
+    ``delay=None`` keeps a watermark defined upstream (a stream may define only one)."""
+    src = fact_stream.withWatermark(ts, delay) if delay else fact_stream
+    g = (src.groupBy(key, F.window(ts, width).alias("w"))
                     .agg(F.min_by("open", ts).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
                          F.max_by("close", ts).alias("close"), F.sum("volume").alias("total_base_volume"),
                          F.sum("quote_asset_volume").alias("total_quote_volume"),
