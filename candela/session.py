@@ -22,6 +22,10 @@ BASE_CONF = {
     # Archive CSV lines with too many or too few fields must land whole in the rescue column;
     # with CSV column pruning the parser never sees the unrequested fields and cannot tell.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
+    # Streaming state (dedup keys, open windows) in RocksDB: off-heap, spills to local disk,
+    # checkpointed with the query, so large key sets do not live in executor heaps.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -57,6 +61,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def apply_sql_conf(spark: SparkSession) -> None:
+    """Apply the runtime-settable base settings to a session someone else built (static
+    settings such as the UI stay as they are)."""
+    for k, v in BASE_CONF.items():
+        if k.startswith("spark.sql."):
+            try:
+                spark.conf.set(k, v)
+            except Exception:  # noqa: BLE001 - static or unsupported in this deployment
+                pass
+    ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
