@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from candela.operators.rules import KLINE_RULES
 from candela.operators.stage import stage
-from candela.streaming.pipeline import refresh
+from candela.streaming.live import refresh
 
 
 def _land(path, lines):
