@@ -215,7 +215,7 @@ def q_session_breakdown(spark, d):
 def q_zip_archives(spark, d):
     """Final candles of the archive route packed into monthly zip archives, then read back by the
     archive decoder (first member, lines parsed with the archive CSV schema)."""
-    from candela.sources.archives import archive_path, archive_rows, unzip_archives, zip_monthly
+    from candela.sources.archives import archive_rows, unzip_archives, zip_monthly
     v = A.versions(A.bars(_t(spark, d, "events"))).filter(F.col("version") == "final")
     lines = A.csv_lines(A.raw(v).withColumn("route", F.lit("archive")))
     zips = zip_monthly(lines.select(F.regexp_replace("path", r"\.csv$", ".zip").alias("path"), "line",

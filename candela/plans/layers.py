@@ -66,6 +66,7 @@ def table_properties(name: str) -> dict:
     return dict(TABLES.get(name, {}))
 
 
-def forget(spark: SparkSession | None = None) -> None:
+def forget() -> None:
+    """Drop the build-once memo (the stored files stay; the next call writes fresh copies)."""
     with _LOCK:
         _MEMO.clear()

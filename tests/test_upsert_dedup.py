@@ -1,7 +1,6 @@
 """Keyed upsert (any arrival order / batch split gives the same table) and first-arrival dedup."""
 
 import datetime as dt
-import itertools
 import random
 
 from hypothesis import given, settings, strategies as st
