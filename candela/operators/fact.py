@@ -21,7 +21,7 @@ def final_candles(valid: DataFrame) -> DataFrame:
     return first_arrival_stream(finals) if finals.isStreaming else first_arrival(finals)
 
 
-def to_fact(candles: DataFrame, dim_symbol: DataFrame) -> DataFrame:
+def to_fact(candles: DataFrame, dim_symbol: DataFrame, processed_ts: bool = False) -> DataFrame:
     """Attach symbol_id (broadcast of the checked-size dimension, left join) and project the fact.
 
     The expectations then make an unknown symbol or a missing minute abort the job, so the left
@@ -29,10 +29,13 @@ def to_fact(candles: DataFrame, dim_symbol: DataFrame) -> DataFrame:
     """
     dim = broadcast_if_small(dim_symbol.select("symbol", "symbol_id"))
     joined = candles.join(dim, on="symbol", how="left")
+    audit = [F.current_timestamp().alias("gold_processed_ts")] if processed_ts else []
     fact = joined.select(F.col("symbol_id"), F.col("open_time_ts").alias("timestamp_key"),
-                         *FACT_MEASURES, "ingestion_timestamp", "source_system")
+                         *FACT_MEASURES, "ingestion_timestamp", "source_system", *audit)
     return expect_or_fail(fact, S.FACT_EXPECTATIONS)
 
 
-def fact_klines(valid: DataFrame, dim_symbol: DataFrame) -> DataFrame:
-    return to_fact(final_candles(valid), dim_symbol)
+def fact_klines(candles: DataFrame, dim_symbol: DataFrame, processed_ts: bool = False) -> DataFrame:
+    """Fact from valid staged candles (as the original: corrections reach the clean table but not
+    the fact) or, passing the upserted clean table, from the current version of each candle."""
+    return to_fact(final_candles(candles), dim_symbol, processed_ts)
