@@ -49,11 +49,10 @@ def merge_into_dates(batch: DataFrame, target: str, date_expr, combine: Callable
         return
     if _exists(spark, target):
         current = spark.read.parquet(target).filter(F.col(DATE_COL).isin(dates))
-        merged = combine(current.unionByName(b.select(*current.columns)))
+        # Cut the lineage to the files being replaced before overwriting them.
+        merged = combine(current.unionByName(b.select(*current.columns))).checkpoint(eager=True)
     else:
         merged = combine(b)
-    # Cut the lineage to the files being replaced before overwriting them.
-    merged = merged.checkpoint(eager=True)
     (merged.repartitionByRange(F.col(DATE_COL)).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COL).parquet(target))
 
