@@ -16,7 +16,10 @@ def first_arrival(df: DataFrame, keys: list[str] = DEDUP_KEYS, order: list[str]
 
     Shuffle on the key only; groups are the copies of one candle.
     """
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    others = [c for c in df.columns if c not in keys]
+    # Last tie-break: a hash of the row, so a recomputed task picks the same copy.
+    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order],
+                                          F.xxhash64(*[F.col(c) for c in others]))
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 

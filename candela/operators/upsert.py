@@ -25,8 +25,11 @@ def latest_per_key(changes: DataFrame, keys: list[str] = KLINE_KEYS,
     """
     others = [c for c in changes.columns if c not in keys]
     packed = F.struct(*[F.col(c) for c in others])
+    # Last tie-break: a hash of the row, so equal sequences resolve the same way when a lost
+    # task is recomputed.
+    order = F.struct(*[F.col(c) for c in sequence], F.xxhash64(*[F.col(c) for c in others]).alias("_h"))
     return (changes.groupBy(*keys)
-                   .agg(F.max_by(packed, sequence_of(sequence)).alias("_row"))
+                   .agg(F.max_by(packed, order).alias("_row"))
                    .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in others]))
 
 
