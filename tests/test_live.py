@@ -41,3 +41,23 @@ def test_scheduled_refreshes(spark, tmp_dir):
     assert bronze.count() == 137
     assert KLINE_RULES.quarantine(stage(bronze)).count() == 1
     assert spark.read.parquet(p.fact).filter(F.col("symbol_id").isNull()).count() == 0
+
+
+def test_continuous_trigger_and_broker_options(spark, tmp_dir):
+    from candela.sources.messages import broker_options
+    from candela.streaming.live import Paths, run_bronze
+    opts = broker_options("host:9093", "candles")
+    assert opts["maxOffsetsPerTrigger"] == "10000" and opts["failOnDataLoss"] == "false"
+    assert opts["startingOffsets"] == "latest" and opts["subscribe"] == "candles"
+    csv = f"{tmp_dir}/landing"
+    _land(f"{csv}/symbol=AAA/year=2024/month=01.csv", [_line(m, 2.0) for m in range(10)])
+    p = Paths(f"{tmp_dir}/lake")
+    q = run_bronze(spark, csv, p, available_now=False, processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        _land(f"{csv}/symbol=BBB/year=2024/month=01.csv", [_line(m, 2.0) for m in range(5)])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {r.symbol: r["count"] for r in spark.read.parquet(p.bronze).groupBy("symbol").count().collect()}
+    assert got == {"AAA": 10, "BBB": 5}
