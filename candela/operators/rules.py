@@ -71,6 +71,11 @@ class RuleSet:
 
 KLINE_RULES = RuleSet()
 
+# Optional, off by default: NULL open or volume (unreadable or overflowing text) is not covered by
+# the three rules above and would otherwise reach the clean table.
+COMPLETE_MEASURES = ("complete_measures", "open IS NOT NULL AND volume IS NOT NULL")
+STRICT_KLINE_RULES = KLINE_RULES.with_rule(*COMPLETE_MEASURES)
+
 
 def failure_summary(quarantine: DataFrame) -> DataFrame:
     """Count of quarantined rows per first failed rule (map-side partial count, tiny shuffle)."""

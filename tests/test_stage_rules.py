@@ -97,7 +97,7 @@ def test_ratios_null_on_zero(spark):
 
 
 def test_rules_are_data(spark):
-    rules = KLINE_RULES.with_rule("complete_measures", "open IS NOT NULL AND volume IS NOT NULL")
+    from candela.operators.rules import STRICT_KLINE_RULES as rules
     staged = stage(bronze_rows(spark, [{"name": "nullopen", "open": None}, {"name": "ok"}]))
     assert {r.name for r in KLINE_RULES.valid(staged).collect()} == {"nullopen", "ok"}
     assert {r.name for r in rules.valid(staged).collect()} == {"ok"}
