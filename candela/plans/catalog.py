@@ -158,6 +158,10 @@ def q_gap_report_today(spark, d):
     return comparable(G.gap_report(fact_frame(spark, d), dim_frame(spark, d), as_of(spark, d), include_today=True))
 
 
+def q_gap_report_sparse(spark, d):
+    return comparable(G.gap_report_sparse(fact_frame(spark, d), dim_frame(spark, d), as_of(spark, d)))
+
+
 def q_gap_runs(spark, d):
     return comparable(G.gap_runs(fact_frame(spark, d), dim_frame(spark, d), as_of(spark, d)))
 
@@ -294,6 +298,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "rollup_lineitem_daily": q_rollup_lineitem_daily,
         "gap_report": q_gap_report,
         "gap_report_today": q_gap_report_today,
+        "gap_report_sparse": q_gap_report_sparse,
         "gap_runs": q_gap_runs,
         "monitors": q_monitors,
         "backfill_manifest": q_backfill_manifest,

@@ -152,6 +152,7 @@ def oracles() -> dict[str, str]:
         "printf('raw_klines/symbol=%s/year=%d/month=%02d.csv', coalesce(symbol, ''), year(v_ts), month(v_ts)) "
         "AS source_file, rescued"))
     q["zip_archives"] = with_adapter(f"SELECT {zip_cols} FROM staged0 WHERE version = 'final'")
+    q["gap_report_sparse"] = q["gap_report"]
     q["stream_scd1"] = q["upsert_scd1"]
     q["stream_fact"] = q["fact_bars"]
     q["stream_hourly_final"] = (q["rollup_hourly"] +

@@ -56,6 +56,14 @@ def test_gap_runs_fold_the_report(spark):
     assert all(r.run_end == r.run_start + dt.timedelta(minutes=r.n_missing - 1) for r in runs)
 
 
+def test_sparse_form_equals_matrix_form(spark):
+    dim, fact, present = _fixture(spark)
+    for as_of, today in ((T0 + dt.timedelta(hours=13), False), (T0 + dt.timedelta(hours=6, seconds=30), True)):
+        a = sorted(G.gap_report(fact, dim, as_of, include_today=today).collect())
+        b = sorted(G.gap_report_sparse(fact, dim, as_of, include_today=today).collect())
+        assert a == b
+
+
 def test_include_today_window(spark):
     dim, fact, present = _fixture(spark)
     as_of = T0 + dt.timedelta(hours=6, seconds=30)
