@@ -58,9 +58,34 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
             except Exception:  # static conf of a session that already existed
                 pass
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``candela`` importable in executor Python workers (the Arrow-batched functions are
+    pickled by reference): zip the package once per application and register it with
+    ``addPyFile``; Spark copies it to every executor, including ones started later."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    import zipfile
+    import candela
+    pkg_dir = os.path.dirname(os.path.abspath(candela.__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="candela-pyfiles-"), "candela.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def apply_sql_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable base settings to a session someone else built (static
     settings such as the UI stay as they are)."""
@@ -71,6 +96,7 @@ def apply_sql_conf(spark: SparkSession) -> None:
             except Exception:  # noqa: BLE001 - static or unsupported in this deployment
                 pass
     ensure_checkpoint_dir(spark)
+    ship_package(spark)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
