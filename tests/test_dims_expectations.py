@@ -52,3 +52,13 @@ def test_broadcast_only_below_bound(spark):
     hinted = broadcast_if_small(small, 100)
     assert hinted is not small and "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
     assert broadcast_if_small(small, 5) is small
+
+
+def test_prepare_is_idempotent(spark):
+    import __spark_entry__ as E
+    from candela.session import ship_package
+    for _ in range(3):
+        ship_package(spark)
+        E._prepare(spark)
+    assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert spark.conf.get("spark.checkpoint.dir")
