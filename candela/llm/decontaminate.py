@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from candela.llm import bitmap
 from candela.llm import textkit as K
 from candela.llm.stages import written
 
 WINDOW = 10
 GRAM = 3
-BITMAP_BITS = 24
 
 
 def _windows(bench: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
@@ -58,23 +58,6 @@ def _windows(bench: DataFrame, id_col: str, text_col: str, window: int) -> DataF
     return items.mapInArrow(run, "item_id string, wtext string, n int, grams array<bigint>")
 
 
-def _bitmap(hashes: DataFrame, column: str) -> np.ndarray:
-    """A bitmap of 2^BITMAP_BITS bits with the top bits of each hash set: built by Spark as 64-bit
-    pieces, so at most 2^(BITMAP_BITS - 6) rows reach the driver."""
-    at = F.shiftrightunsigned(F.col(column), 64 - BITMAP_BITS)
-    pieces = (hashes.select(F.shiftright(at, 6).alias("piece"), F.expr("1L").alias("one"), (at % 64).cast("int").alias("bit"))
-              .groupBy("piece").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits")))
-    out = np.zeros(1 << (BITMAP_BITS - 6), dtype=np.uint64)
-    for r in pieces.toLocalIterator():
-        out[r["piece"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
-    return out
-
-
-def _in_bitmap(bits: np.ndarray, h: np.ndarray) -> np.ndarray:
-    at = h >> np.uint64(64 - BITMAP_BITS)
-    return (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
-
-
 def _corpus_counts(docs: DataFrame, bits) -> DataFrame:
     def run(batches):
         for batch in batches:
@@ -82,7 +65,7 @@ def _corpus_counts(docs: DataFrame, bits) -> DataFrame:
                 w = K.words(part.column("text"), K.ALNUM_WORD, lower=True)
                 for k in range(1, GRAM + 1):
                     g, ok = w.grams(k)
-                    h, c = np.unique(g[ok & _in_bitmap(bits.value, g)], return_counts=True)
+                    h, c = np.unique(g[ok & bitmap.holds(bits.value, g)], return_counts=True)
                     if len(h):
                         yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64))], names=["gram", "df"])
     return docs.select("text").mapInArrow(run, "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
@@ -101,7 +84,7 @@ def _places(docs: DataFrame, bits, window: int) -> DataFrame:
                 row = w.row_of_word()
                 for k in range(1, GRAM + 1):
                     g, ok = w.grams(k)
-                    at = np.flatnonzero(ok & _in_bitmap(bits.value, g))
+                    at = np.flatnonzero(ok & bitmap.holds(bits.value, g))
                     if not len(at):
                         continue
                     r = row[at]
@@ -118,19 +101,18 @@ def find_windows(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text
                  item_text: str = "text", window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
     """(documents, hits): ``documents`` has id, key, n_words for every row; ``hits`` has id, key, start, n and item_id
     for each distinct place of an item's window (``key`` is a hash of the text)."""
-    spark = docs.sparkSession
     docs = docs.select(F.col(doc_id).cast("long").alias("id"), F.xxhash64(K.text_column(docs, text)).alias("key"), K.text_column(docs, text).alias("text"))
     items = written(_windows(bench, item_id, item_text, window), "op1-windows")
     distinct = items.groupBy("wtext", "n").agg(F.any_value("grams").alias("grams"))
     shingles = distinct.select("wtext", "n", F.posexplode("grams").alias("offset", "gram"))
 
-    bits = spark.sparkContext.broadcast(_bitmap(shingles, "gram"))
+    bits = bitmap.build(shingles, "gram")
     counts = _corpus_counts(docs, bits)
     ranked = shingles.join(counts, "gram", "left").groupBy("wtext", "n").agg(
         F.min(F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram", "offset")).alias("rarest"))
     prefix = written(ranked.filter("rarest.df > 0").select("wtext", "n", "rarest.gram", "rarest.offset"), "op1-prefix")
 
-    bits2 = spark.sparkContext.broadcast(_bitmap(prefix, "gram"))
+    bits2 = bitmap.build(prefix, "gram")
     places = written(_places(docs, bits2, window), "op1-places")
     found = places.filter(F.col("gram").isNotNull()).join(prefix, "gram")
     start = F.col("pos") - F.col("offset")

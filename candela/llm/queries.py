@@ -17,11 +17,17 @@ def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.neardup import near_duplicates
+    found = near_duplicates(table(spark, d, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op6_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     from candela.llm.quality import judge
     return judge(table(spark, d, "documents").select("doc_id", "text")).drop("text")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op6_quality_rules)}
+    f.__name__: f for f in (op1_decontaminate, op4_minhash_neardup, op6_quality_rules)}
 ORACLES: dict[str, str] = {}
