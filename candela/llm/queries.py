@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,11 @@ def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op3_elias_fano_ids(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.idstore import stored_ids
+    return stored_ids(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op4_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     from candela.llm.neardup import near_duplicates
     found = near_duplicates(table(spark, d, "documents"))
@@ -28,6 +34,13 @@ def op6_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return judge(table(spark, d, "documents").select("doc_id", "text")).drop("text")
 
 
+def op9_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.bpe import decode, digests, encode
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    both = decode(encode(table(spark, d, "documents").select("doc_id", "text"), path), path)
+    return both.select("doc_id", *digests(both))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op4_minhash_neardup, op6_quality_rules)}
+    f.__name__: f for f in (op1_decontaminate, op3_elias_fano_ids, op4_minhash_neardup, op6_quality_rules, op9_byte_bpe)}
 ORACLES: dict[str, str] = {}
