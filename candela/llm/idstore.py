@@ -133,44 +133,58 @@ MEMO = 700_000
 _LOADED: dict[str, WordEncoder] = {}
 
 
-class WordEncoder:
-    """Ids of whole texts by the library, which sees each distinct word once per worker: the tokenizer drops white space and
-    never joins across it, so a text's ids are those of its words in turn. The memo is bounded."""
+def _byte_alphabet() -> dict[int, str]:
+    """byte -> the character that stands for it in byte-level vocabularies: printable bytes stand for themselves, the
+    others take the code points from 256 on, in order."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+class _Parts(dict):
+    """A word without inner cuts -> id bytes, by the library's BPE model."""
+
+    def __init__(self, model, dtype: str):
+        super().__init__()
+        self.tokenize, self.dtype, self.alphabet = model.tokenize, dtype, _byte_alphabet()
+
+    def __missing__(self, part: str) -> bytes:
+        tokens = self.tokenize(part.encode().decode("latin-1").translate(self.alphabet))
+        out = np.array([t.id for t in tokens], dtype=self.dtype).tobytes()
+        if len(self) >= MEMO:
+            self.clear()
+        self[part] = out
+        return out
+
+
+class WordEncoder(dict):
+    """Ids of whole texts by the tokenizers library, which sees each distinct word once per worker: the tokenizer drops white
+    space and never joins across it, so a text's ids are those of its words in turn. Words of plain characters are
+    lower-cased and cut here as the tokenizer does and handed to its model; all others go through the whole tokenizer. The memo
+    (word -> id bytes) is bounded."""
 
     def __init__(self, path: str):
+        super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _library(self, new: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-
-    def _learn(self, new: set[str]) -> None:
-        cut, whole = {}, []
-        for w in new:
-            if _PLAIN.fullmatch(w):
-                cut[w] = _PARTS.findall(w.lower())
-            else:
-                whole.append(w)
-        if len(self.parts) > MEMO:
-            self.parts.clear()
-        parts = list({p for ps in cut.values() for p in ps} - self.parts.keys())
-        self.parts.update(zip(parts, self._library(parts)))
-        get = self.parts.__getitem__
-        self.words.update((w, b"".join(map(get, ps))) for w, ps in cut.items())
-        self.words.update(zip(whole, self._library(whole)))
+        self.parts = _Parts(self.tokenizer.model, self.dtype)
+
+    def __missing__(self, word: str) -> bytes:
+        if _PLAIN.fullmatch(word):
+            out = b"".join(map(self.parts.__getitem__, _PARTS.findall(word.lower())))
+        else:
+            out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
+        if len(self) >= MEMO:
+            self.clear()
+        self[word] = out
+        return out
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ") if t else [] for t in texts]
-        if len(self.words) > MEMO:
-            self.words.clear()
-        self._learn(set().union(*split) - self.words.keys())
-        get = self.words.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        get = self.__getitem__
+        return [b"".join(map(get, t.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" "))) if t else b"" for t in texts]
 
 
 def _encoder(path: str) -> WordEncoder:

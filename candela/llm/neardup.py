@@ -7,7 +7,8 @@ their sets have a Jaccard similarity of ``percent``/100 or more.
 2. Each class has a signature of TREES x DEPTH minimum hashes (16 bits kept of each). Tree t sorts the classes by its DEPTH
    values. Classes with equal first MIN_DEPTH values form a region; inside it the neighbours in the sorted order have the
    longest common prefix, so the depth at which two classes meet adapts to how crowded the region is. Each class is paired
-   with its neighbour and with the first of its stretch of the region: a number of pairs linear in the region, however large.
+   with its neighbour and with the centre of its stretch of the region (edited copies of one text are closer to that text than
+   to each other): a number of pairs linear in the region, however large.
 3. Pairs whose signatures allow the similarity are confirmed on the full sets, and components are taken.
 4. The rest: in a region that still holds several components, all pairs between different components are compared by
    signature, block against block (a class meets every block of its region, a task step holds two blocks), and what
@@ -15,7 +16,7 @@ their sets have a Jaccard similarity of ``percent``/100 or more.
    so a crowd of copies stays linear.
 
 Two classes at the threshold miss each other in every tree with a chance of (1 - s^MIN_DEPTH)^TREES (2e-8 at s = 0.85), in
-crowded regions of (1 - s^DEPTH)^TREES (1e-5); the signature test lets all pairs through but those 5 standard errors below
+crowded regions of (1 - s^DEPTH)^TREES (1e-5); the signature test lets all pairs through but those 4 standard errors below
 the threshold.
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; rows with a null id take part, and a
@@ -85,8 +86,8 @@ def _class_key(s: np.ndarray) -> bytes | None:
 
 
 def _signed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id, class key (null for an empty set), set size, signature and its low bytes (sketch) of every row."""
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), K.text_column(docs, text).alias("text"))
+    """id, text hash, class key (null for an empty set), set size, signature and its low bytes (sketch) of every row."""
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(K.text_column(docs, text)).alias("th"), K.text_column(docs, text).alias("text"))
 
     def run(batches):
         for batch in batches:
@@ -96,20 +97,22 @@ def _signed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                 key = [_class_key(s) for s in sets]
                 low = sig.astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                    [part.column("id"), part.column("th"), pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([r.tobytes() if k else None for k, r in zip(key, sig)], pa.binary()),
-                     pa.array([r.tobytes() if k else None for k, r in zip(key, low)], pa.binary())], names=["id", "cls", "n", "sig", "sketch"])
-    return rows.mapInArrow(run, "id bigint, cls binary, n bigint, sig binary, sketch binary")
+                     pa.array([r.tobytes() if k else None for k, r in zip(key, low)], pa.binary())], names=["id", "th", "cls", "n", "sig", "sketch"])
+    return rows.mapInArrow(run, "id bigint, th bigint, cls binary, n bigint, sig binary, sketch binary")
 
 
 def _leaves(classes: DataFrame) -> DataFrame:
     """Each class once per tree, with its path and region, where the region has another class."""
-    trees = classes.select("cls", "n", "sig", "sketch", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    path = trees.withColumn("path", F.substring("sig", F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * DEPTH)))
-    region = F.xxhash64("tree", F.substring("path", 1, 2 * MIN_DEPTH))
-    leaves = path.select(region.alias("region"), F.xxhash64("tree", "path").alias("deep"), "path", "cls", "n", "sketch")
-    shared = leaves.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
-    return leaves.join(shared, "region")
+    tree = F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree")
+    at = F.col("tree") * (2 * DEPTH) + 1
+    region = F.xxhash64("tree", F.substring("sig", at, F.lit(2 * MIN_DEPTH)))
+    slim = classes.select("cls", "sig", tree).select("cls", "tree", region.alias("region"))
+    shared = slim.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
+    path = F.substring("sig", at, F.lit(2 * DEPTH))
+    return slim.join(shared, "region").join(classes, "cls").select(
+        "region", F.xxhash64("tree", path).alias("deep"), path.alias("path"), "cls", "n", "sketch", "size")
 
 
 def _rows_of(column, width: int) -> np.ndarray:
@@ -121,7 +124,7 @@ def _rows_of(column, width: int) -> np.ndarray:
 def _similar(sketch: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Whether set sizes and signatures of rows x and y allow the similarity."""
     s = percent / 100
-    least = WIDTH * (s - 5 * np.sqrt(s * (1 - s) / WIDTH))
+    least = WIDTH * (s - 4 * np.sqrt(s * (1 - s) / WIDTH))
     ok = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
     at = np.flatnonzero(ok)
     for lo in range(0, len(at), 1 << 15):
@@ -141,8 +144,22 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _centres(sketch: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """For each row of a sorted stretch, the centre of its region there: the row that agrees with most of the region's most
+    frequent signature values (in small regions, the first row)."""
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], len(new))
+    centre = np.repeat(start, end - start)
+    for lo, hi in zip(start, end):
+        if hi - lo >= 8:
+            block = sketch[lo:hi].astype(np.int64) + 256 * np.arange(WIDTH)
+            mode = np.bincount(block.ravel(), minlength=256 * WIDTH).reshape(WIDTH, 256).argmax(axis=1)
+            centre[lo:hi] = lo + (sketch[lo:hi] == mode).sum(axis=1).argmax()
+    return centre
+
+
 def _neighbours(leaves: DataFrame, percent: int) -> DataFrame:
-    """Pairs of neighbours in the regions' sorted orders, and of each class with the first of its stretch. Range
+    """Pairs of neighbours in the regions' sorted orders, and of each class with the centre of its stretch. Range
     partitions may cut a region; step 4 sees it whole."""
     def run(batches):
         last = None
@@ -150,12 +167,11 @@ def _neighbours(leaves: DataFrame, percent: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             both = batch if last is None else pa.Table.from_batches([last, batch]).combine_chunks().to_batches()[0]
-            region = both.column("region").to_numpy()
+            region, sketch = both.column("region").to_numpy(), _rows_of(both.column("sketch"), WIDTH)
             new = np.concatenate(([True], region[1:] != region[:-1]))
-            head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
             y = np.flatnonzero(~new)
-            x, y = np.concatenate((y - 1, head[y])), np.concatenate((y, y))
-            ok = (x != y) & _similar(_rows_of(both.column("sketch"), WIDTH), both.column("n").to_numpy(), x, y, percent)
+            x, y = np.concatenate((y - 1, _centres(sketch, new))), np.concatenate((y, np.arange(len(new))))
+            ok = (x != y) & _similar(sketch, both.column("n").to_numpy(), x, y, percent)
             yield _pairs(both.column("cls"), x[ok], y[ok])
             last = batch.slice(batch.num_rows - 1)
     order = leaves.select("region", "path", "cls", "n", "sketch").repartitionByRange("region", "path").sortWithinPartitions("region", "path", "cls")
@@ -240,11 +256,13 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: st
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id (smallest id reachable over links, itself included)."""
+    """One row per row of ``docs``: id, th (hash of the text), n_shingles, component_id (smallest id reachable over links,
+    itself included) and ``lead``: whether the row is its component's first by (id, th), nulls last; rows with an empty set lead themselves."""
     rows = written(_signed(docs, id_col, text), "op4-rows")
+    place = F.struct(F.col("id").isNull().alias("null_id"), "id", "th")
     classes = written(rows.filter("cls is not null").groupBy("cls").agg(
-        F.min("id").alias("rep"), *(F.any_value(c).alias(c) for c in ("n", "sig", "sketch"))), "op4-classes")
-    leaves = written(_leaves(classes), "op4-leaves")
+        F.min(place).alias("first"), *(F.any_value(c).alias(c) for c in ("n", "sig", "sketch"))).withColumn("rep", F.col("first.id")), "op4-classes")
+    leaves = written(_leaves(classes.select("cls", "n", "sig", "sketch")), "op4-leaves")
 
     def confirm(pairs):
         pairs = written(pairs, "op4-pairs")
@@ -255,8 +273,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     late = confirm(_across(leaves, labels, percent))
     labels = written(components(links.union(late)), "op4-labels")
 
-    named = classes.select("cls", "rep").join(labels, F.col("cls") == F.col("node"), "left").select("cls", "rep", F.coalesce("label", "cls").alias("label"))
-    smallest = named.groupBy("label").agg(F.min("rep").alias("component_id"))
-    final = named.join(smallest, "label").select(F.col("cls").alias("c"), "component_id")
-    out = rows.select("id", "cls", "n").join(final, F.col("cls") == F.col("c"), "left")
-    return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("cls").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    named = classes.select("cls", "first").join(labels, F.col("cls") == F.col("node"), "left").select("cls", "first", F.coalesce("label", "cls").alias("label"))
+    smallest = named.groupBy("label").agg(F.min("first").alias("top"))
+    final = named.join(smallest, "label").select(F.col("cls").alias("c"), "top")
+    out = rows.select("id", "th", "cls", "n").join(final, F.col("cls") == F.col("c"), "left")
+    alone = F.col("cls").isNull()
+    return out.select("id", "th", F.col("n").alias("n_shingles"), F.when(alone, F.col("id")).otherwise(F.col("top.id")).alias("component_id"),
+                      (alone | (F.col("id").eqNullSafe(F.col("top.id")) & (F.col("th") == F.col("top.th")))).alias("lead"))
+
+
+def first_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each group of near-duplicates; columns as they came."""
+    lead = near_duplicates(docs, id_col, text, percent).filter("lead").select(
+        F.col("id").alias("__id"), F.col("th").alias("__th"), (F.col("n_shingles") == 0).alias("__empty")).distinct()
+    keyed = docs.withColumn("__key", F.col(id_col).cast("long")).withColumn("__hash", F.xxhash64(K.text_column(docs, text)))
+    kept = keyed.join(lead, F.col("__key").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")))
+    # rows equal in id and text are one group too, except those without words
+    once = kept.filter(~F.col("__empty")).dropDuplicates(["__key", "__hash"])
+    return once.unionByName(kept.filter("__empty")).select(docs.columns)

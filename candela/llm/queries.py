@@ -18,6 +18,12 @@ def op1_decontaminate(spark: SparkSession, d: str) -> DataFrame:
                         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op2_chat_rotation(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.chat import rotate
+    spans = F.transform("mask", lambda x: F.concat(x["start"].cast("string"), F.lit("-"), x["end"].cast("string")))
+    return rotate(table(spark, d, "conversations")).withColumn("mask_spans", F.array_join(spans, ",")).drop("mask")
+
+
 def op3_elias_fano_ids(spark: SparkSession, d: str) -> DataFrame:
     from candela.llm.idstore import stored_ids
     return stored_ids(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -29,11 +35,29 @@ def op4_minhash_neardup(spark: SparkSession, d: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
+def op5_hypergeometric_shards(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.shards import shuffle_into_shards
+    text = F.coalesce("text", F.lit(""))
+    out = shuffle_into_shards(table(spark, d, "documents").select("doc_id", "text"))
+    return out.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), F.lit("rows").alias("law"),
+                      "shard", F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op6_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     from candela.llm.quality import judge
     return judge(table(spark, d, "documents").select("doc_id", "text")).drop("text")
 
 
+def op7_line_dedup(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.linedup import dedup_lines
+    return dedup_lines(table(spark, d, "documents").select("doc_id", "text"))
+
+
+def op8_html_main_text(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.mainhtml import extract
+    return extract(table(spark, d, "pages").select("page_id", "url", "html")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     from candela.llm.bpe import decode, digests, encode
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -41,6 +65,20 @@ def op9_byte_bpe(spark: SparkSession, d: str) -> DataFrame:
     return both.select("doc_id", *digests(both))
 
 
+def op10_pitman_yor_scores(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.pitman import score
+    return score(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_elias_fano_ids, op4_minhash_neardup, op6_quality_rules, op9_byte_bpe)}
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (
+    op1_decontaminate, op2_chat_rotation, op3_elias_fano_ids, op4_minhash_neardup, op5_hypergeometric_shards, op6_quality_rules,
+    op7_line_dedup, op8_html_main_text, op9_byte_bpe, op10_pitman_yor_scores)}
+
+
+def _oracles() -> dict[str, str]:
+    from candela.llm import chat
+    return {"op2_chat_rotation": chat.ORACLE}
+
+
+ORACLES: dict[str, str] = _oracles()
