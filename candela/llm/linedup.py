@@ -6,7 +6,7 @@ lines of NEAR_WORDS or more, is within an edit distance of one word (a word chan
 
 1. Equal lines meet by a 128-bit hash; each distinct line is represented by its first place.
 2. A necessary test thins the rest: lines one edit apart share their first or their last half (by the shorter
-   one's count). Lines whose halves occur once are out; the test is a bitmap of fixed size in a small table.
+   one's count). Lines whose halves occur once are out: first by a bitmap of fixed size in a small table, then exactly.
 3. The others emit their deletion variants as hashed keys: each with one word left out (marked with its place, for changed
    words, and unmarked, for words left out), and the whole line, to meet the unmarked variants of longer lines. Lines that
    meet under a key are one edit apart, so each needs only the key's first line: one aggregate per key and one
@@ -29,17 +29,26 @@ NEAR_WORDS = 10
 BITS = 24
 
 
-def _words(line: Column) -> Column:
-    return F.split(F.trim(line, F.lit(" \t\x0b\x0c\r")), "[ \t\\x0b\\x0c\r]+")
+_WORD, _GAP = "[^ \\t\\x0b\\f\\r]+", "[ \\t\\x0b\\f\\r]+"
+
+
+def _long(line: Column) -> Column:
+    """Whether a line has MIN_WORDS words or more."""
+    return F.coalesce(line.rlike(f"^(?:{_GAP})?(?:{_WORD}{_GAP}){{{MIN_WORDS - 1}}}{_WORD}"), F.lit(False))
+
+
+def _once(value: Column) -> Column:
+    """``value`` computed once per row: a generator's output is not copied into the expressions that use it."""
+    return F.explode(F.array(value))
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """id, th, line number, words and the line's two hashes, for lines of MIN_WORDS words or more."""
+    """The place, words and hashes of each line of MIN_WORDS words or more."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    lines = rows.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    cut = lines.select("id", "th", "line_no", _words(F.col("line")).alias("words")).filter(F.size("words") >= MIN_WORDS)
-    return cut.select(F.struct(F.col("id").isNull().alias("null_id"), "id", "th", "line_no").alias("place"), "words",
-                      F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
+    lines = rows.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(_long(F.col("line")))
+    cut = lines.select("id", "th", "line_no", _once(F.split(F.trim("line", F.lit(" \t\x0b\x0c\r")), _GAP)).alias("words"))
+    place = F.struct(F.col("id").isNull().alias("null_id"), "id", "th", "line_no").alias("place")
+    return cut.select(place, "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
 
 
 def _half_keys() -> Column:
@@ -54,29 +63,32 @@ def _half_keys() -> Column:
 
 def _near(firsts: DataFrame, lines: DataFrame) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line one edit away."""
-    # halves that more than one distinct line has, as a bitmap of 2^BITS bits in at most 2^(BITS - 6) rows
-    halves = firsts.select(F.explode("halves").alias("half")).groupBy("half").count().filter("count > 1")
+    # halves that more than one distinct line has; also as a bitmap of 2^BITS bits in at most 2^(BITS - 6) rows
+    halves = written(firsts.select(F.explode("halves").alias("half")).groupBy("half").count().filter("count > 1").select("half"), "op7-halves")
     at = F.shiftrightunsigned("half", 64 - BITS)
     bit = lambda a: F.expr(f"shiftleft(1L, cast({a} & 63 as int))")
     bitmap = written(halves.select(at.alias("a")).select(F.shiftright("a", 6).alias("piece"), bit("a").alias("bit")).groupBy("piece").agg(F.bit_or("bit").alias("bits")), "op7-bitmap")
 
-    some = lines.withColumn("halves", _half_keys()).filter(F.size("halves") > 0)
+    some = lines.select("*", _once(_half_keys()).alias("halves")).filter(F.size("halves") > 0)
     for k in range(4):
         a = F.shiftrightunsigned(F.col("halves")[k], 64 - BITS)
         some = (some.withColumn(f"a{k}", a).join(F.broadcast(bitmap.withColumnsRenamed({"piece": f"p{k}", "bits": f"b{k}"})), F.shiftright(F.col(f"a{k}"), 6) == F.col(f"p{k}"), "left")
                 .withColumn(f"in{k}", F.expr(f"coalesce(b{k} & shiftleft(1L, cast(a{k} & 63 as int)), 0L) <> 0L")).drop(f"a{k}", f"p{k}", f"b{k}"))
-    some = some.filter("in0 or in1 or in2 or in3").groupBy("h1", "h2").agg(F.min(F.struct("place", "words")).alias("m"))
-    asked = written(some.select("h1", "h2", "m.place", "m.words"), "op7-asked")
+    some = some.filter("in0 or in1 or in2 or in3").groupBy("h1", "h2").agg(F.min(F.struct("place", "words")).alias("m"), F.any_value("halves").alias("halves"))
+    some = written(some.select("h1", "h2", "m.place", "m.words", "halves"), "op7-some")
+    true = some.select("h1", "h2", F.explode("halves").alias("half")).join(halves, "half").select("h1", "h2").distinct()
+    asked = written(some.drop("halves").join(true, ["h1", "h2"], "left_semi"), "op7-asked")
 
     # variants: role 0 marked with the place left out, 1 unmarked (of the longer line), 2 the whole line (the shorter)
     n = F.size("words")
+    hashed = asked.select("h1", "h2", "place", _once(F.transform("words", lambda w: F.xxhash64(w))).alias("h"), n.alias("n"))
+    n = F.col("n")
     without = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(i.alias("i"), F.xxhash64(F.concat(F.slice("h", F.lit(1), i - 1), F.slice("h", i + 1, n - i))).alias("v")))
-    hashed = asked.withColumn("h", F.transform("words", lambda w: F.xxhash64(w))).withColumn("n", n)
     left_out = hashed.select("h1", "h2", "place", "n", F.inline(without))
-    marked = left_out.select(F.xxhash64(F.lit(0), "n", "i", "v").alias("key"), F.lit(0).alias("role"), "h1", "h2", "place")
-    unmarked = left_out.select(F.xxhash64(F.lit(1), "v").alias("key"), F.lit(1).alias("role"), "h1", "h2", "place")
-    whole = hashed.select(F.xxhash64(F.lit(1), F.xxhash64("h")).alias("key"), F.lit(2).alias("role"), "h1", "h2", "place")
-    variants = marked.union(unmarked).union(whole)
+    keys = F.array(F.struct(F.lit(0).alias("role"), F.xxhash64(F.lit(0), "n", "i", "v").alias("key")), F.struct(F.lit(1).alias("role"), F.xxhash64(F.lit(1), "v").alias("key")))
+    out = left_out.select(F.inline(keys), "h1", "h2", "place")
+    whole = hashed.select(F.lit(2).alias("role"), F.xxhash64(F.lit(1), F.xxhash64("h")).alias("key"), "h1", "h2", "place")
+    variants = out.union(whole)
     first = variants.groupBy("key", "role").agg(F.min("place").alias("earlier")).withColumnsRenamed({"key": "k", "role": "r"})
     partner = F.element_at(F.array(F.lit(0), F.lit(2), F.lit(1)), F.col("role") + 1)
     met = variants.join(first, (F.col("key") == F.col("k")) & (partner == F.col("r"))).filter("earlier < place").select("h1", "h2", "earlier").distinct()
@@ -101,13 +113,13 @@ def within_one_edit(a: Column, b: Column) -> Column:
 def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the lines that repeat an earlier one taken out of ``text``, and the counts ``n_lines`` and ``n_dropped``."""
     lines = _lines(docs, doc_id, text)
-    firsts = written(lines.withColumn("halves", _half_keys()).groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")), "op7-lines")
+    firsts = written(lines.select("*", _half_keys().alias("halves")).groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")), "op7-lines")
     kept = firsts.select("h1", "h2", "place").join(_near(firsts, lines), ["h1", "h2"], "left_anti")
     by_doc = kept.groupBy(F.col("place.id").alias("__id"), F.col("place.th").alias("__th")).agg(F.collect_list("place.line_no").alias("__kept"))
     rows = docs.drop("n_lines", "n_dropped").withColumn("__doc", F.col(doc_id).cast("long")).withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
     out = rows.join(by_doc, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
     every = F.split(F.col(text).cast("string"), "\n")
-    stays = F.filter(every, lambda line, i: (F.size(_words(line)) < MIN_WORDS) | F.coalesce(F.array_contains("__kept", i), F.lit(False)))
+    stays = F.filter(every, lambda line, i: ~_long(line) | F.coalesce(F.array_contains("__kept", i), F.lit(False)))
     out = out.withColumn("__stays", stays)
     return (out.withColumn("n_lines", F.coalesce(F.size(every), F.lit(0)).cast("long")).withColumn("n_dropped", F.coalesce(F.size(every) - F.size("__stays"), F.lit(0)).cast("long"))
             .withColumn(text, F.array_join("__stays", "\n")).select(*docs.drop("n_lines", "n_dropped").columns, "n_lines", "n_dropped"))
