@@ -7,8 +7,8 @@ their sets have a Jaccard similarity of ``percent``/100 or more.
 2. Each class has a signature of TREES x DEPTH minimum hashes (16 bits kept of each). Tree t sorts the classes by its DEPTH
    values. Classes with equal first MIN_DEPTH values form a region; inside it the neighbours in the sorted order have the
    longest common prefix, so the depth at which two classes meet adapts to how crowded the region is. Each class is paired
-   with its neighbour and with the centre of its stretch of the region (edited copies of one text are closer to that text than
-   to each other): a number of pairs linear in the region, however large.
+   with its neighbour, with the first of its stretch of the region, and in regions of CROWD classes or more with the region's hub
+   (edited copies of one text are closer to that text than to each other): a number of pairs linear in the region, however large.
 3. Pairs whose signatures allow the similarity are confirmed on the full sets, and components are taken.
 4. The rest: in a region that still holds several components, all pairs between different components are compared by
    signature, block against block (a class meets every block of its region, a task step holds two blocks), and what
@@ -42,6 +42,7 @@ SHINGLE = 5
 PERCENT = 85
 TREES, DEPTH, MIN_DEPTH = 24, 6, 4
 BLOCK = 512
+CROWD = 16
 WIDTH = TREES * DEPTH
 
 _RNG = np.random.default_rng(7)
@@ -144,23 +145,45 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def _centres(sketch: np.ndarray, new: np.ndarray) -> np.ndarray:
-    """For each row of a sorted stretch, the centre of its region there: the row that agrees with most of the region's most
-    frequent signature values (in small regions, the first row)."""
-    start = np.flatnonzero(new)
-    end = np.append(start[1:], len(new))
-    centre = np.repeat(start, end - start)
-    for lo, hi in zip(start, end):
-        if hi - lo >= 8:
-            block = sketch[lo:hi].astype(np.int64) + 256 * np.arange(WIDTH)
-            mode = np.bincount(block.ravel(), minlength=256 * WIDTH).reshape(WIDTH, 256).argmax(axis=1)
-            centre[lo:hi] = lo + (sketch[lo:hi] == mode).sum(axis=1).argmax()
-    return centre
+def _pairs_with_hub(leaves: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each class of a crowded region with the region's hub: the class that agrees with most of the frequent signature
+    values around it. Stretches of the region propose their best, the region takes the best of these."""
+    crowd = leaves.filter(F.col("size") >= CROWD).select("region", "path", "cls", "n", "sketch")
+
+    def propose(batches):
+        for batch in batches:
+            region, sketch = batch.column("region").to_numpy(), _rows_of(batch.column("sketch"), WIDTH)
+            cut = np.flatnonzero(np.concatenate(([True], region[1:] != region[:-1], [True]))) if len(region) else np.zeros(1, int)
+            best, score = [], []
+            for lo, hi in zip(cut[:-1], cut[1:]):
+                if 2 * (hi - lo) >= CROWD or hi - lo == len(region):
+                    block = sketch[lo:hi].astype(np.int64) + 256 * np.arange(WIDTH)
+                    mode = np.bincount(block.ravel(), minlength=256 * WIDTH).reshape(WIDTH, 256).argmax(axis=1)
+                    agree = (sketch[lo:hi] == mode).sum(axis=1)
+                    best.append(lo + int(agree.argmax()))
+                    # a short stretch agrees with itself by chance
+                    score.append(int(agree.max()) * min(int(hi - lo), CROWD))
+            take = batch.select(["region", "cls", "n", "sketch"]).take(pa.array(best, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*take.columns, pa.array(score, pa.int64())], names=["region", "hub", "hub_n", "hub_sketch", "score"])
+
+    order = crowd.repartitionByRange("region", "path").sortWithinPartitions("region", "path")
+    proposed = order.mapInArrow(propose, "region bigint, hub binary, hub_n bigint, hub_sketch binary, score bigint")
+    hubs = proposed.groupBy("region").agg(F.max(F.struct("score", "hub", "hub_n", "hub_sketch")).alias("h")).select("region", "h.hub", "h.hub_n", "h.hub_sketch")
+
+    def compare(batches):
+        for batch in batches:
+            both = np.concatenate((_rows_of(batch.column("sketch"), WIDTH), _rows_of(batch.column("hub_sketch"), WIDTH)))
+            n = np.concatenate((batch.column("n").to_numpy(), batch.column("hub_n").to_numpy()))
+            x = np.arange(batch.num_rows)
+            ok = pa.array(_similar(both, n, x, x + batch.num_rows, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("cls").filter(ok), batch.column("hub").filter(ok)], names=["a", "b"])
+    met = crowd.join(hubs, "region").filter("cls <> hub").select("cls", "n", "sketch", "hub", "hub_n", "hub_sketch")
+    return met.mapInArrow(compare, _PAIR)
 
 
 def _neighbours(leaves: DataFrame, percent: int) -> DataFrame:
-    """Pairs of neighbours in the regions' sorted orders, and of each class with the centre of its stretch. Range
-    partitions may cut a region; step 4 sees it whole."""
+    """Pairs of neighbours in the regions' sorted orders, and of each class with its region's hub. Range partitions may cut a region
+    between two neighbours; step 4 sees it whole."""
     def run(batches):
         last = None
         for batch in batches:
@@ -170,12 +193,13 @@ def _neighbours(leaves: DataFrame, percent: int) -> DataFrame:
             region, sketch = both.column("region").to_numpy(), _rows_of(both.column("sketch"), WIDTH)
             new = np.concatenate(([True], region[1:] != region[:-1]))
             y = np.flatnonzero(~new)
-            x, y = np.concatenate((y - 1, _centres(sketch, new))), np.concatenate((y, np.arange(len(new))))
-            ok = (x != y) & _similar(sketch, both.column("n").to_numpy(), x, y, percent)
+            head = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+            x, y = np.concatenate((y - 1, head[y])), np.concatenate((y, y))
+            ok = _similar(sketch, both.column("n").to_numpy(), x, y, percent)
             yield _pairs(both.column("cls"), x[ok], y[ok])
             last = batch.slice(batch.num_rows - 1)
     order = leaves.select("region", "path", "cls", "n", "sketch").repartitionByRange("region", "path").sortWithinPartitions("region", "path", "cls")
-    return _ordered(order.mapInArrow(run, _PAIR))
+    return _ordered(order.mapInArrow(run, _PAIR).union(_pairs_with_hub(leaves, percent)))
 
 
 def _whole_groups(batches):
