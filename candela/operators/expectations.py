@@ -1,13 +1,10 @@
-"""Abort-on-violation expectations and checked broadcasts."""
+"""Abort-on-violation expectations."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when its row count is at most this (checked, not assumed).
-BROADCAST_MAX_ROWS = 1_000_000
-
 
 def expect_or_fail(df: DataFrame, expectations: list[tuple[str, str]]) -> DataFrame:
     """Fail the job on the first row that violates any expectation.
@@ -29,12 +26,3 @@ def count_violations(df: DataFrame, expectations: list[tuple[str, str]]) -> dict
     row = df.agg(*[F.count_if(~F.coalesce(F.expr(f"({p})"), F.lit(False))).alias(n)
                    for n, p in expectations]).first()
     return row.asDict()
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after the row count is checked; above the bound the planner (and AQE
-    at runtime) chooses a shuffle join instead."""
-    if df.isStreaming:
-        return df
-    n = df.count()
-    return F.broadcast(df) if n <= max_rows else df

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from candela import schemas as S
 from candela.operators.dedup import first_arrival, first_arrival_stream
-from candela.operators.expectations import broadcast_if_small, expect_or_fail
+from candela.operators.expectations import expect_or_fail
 
 FACT_MEASURES = ["open", "high", "low", "close", "volume", "quote_asset_volume", "number_of_trades",
                  "taker_buy_base_vol", "taker_buy_quote_vol", "price_range", "price_change",
@@ -22,12 +22,12 @@ def final_candles(valid: DataFrame) -> DataFrame:
 
 
 def to_fact(candles: DataFrame, dim_symbol: DataFrame, processed_ts: bool = False) -> DataFrame:
-    """Attach symbol_id (broadcast of the checked-size dimension, left join) and project the fact.
+    """Attach symbol_id (left join; the planner broadcasts a small dimension) and project the fact.
 
     The expectations then make an unknown symbol or a missing minute abort the job, so the left
     join behaves as an inner join that refuses to drop rows silently.
     """
-    dim = broadcast_if_small(dim_symbol.select("symbol", "symbol_id"))
+    dim = dim_symbol.select("symbol", "symbol_id")
     joined = candles.join(dim, on="symbol", how="left")
     audit = [F.current_timestamp().alias("gold_processed_ts")] if processed_ts else []
     fact = joined.select(F.col("symbol_id"), F.col("open_time_ts").alias("timestamp_key"),

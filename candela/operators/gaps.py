@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela import schemas as S
-from candela.operators.expectations import broadcast_if_small
 
 
 def as_of_from(df: DataFrame, ts: str) -> dt.datetime:
@@ -71,7 +70,7 @@ def gap_report(fact: DataFrame, dim_symbol: DataFrame, as_of: dt.datetime,
     exp = expected_minutes(dim_symbol, start, end)
     if respect_listing:
         listing = dim_symbol.select("symbol_id", F.to_timestamp("tracking_start_ts").alias("_listed"))
-        exp = (exp.join(broadcast_if_small(listing), "symbol_id")
+        exp = (exp.join(listing, "symbol_id")
                   .filter(F.col("_listed").isNull() | (F.col("minute") >= F.col("_listed"))).drop("_listed"))
     missing = exp.join(present_minutes(fact, start, end), ["symbol_id", "minute"], "left_anti")
     return missing.select("symbol", F.col("minute").alias("missing_minute"))

@@ -15,6 +15,7 @@ is not dropped as late, which a watermark-bounded dedup would do.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -64,6 +65,8 @@ def silver_batch_writer(clean_path: str, quarantine_path: str, rules: RuleSet =
     clean: upsert (greatest sequence per key) into date partitions;
     quarantine: rows failing any rule, in a ``batch_id=`` partition overwritten on replay.
     """
+    own_run = uuid.uuid4().hex  # for batches handed over outside of a streaming query
+
     def write(batch: DataFrame, batch_id: int) -> None:
         tagged = rules.tag(batch).persist()
         try:
@@ -72,7 +75,10 @@ def silver_batch_writer(clean_path: str, quarantine_path: str, rules: RuleSet =
                              lambda df: latest_per_key(df, keys + [DATE_COL], sequence))
             q = (tagged.filter(~F.col("is_valid")).drop("is_valid")
                        .withColumn("quarantine_ts", F.current_timestamp()))
-            (q.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/batch_id={batch_id}"))
+            # batch numbers restart with every checkpoint: the query's id (kept in its checkpoint, so
+            # a replayed batch overwrites itself) tells two runs apart
+            run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or own_run
+            q.write.mode("overwrite").parquet(f"{quarantine_path.rstrip('/')}/run={run}/batch_id={batch_id}")
         finally:
             tagged.unpersist()
     return write
@@ -83,10 +89,13 @@ def fact_batch_writer(fact_path: str, dim_symbol: DataFrame):
     per (symbol, minute) wins across all batches (deterministic, replay-safe)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         finals = batch.filter(F.col("is_final"))
-        fact = to_fact(first_arrival(finals), dim_symbol)
-        merge_into_dates(fact, fact_path, F.to_date("timestamp_key"),
-                         lambda df: first_arrival(df, ["symbol_id", "timestamp_key"],
-                                                  ["ingestion_timestamp", "source_system"]))
+        fact = to_fact(first_arrival(finals), dim_symbol).persist()  # read for the dates and for the merge
+        try:
+            merge_into_dates(fact, fact_path, F.to_date("timestamp_key"),
+                             lambda df: first_arrival(df, ["symbol_id", "timestamp_key"],
+                                                      ["ingestion_timestamp", "source_system"]))
+        finally:
+            fact.unpersist()
     return write
 
 

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candela.operators.dims import dim_symbol, dim_time, minute_series
-from candela.operators.expectations import broadcast_if_small, count_violations, expect_or_fail
+from candela.operators.expectations import count_violations, expect_or_fail
 
 
 def test_dim_time_default_span(spark):
@@ -47,11 +47,12 @@ def test_expect_or_fail(spark):
     assert count_violations(bad, rules) == {"valid_symbol_key": 1, "valid_time_key": 0}
 
 
-def test_broadcast_only_below_bound(spark):
-    small = spark.range(10)
-    hinted = broadcast_if_small(small, 100)
-    assert hinted is not small and "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    assert broadcast_if_small(small, 5) is small
+def test_sequence_ids_are_dense_beyond_a_sampling_window(spark):
+    from candela.functions.ids import dense_sequence_id
+    rows = spark.range(200_000, numPartitions=8).selectExpr("md5(cast(id as string)) AS k", "id AS carried", "repeat('x', cast(id % 50 as int)) AS more")
+    out = dense_sequence_id(rows, ["k"], num_partitions=8).selectExpr(
+        "count(*) AS n", "count(distinct id) AS d", "max(id) AS hi", "min(id) AS lo").first()
+    assert (out.n, out.d, out.hi, out.lo) == (200_000, 200_000, 200_000, 1)
 
 
 def test_prepare_is_idempotent(spark):

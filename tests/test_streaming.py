@@ -115,3 +115,13 @@ def test_fact_merge_keeps_history_loaded_after_live(spark, tmp_dir):
     write(batch([("d", t(2020, 1, 1, 0, 1))]), 1)  # replayed batch
     got = sorted(r.timestamp_key for r in spark.read.parquet(f"{tmp_dir}/fact").collect())
     assert got == [t(2020, 1, 1, 0, 0), t(2020, 1, 1, 0, 1), t(2024, 6, 1, 10, 0), t(2024, 6, 1, 10, 1)]
+
+
+def test_two_runs_with_one_batch_number_keep_all_dead_letters(spark, tmp_dir):
+    from candela.operators.stage import stage
+    from candela.plans.catalog import bronze_frame
+    rows = stage(bronze_frame(spark, "/root/testdata/sf0.001"))
+    bad = rows.withColumn("symbol", F.lit(None).cast("string"))
+    for k in (0, 1):
+        ST.silver_batch_writer(f"{tmp_dir}/clean{k}", f"{tmp_dir}/quarantine")(bad.filter(F.pmod(F.hash("open_time"), F.lit(2)) == k), 0)
+    assert spark.read.parquet(f"{tmp_dir}/quarantine").count() == bad.count()
