@@ -22,6 +22,9 @@ an empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -35,7 +38,8 @@ from candela.llm.stages import written
 FREQUENT = 4096                  # a word with this part of all training tokens or more is a context of its own
 ENDINGS = 1 << 14
 CONTEXTS = 1 + FREQUENT + ENDINGS
-GROUP_TOKENS = 3_000_000
+GROUP_TOKENS = 1_200_000
+FLUSH_TOKENS = 800_000
 BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0
 SEED = 29
@@ -43,6 +47,13 @@ FLUSH_DOCS = 60_000
 END = np.uint64(0x5E0FD0C5E0FD0C11)   # the end token's hash
 
 
+def _release() -> None:
+    """Hand freed memory back to the system: workers live on between tasks, and memory is shared with the executor's heap."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 class Tokens:
     """Tokens of a chunk: hash and context of each, and the row it is in."""
 
@@ -117,6 +128,8 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
     def flush(number, tokens, rows):
         h, ctx, doc = (np.concatenate(x) for x in zip(*tokens))
         about = [np.concatenate(x) for x in zip(*rows)]
+        tokens.clear()
+        rows.clear()
         turn = np.argsort(about[2], kind="stable")      # training documents first
         about = [x[turn] for x in about]
         place = np.empty(len(turn), np.uint16)
@@ -124,10 +137,11 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
         doc, n_train = place[doc], np.array([(about[2] == 0).sum()], "<u4")
         known = frequent.value
         at = np.searchsorted(known, h)
-        freq = np.where((at < len(known)) & (known[np.minimum(at, max(0, len(known) - 1))] == h), at + 1, 0) if len(known) else np.zeros(len(h), np.int64)
+        freq = np.where((at < len(known)) & (known[np.minimum(at, max(0, len(known) - 1))] == h), at + 1, 0).astype(np.uint16) if len(known) else np.zeros(len(h), np.uint16)
         key = np.where(freq > 0, K.mix(h ^ K.mix(ctx.astype(np.uint64) + np.uint64(1))), h)
         order = np.lexsort((doc, ctx, key))
         key, ctx, doc, freq = key[order], ctx[order], doc[order], freq[order]
+        del h, at, order
         new = np.concatenate(([True], (key[1:] != key[:-1]) | (ctx[1:] != ctx[:-1]) | (doc[1:] != doc[:-1])))
         start = np.flatnonzero(new)
         count = np.diff(np.append(start, len(key))).astype("<u4")
@@ -143,6 +157,8 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
             many = count[lo:hi] if (count[lo:hi] > 1).any() else np.zeros(0, "<u4")
             yield int(g), number, _pack(n_train, key[first[a:b]], freq[first[a:b]].astype("<u2"), per_key[a:b].astype("<u4"), ctx[lo:hi], doc[lo:hi].astype("<u2"), many)
         yield -1 - number % groups, number, _pack(*about)
+        del key, ctx, doc, freq, count, new, start
+        _release()
 
     def run(batches):
         part, seq, tokens, rows, n_tokens, n_docs = TaskContext.get().partitionId(), 0, [], [], 0, 0
@@ -153,7 +169,7 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip(item, (pa.int64(), pa.int64(), pa.binary()))], schema=schema)
         for batch in batches:
             for piece in _parts(batch):
-                if n_docs and (n_docs + piece.num_rows > FLUSH_DOCS or n_tokens >= GROUP_TOKENS):
+                if n_docs and (n_docs + piece.num_rows > FLUSH_DOCS or n_tokens >= FLUSH_TOKENS):
                     yield from out()
                     seq, tokens, rows, n_tokens, n_docs = seq + 1, [], [], 0, 0
                 t = Tokens(piece.column("text"), frequent.value)
@@ -172,6 +188,7 @@ def _grouped(packed: DataFrame, groups: int) -> DataFrame:
     def join(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("flush")
         return pd.DataFrame({"g": [rows["g"].iloc[0]], "flushes": [rows["flush"].tolist()], "sizes": [[len(b) for b in rows["blob"]]], "blob": [b"".join(rows["blob"])]})
+
     return packed.groupBy("g").applyInPandas(join, "g bigint, flushes array<bigint>, sizes array<bigint>, blob binary")
 
 
@@ -302,6 +319,8 @@ def _sums(stored: DataFrame, history: list[dict], words: int) -> dict:
                     ids, inv = np.unique(at, return_inverse=True)
                     total = np.bincount(inv, weights=value, minlength=len(ids)).astype(np.int64)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids.astype(np.int64)), pa.array(total)], names=["kind", "at", "value"])
+                del g, chain
+                _release()
 
     added = stored.filter("g >= 0").select("g", "flushes", "sizes", "blob").mapInArrow(run, "kind int, at bigint, value bigint").groupBy("kind", "at").agg(F.sum("value").alias("value"))
     size = {"ctx_c": CONTEXTS, "ctx_t": CONTEXTS, "freq_c": words, "freq_n0": words, "scalar": len(_SCALARS)}
