@@ -57,9 +57,9 @@ seen AS (
 seg AS (SELECT *, head || body || '<|end|>' || chr(10) AS segment FROM seen),
 placed AS (
   SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id, speaker ORDER BY turn, role, body
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS at FROM seg)
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS seg_at FROM seg)
 SELECT conv_id, speaker, count(*) AS n_turns, string_agg(segment, '' ORDER BY turn, role, body) AS text,
-       coalesce(string_agg(CAST(CAST(at + length(head) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(at + length(segment) AS BIGINT) AS VARCHAR), ','
+       coalesce(string_agg(CAST(CAST(seg_at + length(head) AS BIGINT) AS VARCHAR) || '-' || CAST(CAST(seg_at + length(segment) AS BIGINT) AS VARCHAR), ','
                 ORDER BY turn, role, body) FILTER (WHERE own), '') AS mask_spans
 FROM placed GROUP BY conv_id, speaker
 """
