@@ -29,12 +29,22 @@ NEAR_WORDS = 10
 BITS = 24
 
 
-_WORD, _GAP = "[^ \\t\\x0b\\f\\r]+", "[ \\t\\x0b\\f\\r]+"
+#: What a text has if its lines are not yet words with one space between them.
+_UNEVEN = ("  ", "\t", "\x0b", "\f", "\r", " \n", "\n ")
 
 
-def _long(line: Column) -> Column:
-    """Whether a line has MIN_WORDS words or more."""
-    return F.coalesce(line.rlike(f"^(?:{_GAP})?(?:{_WORD}{_GAP}){{{MIN_WORDS - 1}}}{_WORD}"), F.lit(False))
+def _even(text: Column) -> Column:
+    """``text`` with one space between the words of a line and none at its ends: lines of equal words are equal strings."""
+    uneven = F.lit(False)
+    for x in _UNEVEN:
+        uneven = uneven | F.contains(text, F.lit(x))
+    even = F.regexp_replace(F.regexp_replace(text, "[ \\t\\x0b\\f\\r]+", " "), " ?\n ?", "\n")
+    return F.trim(F.when(uneven, even).otherwise(text), F.lit(" "))
+
+
+def _size(line: Column) -> Column:
+    """Number of words of an even line (1 for an empty one)."""
+    return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
 
 
 def _once(value: Column) -> Column:
@@ -43,22 +53,26 @@ def _once(value: Column) -> Column:
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The place, words and hashes of each line of MIN_WORDS words or more."""
+    """The place, even text, number of words and hashes of each line of MIN_WORDS words or more."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
-    lines = rows.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split("text", "\n")).alias("line_no", "line")).filter(_long(F.col("line")))
-    cut = lines.select("id", "th", "line_no", _once(F.split(F.trim("line", F.lit(" \t\x0b\x0c\r")), _GAP)).alias("words"))
+    lines = rows.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split(_even(F.col("text")), "\n")).alias("line_no", "line"))
+    lines = lines.select("*", _once(_size(F.col("line"))).alias("n")).filter(F.col("n") >= MIN_WORDS)
     place = F.struct(F.col("id").isNull().alias("null_id"), "id", "th", "line_no").alias("place")
-    return cut.select(place, "words", F.xxhash64("words").alias("h1"), F.xxhash64(F.lit(1), "words").alias("h2"))
+    return lines.select(place, "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+
+
+def _first(line: str, words: Column) -> Column:
+    """The first words of an even line, or the last ones for a number below 0."""
+    return F.call_function("substring_index", F.col(line), F.lit(" "), words)
 
 
 def _half_keys() -> Column:
     """Hashes of the first and last half, for the shorter line of a pair having as many words, or one less."""
-    n = F.size("words")
     keys = []
-    for short in (n, n - 1):
+    for short in (F.col("n"), F.col("n") - 1):
         half = F.shiftright(short, 1)
-        keys += [F.xxhash64(short, F.lit(0), F.slice("words", F.lit(1), half)), F.xxhash64(short, F.lit(1), F.slice("words", n - half + 1, half))]
-    return F.when(n >= NEAR_WORDS, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
+        keys += [F.xxhash64(short, F.lit(0), _first("line", half)), F.xxhash64(short, F.lit(1), _first("line", -half))]
+    return F.when(F.col("n") >= NEAR_WORDS, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _near(firsts: DataFrame, lines: DataFrame) -> DataFrame:
@@ -74,28 +88,31 @@ def _near(firsts: DataFrame, lines: DataFrame) -> DataFrame:
         a = F.shiftrightunsigned(F.col("halves")[k], 64 - BITS)
         some = (some.withColumn(f"a{k}", a).join(F.broadcast(bitmap.withColumnsRenamed({"piece": f"p{k}", "bits": f"b{k}"})), F.shiftright(F.col(f"a{k}"), 6) == F.col(f"p{k}"), "left")
                 .withColumn(f"in{k}", F.expr(f"coalesce(b{k} & shiftleft(1L, cast(a{k} & 63 as int)), 0L) <> 0L")).drop(f"a{k}", f"p{k}", f"b{k}"))
-    some = some.filter("in0 or in1 or in2 or in3").groupBy("h1", "h2").agg(F.min(F.struct("place", "words")).alias("m"), F.any_value("halves").alias("halves"))
-    some = written(some.select("h1", "h2", "m.place", "m.words", "halves"), "op7-some")
+    some = some.filter("in0 or in1 or in2 or in3").groupBy("h1", "h2").agg(F.min(F.struct("place", "line")).alias("m"), F.any_value("halves").alias("halves"))
+    some = written(some.select("h1", "h2", "m.place", "m.line", "halves"), "op7-some")
     true = some.select("h1", "h2", F.explode("halves").alias("half")).join(halves, "half").select("h1", "h2").distinct()
-    asked = written(some.drop("halves").join(true, ["h1", "h2"], "left_semi"), "op7-asked")
+    # ranks in the order of places: a variant carries one number for its line
+    asked = some.drop("halves").join(true, ["h1", "h2"], "left_semi").repartitionByRange("place").sortWithinPartitions("place")
+    asked = written(asked.select(F.monotonically_increasing_id().alias("rank"), "line", "h1", "h2"), "op7-asked")
 
     # variants: role 0 marked with the place left out, 1 unmarked (of the longer line), 2 the whole line (the shorter)
-    n = F.size("words")
-    hashed = asked.select("h1", "h2", "place", _once(F.transform("words", lambda w: F.xxhash64(w))).alias("h"), n.alias("n"))
+    cut = asked.select("rank", _once(F.transform(F.split("line", " "), lambda w: F.xxhash64(w))).alias("h"))
+    hashed = cut.select("rank", "h", F.size("h").alias("n"))
     n = F.col("n")
     without = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(i.alias("i"), F.xxhash64(F.concat(F.slice("h", F.lit(1), i - 1), F.slice("h", i + 1, n - i))).alias("v")))
-    left_out = hashed.select("h1", "h2", "place", "n", F.inline(without))
+    left_out = hashed.select("rank", "n", F.inline(without))
     keys = F.array(F.struct(F.lit(0).alias("role"), F.xxhash64(F.lit(0), "n", "i", "v").alias("key")), F.struct(F.lit(1).alias("role"), F.xxhash64(F.lit(1), "v").alias("key")))
-    out = left_out.select(F.inline(keys), "h1", "h2", "place")
-    whole = hashed.select(F.lit(2).alias("role"), F.xxhash64(F.lit(1), F.xxhash64("h")).alias("key"), "h1", "h2", "place")
+    out = left_out.select(F.inline(keys), "rank")
+    whole = hashed.select(F.lit(2).alias("role"), F.xxhash64(F.lit(1), F.xxhash64("h")).alias("key"), "rank")
     variants = out.union(whole)
-    first = variants.groupBy("key", "role").agg(F.min("place").alias("earlier")).withColumnsRenamed({"key": "k", "role": "r"})
+    first = variants.groupBy("key", "role").agg(F.min("rank").alias("earlier")).withColumnsRenamed({"key": "k", "role": "r"})
     partner = F.element_at(F.array(F.lit(0), F.lit(2), F.lit(1)), F.col("role") + 1)
-    met = variants.join(first, (F.col("key") == F.col("k")) & (partner == F.col("r"))).filter("earlier < place").select("h1", "h2", "earlier").distinct()
+    met = variants.join(first, (F.col("key") == F.col("k")) & (partner == F.col("r"))).filter("earlier < rank").select("rank", "earlier").distinct()
 
-    mine = met.join(asked.select("h1", "h2", "words"), ["h1", "h2"])
-    other = asked.select(F.col("place").alias("earlier"), F.col("words").alias("theirs"))
-    return mine.join(other, "earlier").filter(within_one_edit(F.col("words"), F.col("theirs"))).select("h1", "h2").distinct()
+    words = lambda line: F.split(line, " ")
+    other = asked.select(F.col("rank").alias("earlier"), F.col("line").alias("theirs"))
+    both = met.join(asked, "rank").join(other, "earlier").select("h1", "h2", words("line").alias("mine"), words("theirs").alias("theirs"))
+    return both.filter(within_one_edit(F.col("mine"), F.col("theirs"))).select("h1", "h2").distinct()
 
 
 def within_one_edit(a: Column, b: Column) -> Column:
@@ -118,8 +135,12 @@ def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     by_doc = kept.groupBy(F.col("place.id").alias("__id"), F.col("place.th").alias("__th")).agg(F.collect_list("place.line_no").alias("__kept"))
     rows = docs.drop("n_lines", "n_dropped").withColumn("__doc", F.col(doc_id).cast("long")).withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
     out = rows.join(by_doc, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
-    every = F.split(F.col(text).cast("string"), "\n")
-    stays = F.filter(every, lambda line, i: ~_long(line) | F.coalesce(F.array_contains("__kept", i), F.lit(False)))
-    out = out.withColumn("__stays", stays)
-    return (out.withColumn("n_lines", F.coalesce(F.size(every), F.lit(0)).cast("long")).withColumn("n_dropped", F.coalesce(F.size(every) - F.size("__stays"), F.lit(0)).cast("long"))
-            .withColumn(text, F.array_join("__stays", "\n")).select(*docs.drop("n_lines", "n_dropped").columns, "n_lines", "n_dropped"))
+    whole = F.col(text).cast("string")
+    compared = F.filter(F.transform(F.split(_even(whole), "\n"), lambda line, i: F.when(_size(line) >= MIN_WORDS, i)), lambda i: i.isNotNull())
+    goes = F.array_except(compared, F.coalesce("__kept", F.array().cast("array<int>")))
+    out = out.select("*", _once(F.struct(F.split(whole, "\n").alias("every"), goes.alias("goes"))).alias("__l"))
+    every, goes = F.col("__l.every"), F.col("__l.goes")
+    stays = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), goes)
+    left = F.when(F.size(goes) == 0, whole).otherwise(F.array_join(F.transform(stays, lambda i: every[i]), "\n"))
+    return (out.withColumn("n_lines", F.coalesce(F.size(every), F.lit(0)).cast("long")).withColumn("n_dropped", F.coalesce(F.size(goes), F.lit(0)).cast("long"))
+            .withColumn(text, left).select(*docs.drop("n_lines", "n_dropped").columns, "n_lines", "n_dropped"))
