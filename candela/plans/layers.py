@@ -12,7 +12,7 @@ import threading
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from candela.session import scratch_path
+from candela.session import scratch_path, stamp
 
 # Table registry: quality tier and description of each stored table (kept with the code rather
 # than in storage-engine table properties).
@@ -52,21 +52,11 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 
 def stored(spark: SparkSession, name: str, key: str, build, partition_by=None, sort_by=None) -> DataFrame:
-    """Build-once table for (application, name, key); later calls read the stored copy."""
-    memo_key = (spark.sparkContext.applicationId, name, key)
+    """Build-once table for (application, name, input folder and its files); later calls read the stored copy."""
+    memo_key = (spark.sparkContext.applicationId, name, key, stamp(spark, key))
     with _LOCK:
         path = _MEMO.get(memo_key)
         if path is None:
             path = write_table(build(), scratch_path(spark, name), partition_by, sort_by)
             _MEMO[memo_key] = path
     return spark.read.parquet(path)
-
-
-def table_properties(name: str) -> dict:
-    return dict(TABLES.get(name, {}))
-
-
-def forget() -> None:
-    """Drop the build-once memo (the stored files stay; the next call writes fresh copies)."""
-    with _LOCK:
-        _MEMO.clear()

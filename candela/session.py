@@ -52,11 +52,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         b = b.config(k, v)
     spark = b.getOrCreate()
     for k, v in conf.items():
-        if not k.startswith("spark.ui") and not k.startswith("spark.driver"):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # static conf of a session that already existed
-                pass
+        if spark.conf.isModifiable(k):  # static settings of a session that already existed stay
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark
@@ -90,11 +87,8 @@ def apply_sql_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable base settings to a session someone else built (static
     settings such as the UI stay as they are)."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql."):
-            try:
-                spark.conf.set(k, v)
-            except Exception:  # noqa: BLE001 - static or unsupported in this deployment
-                pass
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
 
@@ -102,11 +96,13 @@ def apply_sql_conf(spark: SparkSession) -> None:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    A cluster sets it to shared storage; only where it is unset (tests, local runs) do we
-    choose one ourselves.
+    A cluster sets it to shared storage; only where it is unset and the master is local (tests, local runs) do we
+    choose one ourselves: elsewhere a temporary folder would be a different disk on each node.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith(("local[", "local-")) and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a shared folder")
         path = tempfile.mkdtemp(prefix="candela-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -119,11 +115,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
+def _status(spark: SparkSession, path: str) -> list:
+    """File statuses of a path through Spark's file system layer; none where it does not exist."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return list(fs.listStatus(p)) if fs.exists(p) else []
 
 
-def local_dir(path: str) -> str:
-    p = path[len("file:"):] if path.startswith("file:") else path
-    os.makedirs(p, exist_ok=True)
-    return p
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a stored table has anything in it (hidden files apart)."""
+    return any(not x.getPath().getName().startswith(("_", ".")) for x in _status(spark, path))
+
+
+def write_finished(spark: SparkSession, path: str) -> bool:
+    """Whether the job that wrote a folder came to its end."""
+    return any(x.getPath().getName() == "_SUCCESS" for x in _status(spark, path))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def stamp(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of a folder's entries: it changes when a table in it is written anew."""
+    return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in _status(spark, folder)))
