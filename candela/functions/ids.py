@@ -34,5 +34,6 @@ def dense_sequence_id(df: DataFrame, order_by: list[str], name: str = "id",
 
 
 def stable_hash_id(*cols) -> "F.Column":
-    """Order-free id that never changes when other keys are added (64-bit xxhash, non-negative)."""
-    return F.abs(F.xxhash64(*cols))
+    """Order-free id that never changes when other keys are added (63 bits of xxhash64, non-negative).
+    Equal ids of different keys are possible: check distinct ids against distinct keys where that matters."""
+    return F.xxhash64(*cols).bitwiseAND(F.lit((1 << 63) - 1))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candela import schemas as S
 from candela.functions.columns import time_parts
 from candela.functions.ids import dense_sequence_id, stable_hash_id
+from candela.session import table_exists
 
 SYMBOL_COLUMNS = [f.name for f in S.SYMBOL_RECORD.fields]
 
@@ -25,13 +26,27 @@ def dim_symbol(records: DataFrame, id_mode: str = "sequence") -> DataFrame:
     return dense_sequence_id(base, ["symbol"], "symbol_id")
 
 
+def register_symbols(registry: str, records: DataFrame) -> DataFrame:
+    """Symbol dimension whose ids never change: (symbol, symbol_id) rows are kept in an append-only table at ``registry``;
+    symbols seen for the first time get the next ids, in symbol order. A stored fact stays keyed when symbols are added.
+    One writer at a time."""
+    spark = records.sparkSession
+    schema = "symbol string, symbol_id int"
+    known = spark.read.schema(schema).parquet(registry) if table_exists(spark, registry) else spark.createDataFrame([], schema)
+    top = known.agg(F.coalesce(F.max("symbol_id"), F.lit(0)).alias("top")).first()["top"]
+    fresh = records.select("symbol").filter("symbol IS NOT NULL").distinct().join(known, "symbol", "left_anti")
+    ids = dense_sequence_id(fresh, ["symbol"], "symbol_id").withColumn("symbol_id", (F.col("symbol_id") + top).cast("int"))
+    ids.write.mode("append").parquet(registry)
+    return records.select(*SYMBOL_COLUMNS).join(spark.read.schema(schema).parquet(registry), "symbol").select(*SYMBOL_COLUMNS, "symbol_id")
+
+
 def minute_series(spark: SparkSession, start: str, end: str, name: str = "timestamp_key",
                   num_partitions: int | None = None) -> DataFrame:
     """Every minute from start to end inclusive, generated in parallel (``range``, not a literal
     array: a ``sequence`` of literals is folded into one huge constant in one row)."""
     bounds = spark.sql(f"SELECT unix_seconds(timestamp'{start}') AS s, unix_seconds(timestamp'{end}') AS e").first()
     n = (bounds.e - bounds.s) // 60 + 1
-    parts = num_partitions or max(1, min(int(n // 500_000) + 1, 4096))
+    parts = num_partitions or int(n // 500_000) + 1
     return spark.range(0, n, 1, parts).select(F.timestamp_seconds(F.lit(bounds.s) + F.col("id") * 60).alias(name))
 
 

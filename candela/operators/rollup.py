@@ -31,29 +31,28 @@ def rollup(fact: DataFrame, grain: str = "hour", key: str = "symbol_id", ts: str
     symbol-bucket, so a busy symbol spreads over many groups. Ratios divide last, on exact sums,
     and are NULL when the divisor is 0.
     """
-    bucket = bucket_of(grain, ts)
-    aggs = []
-    if ohlc:
-        aggs += [F.min_by(price_open, ts).alias("open"), F.max(price_high).alias("high"),
-                 F.min(price_low).alias("low"), F.max_by(price_close, ts).alias("close")]
-    aggs += [F.sum(volume).alias("total_base_volume"), F.sum(quote).alias("total_quote_volume")]
-    if trades:
-        aggs.append(F.sum(trades).alias("total_trades"))
-    aggs.append(F.sum(taker).alias("taker_buy_volume"))
-    g = fact.groupBy(key, bucket).agg(*aggs)
-    cols = [F.col(key), F.col(bucket_name(grain))]
-    if ohlc:
-        cols += [F.col(c) for c in ("open", "high", "low", "close")]
-    cols.append(F.col("total_base_volume"))
-    if trades:
-        cols.append(F.col("total_trades"))
-    cols.append((F.col("total_quote_volume") / null_if_zero("total_base_volume")).alias("vwap"))
-    if ohlc:
-        cols.append(((F.col("high") - F.col("low")) / null_if_zero("open")).alias("amplitude_pct"))
-    cols.append((F.col("taker_buy_volume") / null_if_zero("total_base_volume")).alias("buy_pressure_ratio"))
-    if extra_sums:
-        cols += [F.col("total_quote_volume"), F.col("taker_buy_volume")]
-    return g.select(*cols)
+    g = fact.groupBy(key, bucket_of(grain, ts)).agg(*sums(ts, ohlc, price_open, price_high, price_low, price_close, volume, quote, trades, taker))
+    return g.select(key, bucket_name(grain), *ratios(ohlc, bool(trades)), *(["total_quote_volume", "taker_buy_volume"] if extra_sums else []))
+
+
+def sums(ts: str = "timestamp_key", ohlc: bool = True, price_open: str = "open", price_high: str = "high", price_low: str = "low",
+         price_close: str = "close", volume: str = "volume", quote: str = "quote_asset_volume",
+         trades: str | None = "number_of_trades", taker: str = "taker_buy_base_vol") -> list[Column]:
+    """The aggregates of a bucket."""
+    prices = [F.min_by(price_open, ts).alias("open"), F.max(price_high).alias("high"),
+              F.min(price_low).alias("low"), F.max_by(price_close, ts).alias("close")]
+    totals = [F.sum(volume).alias("total_base_volume"), F.sum(quote).alias("total_quote_volume"),
+              *([F.sum(trades).alias("total_trades")] if trades else []), F.sum(taker).alias("taker_buy_volume")]
+    return (prices if ohlc else []) + totals
+
+
+def ratios(ohlc: bool = True, trades: bool = True) -> list[Column]:
+    """The columns of a summary, from a bucket's aggregates."""
+    over = lambda a, b: F.col(a) / null_if_zero(b)
+    return [*(F.col(c) for c in ("open", "high", "low", "close") if ohlc), F.col("total_base_volume"), *([F.col("total_trades")] if trades else []),
+            over("total_quote_volume", "total_base_volume").alias("vwap"),
+            *([((F.col("high") - F.col("low")) / null_if_zero("open")).alias("amplitude_pct")] if ohlc else []),
+            over("taker_buy_volume", "total_base_volume").alias("buy_pressure_ratio")]
 
 
 def hourly_summary(fact: DataFrame, **kw) -> DataFrame:

@@ -29,7 +29,7 @@ from candela.streaming import runner as ST
 class Paths:
     base: str
 
-    def __getattr__(self, name):  # bronze, clean, quarantine, fact, hourly
+    def __getattr__(self, name):  # bronze, clean, quarantine, fact, hourly, hourly_all
         if name.startswith("_"):
             raise AttributeError(name)
         return f"{self.base.rstrip('/')}/{name}"
@@ -46,9 +46,13 @@ def bronze_stream(spark: SparkSession, csv_dir: str, messages: DataFrame | None
     return unify(*routes)
 
 
-def _bronze_table_stream(spark: SparkSession, paths: Paths) -> DataFrame:
+#: Files of the bronze table that one micro-batch takes: the first run over a long history is many bounded batches.
+MAX_FILES_PER_TRIGGER = 256
+
+
+def _bronze_table_stream(spark: SparkSession, paths: Paths, max_files: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     schema = spark.read.parquet(paths.bronze).schema
-    return spark.readStream.schema(schema).parquet(paths.bronze)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files)).parquet(paths.bronze)
 
 
 def run_bronze(spark, csv_dir, paths: Paths, messages=None, available_now=True, **kw):
@@ -65,7 +69,7 @@ def run_silver(spark, paths: Paths, rules: RuleSet = KLINE_RULES, available_now=
 
 def run_fact(spark, paths: Paths, dim_symbol: DataFrame, rules: RuleSet = KLINE_RULES, available_now=True, **kw):
     valid = rules.valid(stage(_bronze_table_stream(spark, paths)))
-    return ST.run(valid, paths.checkpoint("fact"), foreach_batch=ST.fact_batch_writer(paths.fact, dim_symbol),
+    return ST.run(valid, paths.checkpoint("fact"), foreach_batch=ST.fact_batch_writer(paths.fact, dim_symbol, paths.hourly_all),
                   available_now=available_now, **kw)
 
 
@@ -73,8 +77,8 @@ def run_hourly(spark, paths: Paths, dim_symbol: DataFrame, rules: RuleSet = KLIN
                available_now=True, **kw):
     """Live route of the hourly summary: dedup under the 10-minute watermark, then hourly windows
     emitted once that watermark passes the hour's end (one watermark per stream, so the dedup
-    bound is also the emission delay). History loaded later than the watermark belongs to the
-    batch rollup over the fact table (the two routes meet in the fact)."""
+    bound is also the emission delay). Rows later than the watermark are not in it; ``hourly_all``, made anew from the
+    fact for the dates of each fact batch, has them."""
     valid = rules.valid(stage(_bronze_table_stream(spark, paths)))
     fact = to_fact(final_candles(valid), dim_symbol)
     return ST.run(ST.hourly_final(fact, None), paths.checkpoint("hourly"), sink_path=paths.hourly,

@@ -7,7 +7,7 @@ under the shared checkpoint folder, so a restarted or re-scheduled run resumes w
 continuous one.
 
 Keyed tables (silver clean, fact) are maintained in ``foreachBatch`` by merging the micro-batch
-into the date partitions it touches (parquet, dynamic partition overwrite). The merge keeps the
+into the date partitions it touches (parquet, dynamic partition overwrite from a finished copy). The merge keeps the
 greatest sequence (upsert) or the earliest arrival (fact), so replaying a batch after a failure
 changes nothing and the outcome does not depend on arrival order: history loaded after live data
 is not dropped as late, which a watermark-bounded dedup would do.
@@ -22,40 +22,50 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candela import schemas as S
-from candela.functions.columns import null_if_zero
 from candela.operators.dedup import first_arrival
 from candela.operators.fact import to_fact
+from candela.operators.rollup import bucket_name, ratios, rollup, sums
 from candela.operators.rules import KLINE_RULES, RuleSet
 from candela.operators.upsert import KLINE_KEYS, KLINE_SEQUENCE, latest_per_key
+from candela.session import remove, table_exists, write_finished
 
 DATE_COL = "candle_date"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS")) or (
-        fs.exists(p) and len(fs.listStatus(p)) > 0)
-
-
-def merge_into_dates(batch: DataFrame, target: str, date_expr, combine: Callable[[DataFrame], DataFrame]) -> None:
+def merge_into_dates(batch: DataFrame, target: str, date_expr, keys: list[str], combine: Callable[[DataFrame], DataFrame]) -> list:
     """Merge rows into a parquet table partitioned by date: read only the touched partitions,
     combine with the batch, overwrite just those partitions. The list of touched dates is the
-    only thing brought to the driver (bounded by the days in one batch)."""
+    only thing brought to the driver (bounded by the days in one batch); it is returned.
+
+    An overwrite takes the old partitions away before the new files are in place. So the merged rows are first
+    written whole under ``target/_merge``, which readers skip; a run that finds such a copy finished carries
+    the overwrite through before anything else, and one that finds it unfinished drops it. One writer per table.
+    Rows are ranged on (date, keys): a micro-batch of one day is several tasks."""
     spark = batch.sparkSession
+    pending = f"{target.rstrip('/')}/_merge/rows"
+    _carry_through(spark, pending, target)
     b = batch.withColumn(DATE_COL, date_expr)
     dates = [r[0] for r in b.select(DATE_COL).distinct().collect()]
     if not dates:
-        return
-    if _exists(spark, target):
-        current = spark.read.parquet(target).filter(F.col(DATE_COL).isin(dates))
-        # Cut the lineage to the files being replaced before overwriting them.
-        merged = combine(current.unionByName(b.select(*current.columns))).checkpoint(eager=True)
+        return dates
+    if table_exists(spark, target):
+        current = spark.read.parquet(target)
+        mine = F.col(DATE_COL).isin([x for x in dates if x is not None])
+        current = current.filter(mine | F.col(DATE_COL).isNull() if None in dates else mine)
+        merged = combine(current.unionByName(b.select(*current.columns)))
     else:
         merged = combine(b)
-    (merged.repartitionByRange(F.col(DATE_COL)).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COL).parquet(target))
+    order = [F.col(c) for c in (DATE_COL, *keys)]
+    merged.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(pending)
+    _carry_through(spark, pending, target)
+    return dates
+
+
+def _carry_through(spark: SparkSession, pending: str, target: str) -> None:
+    if write_finished(spark, pending):
+        (spark.read.parquet(pending).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+              .partitionBy(DATE_COL).parquet(target))
+    remove(spark, pending)
 
 
 def silver_batch_writer(clean_path: str, quarantine_path: str, rules: RuleSet = KLINE_RULES,
@@ -71,7 +81,7 @@ def silver_batch_writer(clean_path: str, quarantine_path: str, rules: RuleSet =
         tagged = rules.tag(batch).persist()
         try:
             clean = tagged.filter("is_valid").drop("is_valid", "failed_rule", "failed_rules")
-            merge_into_dates(clean, clean_path, F.to_date("open_time_ts"),
+            merge_into_dates(clean, clean_path, F.to_date("open_time_ts"), keys,
                              lambda df: latest_per_key(df, keys + [DATE_COL], sequence))
             q = (tagged.filter(~F.col("is_valid")).drop("is_valid")
                        .withColumn("quarantine_ts", F.current_timestamp()))
@@ -84,39 +94,50 @@ def silver_batch_writer(clean_path: str, quarantine_path: str, rules: RuleSet =
     return write
 
 
-def fact_batch_writer(fact_path: str, dim_symbol: DataFrame):
+def fact_batch_writer(fact_path: str, dim_symbol: DataFrame, hourly_path: str | None = None):
     """foreachBatch body: final candles of the batch -> fact rows, merged so the earliest arrival
-    per (symbol, minute) wins across all batches (deterministic, replay-safe)."""
+    per (symbol, minute) wins across all batches (deterministic, replay-safe). Stored ids must not change
+    between batches: take the dimension from ``dims.register_symbols`` where symbols are added.
+    With ``hourly_path`` the hourly summary of the touched dates is made anew."""
     def write(batch: DataFrame, batch_id: int) -> None:
         finals = batch.filter(F.col("is_final"))
         fact = to_fact(first_arrival(finals), dim_symbol).persist()  # read for the dates and for the merge
         try:
-            merge_into_dates(fact, fact_path, F.to_date("timestamp_key"),
+            dates = merge_into_dates(fact, fact_path, F.to_date("timestamp_key"), ["symbol_id", "timestamp_key"],
                              lambda df: first_arrival(df, ["symbol_id", "timestamp_key"],
                                                       ["ingestion_timestamp", "source_system"]))
+            if hourly_path and dates:
+                rebuild_dates(batch.sparkSession, fact_path, hourly_path, dates)
         finally:
             fact.unpersist()
     return write
 
 
-def hourly_final(fact_stream: DataFrame, delay: str | None = S.HOURLY_FINAL_DELAY, key: str = "symbol_id",
-                 ts: str = "timestamp_key", width: str = "1 hour") -> DataFrame:
-    """Finalised bucket summary for append mode: a bucket is emitted once, when the watermark
+def bucket_final(fact_stream: DataFrame, grain: str = "hour", delay: str | None = S.HOURLY_FINAL_DELAY, key: str = "symbol_id",
+                 ts: str = "timestamp_key") -> DataFrame:
+    """Finalised summary per ``hour`` or ``day`` for append mode: a bucket is emitted once, when the watermark
     (max event time - delay) passes its end; late in-bucket rows that arrive before then are
     included. Grouping uses ``window()`` (a plain truncation is not allowed in append mode).
-    ``delay=None`` keeps a watermark defined upstream (a stream may define only one)."""
+    ``delay=None`` keeps a watermark defined upstream (a stream may define only one).
+    Rows later than the watermark are not in it: :func:`rebuild_dates` makes such buckets anew from the stored fact."""
     src = fact_stream.withWatermark(ts, delay) if delay else fact_stream
-    g = (src.groupBy(key, F.window(ts, width).alias("w"))
-                    .agg(F.min_by("open", ts).alias("open"), F.max("high").alias("high"), F.min("low").alias("low"),
-                         F.max_by("close", ts).alias("close"), F.sum("volume").alias("total_base_volume"),
-                         F.sum("quote_asset_volume").alias("total_quote_volume"),
-                         F.sum("number_of_trades").alias("total_trades"),
-                         F.sum("taker_buy_base_vol").alias("taker_buy_volume")))
-    return g.select(key, F.col("w.start").alias("hour_start"), "open", "high", "low", "close",
-                    "total_base_volume", "total_trades",
-                    (F.col("total_quote_volume") / null_if_zero("total_base_volume")).alias("vwap"),
-                    ((F.col("high") - F.col("low")) / null_if_zero("open")).alias("amplitude_pct"),
-                    (F.col("taker_buy_volume") / null_if_zero("total_base_volume")).alias("buy_pressure_ratio"))
+    g = src.groupBy(key, F.window(ts, f"1 {grain}").alias("w")).agg(*sums(ts))
+    start = F.col("w.start").cast("date") if grain == "day" else F.col("w.start")
+    return g.select(key, start.alias(bucket_name(grain)), *ratios())
+
+
+def hourly_final(fact_stream: DataFrame, delay: str | None = S.HOURLY_FINAL_DELAY, key: str = "symbol_id",
+                 ts: str = "timestamp_key") -> DataFrame:
+    return bucket_final(fact_stream, "hour", delay, key, ts)
+
+
+def rebuild_dates(spark: SparkSession, fact_path: str, summary_path: str, dates: list, grain: str = "hour") -> None:
+    """Summaries of the dates whose fact rows have changed, made anew from the stored fact: the summary table, partitioned by
+    date, then holds late rows too. Work follows the touched dates, not the history."""
+    fact = spark.read.parquet(fact_path).filter(F.col(DATE_COL).isin(dates))
+    day = F.to_date(bucket_name(grain))
+    (rollup(fact, grain).withColumn(DATE_COL, day).repartitionByRange(DATE_COL, "symbol_id").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COL).parquet(summary_path))
 
 
 def run(stream: DataFrame, checkpoint: str, *, foreach_batch=None, sink_path: str | None = None,

@@ -125,3 +125,46 @@ def test_two_runs_with_one_batch_number_keep_all_dead_letters(spark, tmp_dir):
     for k in (0, 1):
         ST.silver_batch_writer(f"{tmp_dir}/clean{k}", f"{tmp_dir}/quarantine")(bad.filter(F.pmod(F.hash("open_time"), F.lit(2)) == k), 0)
     assert spark.read.parquet(f"{tmp_dir}/quarantine").count() == bad.count()
+
+
+def test_merge_stopped_between_removal_and_new_files_loses_nothing(spark, tmp_dir):
+    """The copy is finished, the old partitions are gone, the new files are not there: the replay carries it through."""
+    from candela.session import remove
+    target, schema = f"{tmp_dir}/t", "symbol string, at timestamp, v int"
+    t = dt.datetime
+    rows = [("A", t(2024, 6, 1, 10, k % 60), k) for k in range(50)] + [("B", t(2024, 6, 2), 7)]
+    first = lambda df: df.dropDuplicates(["symbol", "at"])
+    merge = lambda rs: ST.merge_into_dates(spark.createDataFrame(rs, schema), target, F.to_date("at"), ["symbol", "at"], first)
+    assert len(merge(rows)) == 2
+    whole = sorted(spark.read.parquet(target).collect())
+    spark.read.parquet(target).write.parquet(f"{target}/_merge/rows")   # as a finished copy would be
+    remove(spark, f"{target}/{ST.DATE_COL}=2024-06-01")
+    assert spark.read.parquet(target).count() == 1
+    merge(rows[:3])
+    assert sorted(spark.read.parquet(target).collect()) == whole
+    # an unfinished copy is dropped
+    spark.createDataFrame(rows[:1], schema).write.parquet(f"{target}/_merge/rows")
+    remove(spark, f"{target}/_merge/rows/_SUCCESS")
+    merge(rows[3:4])
+    assert sorted(spark.read.parquet(target).collect()) == whole
+
+
+def test_symbol_added_between_fact_batches_loses_no_row(spark, tmp_dir):
+    from candela import schemas as S
+    from candela.operators.dims import register_symbols
+    from candela.operators.rules import KLINE_RULES
+    from candela.operators.stage import stage
+    from tests.test_stage_rules import bronze_rows
+    records = lambda names: spark.createDataFrame([(n, "TRADING", n, 8, "USDT", 8, "2020-01-01 00:00:00") for n in names], S.SYMBOL_RECORD)
+    ms = int((dt.datetime(2024, 6, 1) - dt.datetime(1970, 1, 1)).total_seconds() * 1000)
+
+    def batch(names):
+        b = bronze_rows(spark, [{"name": "x", "open_time": ms, "close_time": ms + 59999, "symbol": n} for n in names])
+        return KLINE_RULES.valid(stage(b)).withColumns({"ingestion_timestamp": F.lit("2024-06-02").cast("timestamp"), "source_system": F.lit("s")})
+    reg, fact, hourly = f"{tmp_dir}/ids", f"{tmp_dir}/fact", f"{tmp_dir}/hourly"
+    ST.fact_batch_writer(fact, register_symbols(reg, records(["B", "C"])), hourly)(batch(["B", "C"]), 0)
+    dim = register_symbols(reg, records(["A", "B", "C"]))
+    assert {r.symbol: r.symbol_id for r in dim.collect()} == {"B": 1, "C": 2, "A": 3}
+    ST.fact_batch_writer(fact, dim, hourly)(batch(["A", "B"]), 1)
+    assert sorted(r.symbol_id for r in spark.read.parquet(fact).collect()) == [1, 2, 3]
+    assert spark.read.parquet(hourly).count() == 3  # the late symbol's hour is there too
