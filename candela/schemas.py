@@ -25,6 +25,8 @@ MESSAGE_FIELDS = [
     ("v", "volume", "string"), ("n", "number_of_trades", "int"), ("q", "quote_asset_volume", "string"),
     ("V", "taker_buy_base_vol", "string"), ("Q", "taker_buy_quote_vol", "string"), ("x", "is_final", "boolean"),
 ]
+# Folder of the landing layout that names the symbol.
+SYMBOL_FROM_PATH = r"symbol=([^/]+)"
 # Epoch values above this are microseconds, otherwise milliseconds.
 EPOCH_MICROS_ABOVE = 9999999999999
 # Data-quality rules, in evaluation order (the first failing one names the quarantine reason).

@@ -11,8 +11,16 @@ from pyspark.sql import functions as F
 
 from candela import schemas as S
 
-SYMBOL_FROM_PATH = r"symbol=([^/]+)"
-CSV_OPTIONS = {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.RESCUE_COLUMN}
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # folder name of a NULL
+CSV_OPTIONS = {"columnPruning": "false", "header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": S.RESCUE_COLUMN}
+
+
+def symbol_of_path(path: Column) -> Column:
+    """The value of the ``symbol=`` folder: escapes of the file path and of the folder name decoded; NULL for none or the NULL folder."""
+    value = F.nullif(F.regexp_extract(path, S.SYMBOL_FROM_PATH, 1), F.lit(""))
+    for _ in range(2):
+        value = F.coalesce(F.try_url_decode(F.replace(value, F.lit("+"), F.lit("%2B"))), value)
+    return F.nullif(value, F.lit(NO_VALUE))
 
 
 def _finish(df: DataFrame, path_col: Column, ingestion: Column | None, source_system: str) -> DataFrame:
@@ -20,7 +28,7 @@ def _finish(df: DataFrame, path_col: Column, ingestion: Column | None, source_sy
     (not ``''``) so the symbol rule catches it."""
     return (df.withColumns({
                 "source_file": path_col,
-                "symbol": F.nullif(F.regexp_extract(path_col, SYMBOL_FROM_PATH, 1), F.lit("")),
+                "symbol": symbol_of_path(path_col),
                 "ingestion_timestamp": ingestion if ingestion is not None else F.current_timestamp(),
                 "source_system": F.lit(source_system),
                 "is_final": F.lit(True),
@@ -39,8 +47,7 @@ def read_csv_archives(spark: SparkSession, path: str, streaming: bool = False,
     bounds each batch. ``symbol``/``year`` path segments are not used as partition columns:
     the symbol is taken from the file path so a malformed path yields NULL.
     """
-    # Field-count checks need every field parsed (see session.BASE_CONF).
-    spark.conf.set("spark.sql.csv.parser.columnPruning.enabled", "false")
+    # Field-count checks need every field parsed: CSV_OPTIONS turn column pruning off for this read.
     reader = spark.readStream if streaming else spark.read
     reader = reader.format("csv").schema(S.CSV_SCHEMA).options(**CSV_OPTIONS)
     if streaming and max_files_per_trigger:
@@ -69,11 +76,12 @@ def archive_path(symbol: Column, year: Column, month: Column, root: str = "raw_k
 def write_landing(rows: DataFrame, root: str) -> None:
     """Land archive rows as headerless CSV in ``symbol=/year=/month=`` folders (Spark names the
     files inside each month folder; the readers above take the symbol from the path either way).
-    One shuffle groups each symbol-month into one task's output."""
+    One shuffle puts neighbouring symbol-months into one task's output."""
     cols = [n for n, _ in S.CSV_COLUMNS]
     out = rows.select(*[F.col(c) if c in rows.columns else F.lit(None).cast("string").alias(c) for c in cols],
-                      "symbol", "year", "month")
-    (out.repartition("symbol", "year", "month").write.mode("append").option("header", "false")
+                      "symbol", "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"))
+    # open time among the range keys: rows without symbol share a folder, not a task
+    (out.repartitionByRange("symbol", "year", "month", "open_time").write.mode("append").option("header", "false")
         .partitionBy("symbol", "year", "month").csv(root))
 
 
@@ -82,6 +90,39 @@ def write_landing(rows: DataFrame, root: str) -> None:
 UNZIP_SCHEMA = "path string, status string, line string"
 
 
+LINES_PER_FRAME = 20_000
+
+
+def _unzip_batches(batches):
+    """First member of each archive as lines, LINES_PER_FRAME at a time. An archive that can't be read (bad zip, truncated, encrypted,
+    not UTF-8) becomes one status row instead of failing the task; its lines before the fault are not kept."""
+    frame = lambda path, status, lines: pd.DataFrame({"path": path, "status": status, "line": lines}, dtype=object)
+    for pdf in batches:
+        for path, content in zip(pdf["path"], pdf["content"]):
+            try:
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    names = z.namelist()
+                    if not names:
+                        raise zipfile.BadZipFile("empty archive")
+                    text = z.read(names[0]).decode("utf-8")
+            except Exception as e:  # noqa: BLE001 - whatever the reason, it is this archive's outcome
+                why = "bad ZIP" if isinstance(e, zipfile.BadZipFile) else type(e).__name__
+                yield frame([path], f"{S.STATUS_FAILED} ({why})", [None])
+                continue
+            block = []
+            for line in io.StringIO(text):
+                if line := line.rstrip("\r\n"):
+                    block.append(line)
+                if len(block) == LINES_PER_FRAME:
+                    yield frame(path, S.STATUS_SUCCESS, block)
+                    block = []
+            if block:
+                yield frame(path, S.STATUS_SUCCESS, block)
+
+
+ZIP_SCHEMA = "path string, status string, line string"
+
+
 def _unzip_batches(batches):
     """Per Arrow batch of (path, content): first member of each archive, split into lines.
 
@@ -127,8 +168,8 @@ def zip_monthly(lines: DataFrame) -> DataFrame:
 def unzip_archives(binary: DataFrame) -> DataFrame:
     """(path, content) rows -> (path, status, line). Runs in Arrow batches; with the
     ``binaryFile`` source each task reads its own group of files, so archives never pass
-    through the driver. Keep ``spark.sql.execution.arrow.maxRecordsPerBatch`` low for big
-    archives (one archive is one month of one symbol, ~45k lines)."""
+    through the driver. Arrow batches are bounded in bytes, and lines leave in blocks, so a task holds
+    one archive decompressed."""
     return binary.select("path", "content").mapInPandas(_unzip_batches, UNZIP_SCHEMA)
 
 

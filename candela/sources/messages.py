@@ -18,8 +18,9 @@ CANDLE_LONG = StructType([StructField(long, f.dataType, True)
 
 
 def broker_options(bootstrap: str, topic: str, max_offsets: int = S.MAX_OFFSETS_PER_TRIGGER,
-                   starting: str = "latest", extra: dict | None = None) -> dict:
-    """Options for ``spark.readStream.format("kafka")``: rate-limited, tolerant of lost offsets.
+                   starting: str = "latest", fail_on_data_loss: bool = False, extra: dict | None = None) -> dict:
+    """Options for ``spark.readStream.format("kafka")``: rate-limited. With ``fail_on_data_loss`` off, offsets the
+    broker has already deleted are skipped: the query goes on, and those rows are missing.
 
     Credentials (SASL and the like) are deployment settings; pass them through ``extra``.
     """
@@ -27,7 +28,7 @@ def broker_options(bootstrap: str, topic: str, max_offsets: int = S.MAX_OFFSETS_
         "kafka.bootstrap.servers": bootstrap,
         "subscribe": topic,
         "maxOffsetsPerTrigger": str(max_offsets),
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
         "startingOffsets": starting,
     }
     opts.update(extra or {})

@@ -130,3 +130,28 @@ def test_landing_writer_round_trip(spark, tmp_dir):
     assert sorted((r.symbol, r.open_time, r.close, r._rescued_data) for r in back) == [
         ("AAA", 1704067200000, "1.5", None), ("BBB", 1706745600000, "3.5", None)]
     assert all("/year=" in r.source_file and "/month=" in r.source_file for r in back)
+
+
+def test_landing_keeps_null_and_spaced_symbols(spark, tmp_dir):
+    from candela.sources.archives import write_landing
+    rows = spark.createDataFrame([("4-NOT SPECIFIED", 2024, 1, 1), (None, 2024, 1, 2), ("a+b%", 2024, 11, 3)], "symbol string, year int, month int, open_time long")
+    write_landing(rows, f"{tmp_dir}/landing")
+    back = read_csv_archives(spark, f"{tmp_dir}/landing").collect()
+    assert {(r.symbol, r.open_time) for r in back} == {("4-NOT SPECIFIED", 1), (None, 2), ("a+b%", 3)}
+    assert any("/month=01/" in r.source_file for r in back)
+
+
+def test_zip_faults_become_status_rows(spark):
+    from candela.sources.archives import unzip_archives
+
+    def packed(data):
+        buf = io.BytesIO()
+        with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+            z.writestr("a.csv", data)
+        return buf.getvalue()
+    good, latin = packed(LINE + "\n\n" + LINE), packed("\xe9".encode("latin-1"))
+    broken = bytearray(packed(LINE * 50))
+    broken[45:60] = b"\xff" * 15
+    df = spark.createDataFrame([("g", bytearray(good)), ("l", bytearray(latin)), ("b", broken), ("n", None)], "path string, content binary")
+    got = {(r.path, r.status.split(" ")[0]): r["count"] for r in unzip_archives(df).groupBy("path", "status").count().collect()}
+    assert got == {("g", "SUCCESS"): 2, ("l", "FAILED"): 1, ("b", "FAILED"): 1, ("n", "FAILED"): 1}
