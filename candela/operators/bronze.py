@@ -19,8 +19,3 @@ def unify(*routes: DataFrame) -> DataFrame:
     for r in routes:
         out = r if out is None else out.unionByName(r, allowMissingColumns=True)
     return conform(out)
-
-
-def drifted(bronze: DataFrame) -> DataFrame:
-    """Rows whose source did not fit the schema (rescued text present)."""
-    return bronze.filter(F.col(S.RESCUE_COLUMN).isNotNull())

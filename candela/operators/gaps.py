@@ -33,14 +33,13 @@ def _ts(v: dt.datetime):
 
 
 def present_minutes(fact: DataFrame, start: dt.datetime, end: dt.datetime) -> DataFrame:
-    """Distinct (symbol_id, minute) of the fact inside the window. The literal bounds reach the
+    """(symbol_id, minute) of the fact's rows inside the window. The literal bounds reach the
     scan (date-partition pruning / row-group skipping on a stored fact)."""
     if "fact_date" in fact.columns:  # stored fact: prune date partitions too
         fact = fact.filter(F.col("fact_date").between(F.lit(start.date().isoformat()).cast("date"),
                                                       F.lit(end.date().isoformat()).cast("date")))
     return (fact.filter((F.col("timestamp_key") >= _ts(start)) & (F.col("timestamp_key") < _ts(end)))
-                .select("symbol_id", F.date_trunc("minute", "timestamp_key").alias("minute"))
-                .dropDuplicates())
+                .select("symbol_id", F.date_trunc("minute", "timestamp_key").alias("minute")))
 
 
 def expected_minutes(dim_symbol: DataFrame, start: dt.datetime, end: dt.datetime,
@@ -81,34 +80,18 @@ def gap_runs(fact: DataFrame, dim_symbol: DataFrame, as_of: dt.datetime,
     """Missing minutes folded into runs (symbol, run_start, run_end, n_missing).
 
     Built from the present minutes only, so the work scales with the data rather than with
-    symbols x minutes. Window partitions are bounded: in-day gaps use (symbol, day) partitions
-    (at most 1,440 rows), cross-day gaps use one row per (symbol, day).
+    symbols x minutes: each symbol has one mark before and one after the window, and a run is what lies between
+    a minute and the next one. One scan, one shuffle by symbol; a symbol has at most the minutes of the window.
     """
     start, end = window_bounds(as_of, lookback_days, include_today)
     s_mi, e_mi = int(start.replace(tzinfo=dt.timezone.utc).timestamp()) // 60, int(end.replace(tzinfo=dt.timezone.utc).timestamp()) // 60
-    p = (present_minutes(fact, start, end)
-         .select("symbol_id", (F.unix_seconds("minute") / 60).cast("long").alias("mi"),
-                 F.to_date("minute").alias("day")))
-    nxt = F.lead("mi").over(Window.partitionBy("symbol_id", "day").orderBy("mi"))
-    in_day = (p.withColumn("nxt", nxt).filter(F.col("nxt") - F.col("mi") > 1)
-               .select("symbol_id", (F.col("mi") + 1).alias("a"), (F.col("nxt") - 1).alias("b")))
-    per_day = p.groupBy("symbol_id", "day").agg(F.min("mi").alias("first"), F.max("mi").alias("last"))
-    nxt_first = F.lead("first").over(Window.partitionBy("symbol_id").orderBy("day"))
-    cross = (per_day.withColumn("nf", nxt_first).filter(F.col("nf") - F.col("last") > 1)
-                    .select("symbol_id", (F.col("last") + 1).alias("a"), (F.col("nf") - 1).alias("b")))
-    ends = per_day.groupBy("symbol_id").agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    head = ends.filter(F.col("first") > s_mi).select("symbol_id", F.lit(s_mi).cast("long").alias("a"),
-                                                     (F.col("first") - 1).alias("b"))
-    tail = ends.filter(F.col("last") < e_mi - 1).select("symbol_id", (F.col("last") + 1).alias("a"),
-                                                        F.lit(e_mi - 1).cast("long").alias("b"))
-    syms = dim_symbol.select("symbol_id", "symbol")
-    empty = (syms.join(ends.select("symbol_id"), "symbol_id", "left_anti")
-                 .select("symbol_id", F.lit(s_mi).cast("long").alias("a"), F.lit(e_mi - 1).cast("long").alias("b")))
-    runs = in_day.unionByName(cross).unionByName(head).unionByName(tail).unionByName(empty)
-    return (runs.join(syms, "symbol_id")
-                .select("symbol", F.timestamp_seconds(F.col("a") * 60).alias("run_start"),
-                        F.timestamp_seconds(F.col("b") * 60).alias("run_end"),
-                        (F.col("b") - F.col("a") + 1).alias("n_missing")))
+    present = present_minutes(fact, start, end).select("symbol_id", F.floor(F.unix_seconds("minute") / 60).cast("long").alias("mi"), F.lit(None).cast("string").alias("symbol"))
+    marks = dim_symbol.select("symbol_id", F.explode(F.array(F.lit(s_mi - 1), F.lit(e_mi)).cast("array<bigint>")).alias("mi"), "symbol")
+    by_symbol = Window.partitionBy("symbol_id").orderBy("mi")
+    named = F.first("symbol", ignorenulls=True).over(by_symbol)  # the mark comes first; a symbol without one has no name
+    runs = present.unionByName(marks).withColumns({"nxt": F.lead("mi").over(by_symbol), "name": named}).filter((F.col("nxt") - F.col("mi") > 1) & F.col("name").isNotNull())
+    return runs.select(F.col("name").alias("symbol"), F.timestamp_seconds((F.col("mi") + 1) * 60).alias("run_start"),
+                       F.timestamp_seconds((F.col("nxt") - 1) * 60).alias("run_end"), (F.col("nxt") - F.col("mi") - 1).alias("n_missing"))
 
 
 def gap_report_sparse(fact: DataFrame, dim_symbol: DataFrame, as_of: dt.datetime,

@@ -24,6 +24,8 @@ class Monitor:
         """One status row. A single global count: partial counts per task, one final row."""
         now = F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
         cond = F.col(self.ts_column) > now - F.expr(f"INTERVAL {self.lookback}")
+        if self.ts_column == "ingestion_timestamp" and "ingest_date" in rows.columns:  # stored by arrival date: prune
+            cond = cond & (F.col("ingest_date") >= F.to_date(now - F.expr(f"INTERVAL {self.lookback}")))
         if self.predicate:
             cond = cond & F.expr(self.predicate)
         observed = rows.filter(cond).agg(F.count(F.lit(1)).alias("observed"))

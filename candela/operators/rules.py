@@ -46,7 +46,8 @@ class RuleSet:
 
     # -- routes ---------------------------------------------------------------------------
     def valid(self, staged: DataFrame) -> DataFrame:
-        return staged.filter(self.passed())
+        """Rows that pass every rule. A filter drops NULL as it drops false, so the plain predicates do, and reach the scan."""
+        return staged.filter(" AND ".join(f"({p})" for _, p in self.rules)) if self.rules else staged
 
     def quarantine(self, staged: DataFrame, stamp: Column | None = None) -> DataFrame:
         """Rows failing any rule, with the first failed rule, all failed rules and a stamp."""

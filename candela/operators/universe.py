@@ -20,6 +20,12 @@ def check_candidates(candidates: DataFrame, universe: DataFrame, key: str = "sym
     return candidates.join(u, key, "left_semi"), candidates.join(u, key, "left_anti")
 
 
+def flag_candidates(candidates: DataFrame, universe: DataFrame, key: str = "symbol") -> DataFrame:
+    """``candidates`` with ``in_universe``: both answers of :func:`check_candidates` from one join."""
+    u = universe.select(key).distinct().withColumn("in_universe", F.lit(True))
+    return candidates.join(u, key, "left").withColumn("in_universe", F.coalesce("in_universe", F.lit(False)))
+
+
 def first_seen(candles: DataFrame, key: str = "symbol", ts: str = "open_time_ts") -> DataFrame:
     """First available timestamp per symbol on landed data (map-side partial min, tiny shuffle)."""
     return candles.groupBy(key).agg(F.min(ts).alias("first_ts"))

@@ -49,12 +49,14 @@ def ticks(events: DataFrame) -> DataFrame:
 
 def bars(events: DataFrame) -> DataFrame:
     """1-minute OHLCV bars per symbol: one shuffle on (symbol, minute) with partial aggregation."""
-    t = ticks(events)
+    # one number orders by (ts, event_id), so ties are settled and the hash aggregate stays
+    number = lambda c, digits: c.cast(f"decimal({digits},0)")
+    t = ticks(events).withColumn("at", number(F.unix_micros("ts"), 18) * number(F.lit("1" + "0" * 19), 20) + number(F.col("event_id"), 19))
     taker = F.when(F.col("event_id") % 2 == 0, F.col("size")).otherwise(F.lit(0))
     d = lambda c: c.cast(S.PRICE)
     return (t.groupBy("symbol", F.date_trunc("minute", "ts").alias("open_time_ts"))
-             .agg(F.min_by("price", "ts").alias("open"), F.max("price").alias("high"),
-                  F.min("price").alias("low"), F.max_by("price", "ts").alias("close"),
+             .agg(F.min_by("price", "at").alias("open"), F.max("price").alias("high"),
+                  F.min("price").alias("low"), F.max_by("price", "at").alias("close"),
                   d(F.sum("size")).alias("volume"),
                   d(F.sum(F.col("price") * F.col("size"))).alias("quote_asset_volume"),
                   F.count(F.lit(1)).cast("int").alias("number_of_trades"),
@@ -168,15 +170,3 @@ def symbol_records_from_tables(events: DataFrame, orders: DataFrame) -> DataFram
     from candela.operators.universe import first_seen, symbol_records, tradable
     t = ticks(events)
     return symbol_records(tradable(exchange_listing(events, orders)), first_seen(t, "symbol", "ts"))
-
-
-def symbol_records_from_events(events: DataFrame) -> DataFrame:
-    """Symbol metadata records for the event types: trading, quoted in the universe's quote asset,
-    tracked from the first tick."""
-    return (events.groupBy("event_type")
-                  .agg(F.min("ts").alias("first_ts"))
-                  .select(F.col("event_type").alias("symbol"), F.lit(S.UNIVERSE_STATUS).alias("status"),
-                          F.upper("event_type").alias("base_asset"), F.lit(8).cast("long").alias("base_precision"),
-                          F.lit(S.UNIVERSE_QUOTE_ASSET).alias("quote_asset"),
-                          F.lit(8).cast("long").alias("quote_precision"),
-                          F.date_format(F.col("first_ts").cast("timestamp"), "yyyy-MM-dd HH:mm:ss").alias("tracking_start_ts")))

@@ -13,12 +13,12 @@ from candela.operators import manifest as M
 from candela.operators import rollup as R
 from candela.operators import serve as V
 from candela.operators.dedup import first_arrival
-from candela.operators.dims import dim_symbol, dim_time_covering
+from candela.operators.dims import dim_symbol, dim_time_covering, register_symbols
 from candela.operators.fact import fact_klines
 from candela.operators.monitors import evaluate_all
 from candela.operators.rules import KLINE_RULES, failure_summary
 from candela.operators.stage import stage
-from candela.operators.universe import check_candidates, tradable
+from candela.operators.universe import flag_candidates, tradable
 from candela.operators.upsert import latest_per_key
 from candela.plans import adapter as A
 from candela.plans.compare import comparable
@@ -40,12 +40,17 @@ def bars_frame(spark, d) -> DataFrame:
     return stored(spark, "bars", d, lambda: A.bars(_t(spark, d, "events")))
 
 
-def bronze_frame(spark, d) -> DataFrame:
-    """The bronze table: both routes unified (stored, partitioned by ingestion date)."""
+def bronze_table(spark, d) -> DataFrame:
+    """The bronze table: both routes unified (stored by ``ingest_date``; arrival time and symbol in the range keys, so
+    that a day is several tasks)."""
     def build():
         return (A.bronze_from_events(_t(spark, d, "events"), bars_frame(spark, d))
                  .withColumn("ingest_date", F.to_date("ingestion_timestamp")))
-    return stored(spark, "bronze", d, build, partition_by=["ingest_date"]).drop("ingest_date")
+    return stored(spark, "bronze", d, build, partition_by=["ingest_date"], sort_by=["ingestion_timestamp", "symbol"])
+
+
+def bronze_frame(spark, d) -> DataFrame:
+    return bronze_table(spark, d).drop("ingest_date")
 
 
 def staged_frame(spark, d) -> DataFrame:
@@ -53,7 +58,14 @@ def staged_frame(spark, d) -> DataFrame:
     def build():
         return stage(bronze_frame(spark, d)).withColumn("candle_date", F.to_date("open_time_ts"))
     return stored(spark, "silver_staged", d, build, partition_by=["candle_date"],
-                  sort_by=["symbol", "open_time_ts"]).drop("candle_date")
+                  sort_by=["symbol", "open_time_ts", "ingestion_timestamp"]).drop("candle_date")  # arrival spreads rows without open time
+
+
+def quarantine_table(spark, d) -> DataFrame:
+    """The dead letters (stored by ``ingest_date``: alerts look at recent arrivals)."""
+    def build():
+        return KLINE_RULES.quarantine(staged_frame(spark, d)).withColumn("ingest_date", F.to_date("ingestion_timestamp"))
+    return stored(spark, "quarantine", d, build, partition_by=["ingest_date"], sort_by=["ingestion_timestamp", "symbol"])
 
 
 def valid_frame(spark, d) -> DataFrame:
@@ -113,11 +125,12 @@ def q_dedup_first(spark, d):
 
 
 def q_universe_filter(spark, d):
-    listing = A.exchange_listing(_t(spark, d, "events"), _t(spark, d, "orders"))
-    kept, dropped = check_candidates(listing, tradable(listing))
-    cols = ["symbol", "status", F.col("quoteAsset").alias("quote_asset")]
-    return (kept.select(*cols, F.lit("kept").alias("decision"))
-                .unionByName(dropped.select(*cols, F.lit("dropped").alias("decision"))))
+    listing = stored(spark, "listing", d, lambda: A.exchange_listing(_t(spark, d, "events"), _t(spark, d, "orders")))
+    # candidates: what is listed, and names that no exchange lists
+    names = listing.select("symbol").union(_t(spark, d, "nation").select("n_name"))
+    checked = flag_candidates(names, tradable(listing))
+    about = listing.select("symbol", "status", F.col("quoteAsset").alias("quote_asset"))
+    return checked.join(about, "symbol", "left").select("symbol", "status", "quote_asset", F.when(F.col("in_universe"), "kept").otherwise("dropped").alias("decision"))
 
 
 def q_dim_symbol(spark, d):
@@ -168,8 +181,9 @@ def q_gap_runs(spark, d):
 
 def q_monitors(spark, d):
     now = as_of(spark, d)
-    gaps = G.gap_report(fact_frame(spark, d), dim_frame(spark, d), now)
-    return evaluate_all(bronze_frame(spark, d), KLINE_RULES.quarantine(staged_frame(spark, d)), gaps, now)
+    # up to the last minute: whole days before today would never reach into the look-back
+    gaps = G.gap_report_sparse(fact_frame(spark, d), dim_frame(spark, d), now, lookback_days=1, include_today=True)
+    return evaluate_all(bronze_table(spark, d), quarantine_table(spark, d), gaps, now)
 
 
 def _orders_calendar(spark, d):
@@ -237,7 +251,7 @@ def _feed_in_chunks(spark, rows: DataFrame, date_col, input_dir: str, run_once,
     day = F.datediff(date_col, F.lit("1970-01-01"))
     b = rows.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
     span = b.hi - b.lo + 1
-    chunk = F.floor((day - F.lit(b.lo)) * n / F.lit(span))
+    chunk = F.coalesce(F.floor((day - F.lit(b.lo)) * n / F.lit(span)), F.lit(0))  # rows without a date come first
     for k in range(n):
         rows.filter(chunk == k).write.mode("append").parquet(input_dir)
         run_once()
@@ -267,6 +281,45 @@ def q_stream_fact(spark, d):
     return comparable(spark.read.parquet(fact).drop(ST.DATE_COL))
 
 
+def q_stream_fact_new_symbol(spark, d):
+    """A symbol joins between two refreshes: ids come from the registry, so the rows stored before keep theirs."""
+    base = scratch_path(spark, "stream-fact-new-symbol")
+    rows, records = staged_frame(spark, d), dim_frame(spark, d).drop("symbol_id")
+    first = records.agg(F.min("symbol").alias("s")).first()["s"]
+    new = F.col("symbol").eqNullSafe(F.lit(first))
+    inp, fact, registry = f"{base}/input", f"{base}/fact", f"{base}/symbols"
+    for some, known in ((~new, records.filter(~new)), (new, records)):
+        dim = register_symbols(registry, known)
+        rows.filter(some).write.mode("append").parquet(inp)
+        src = KLINE_RULES.valid(spark.readStream.schema(rows.schema).parquet(inp))
+        ST.run(src, f"{base}/_ckpt", foreach_batch=ST.fact_batch_writer(fact, dim))
+    return comparable(spark.read.parquet(fact).drop(ST.DATE_COL).join(dim.select("symbol", "symbol_id"), "symbol_id").drop("symbol_id"))
+
+
+def q_stream_quarantine(spark, d):
+    base = scratch_path(spark, "stream-quarantine")
+    bronze = bronze_frame(spark, d)
+    inp, quar = f"{base}/input", f"{base}/quarantine"
+
+    def run_once():
+        src = stage(spark.readStream.schema(bronze.schema).option("maxFilesPerTrigger", "64").parquet(inp))
+        ST.run(src, f"{base}/_ckpt", foreach_batch=ST.silver_batch_writer(f"{base}/clean", quar))
+    _feed_in_chunks(spark, bronze, F.to_date("ingestion_timestamp"), inp, run_once)
+    return comparable(spark.read.parquet(quar), drop=NOT_COMPARED + ("quarantine_ts", "run", "batch_id"))
+
+
+def q_stream_daily_final(spark, d):
+    base = scratch_path(spark, "stream-daily")
+    fact = fact_frame(spark, d).drop("fact_date")
+    inp, out = f"{base}/input", f"{base}/daily"
+
+    def run_once():
+        src = ST.bucket_final(spark.readStream.schema(fact.schema).parquet(inp), "day")
+        ST.run(src, f"{base}/_ckpt", sink_path=out)
+    _feed_in_chunks(spark, fact, F.to_date("timestamp_key"), inp, run_once)
+    return comparable(spark.read.parquet(out))
+
+
 def q_stream_hourly_final(spark, d):
     base = scratch_path(spark, "stream-hourly")
     fact = fact_frame(spark, d).drop("fact_date")
@@ -312,4 +365,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_scd1": q_stream_scd1,
         "stream_fact": q_stream_fact,
         "stream_hourly_final": q_stream_hourly_final,
+        "stream_daily_final": q_stream_daily_final,
+        "stream_quarantine": q_stream_quarantine,
+        "stream_fact_new_symbol": q_stream_fact_new_symbol,
     }

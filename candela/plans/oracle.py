@@ -16,7 +16,7 @@ ticks AS (
   FROM events),
 bars AS (
   SELECT symbol, date_trunc('minute', ts) AS open_time_ts,
-         arg_min(price, ts) AS open, max(price) AS high, min(price) AS low, arg_max(price, ts) AS close,
+         first(price ORDER BY ts, event_id) AS open, max(price) AS high, min(price) AS low, last(price ORDER BY ts, event_id) AS close,
          CAST(sum(size) AS DECIMAL(18,8)) AS volume,
          CAST(sum(CAST(price AS DECIMAL(38,8)) * size) AS DECIMAL(18,8)) AS quote_asset_volume,
          CAST(count(*) AS INTEGER) AS number_of_trades,
@@ -157,6 +157,10 @@ def oracles() -> dict[str, str]:
     q["stream_fact"] = q["fact_bars"]
     q["stream_hourly_final"] = (q["rollup_hourly"] +
         "\nWHERE hour_start + INTERVAL 65 MINUTE <= (SELECT max(timestamp_key) FROM fact)")
+    q["stream_daily_final"] = (q["rollup_daily"] +
+        "\nWHERE date + INTERVAL 1445 MINUTE <= (SELECT max(timestamp_key) FROM fact)")
+    q["stream_quarantine"] = q["rules_quarantine"]
+    q["stream_fact_new_symbol"] = f"SELECT d.symbol, f.* EXCLUDE (symbol_id) FROM ({q['fact_bars']}) f JOIN ({q['dim_symbol']}) d USING (symbol_id)"
     return q
 
 
@@ -222,9 +226,11 @@ def more_oracles() -> dict[str, str]:
         f", ranked AS (SELECT *, row_number() OVER (PARTITION BY symbol, open_time_ts ORDER BY ingestion_timestamp DESC, "
         f"is_final DESC, number_of_trades DESC) AS rk FROM valid) SELECT {STAGED_COLS} FROM ranked WHERE rk = 1")
     q["dedup_first"] = with_adapter(f"SELECT {STAGED_COLS} FROM finals WHERE rn = 1")
-    q["universe_filter"] = with_adapter(
-        "SELECT symbol, status, quote_asset, CASE WHEN quote_asset = 'USDT' AND status = 'TRADING' "
-        "THEN 'kept' ELSE 'dropped' END AS decision FROM listing")
+    q["universe_filter"] = with_adapter("""
+, candidates AS (SELECT symbol FROM listing UNION ALL SELECT n_name FROM nation)
+SELECT c.symbol, l.status, l.quote_asset,
+       CASE WHEN c.symbol IN (SELECT symbol FROM universe) THEN 'kept' ELSE 'dropped' END AS decision
+FROM candidates c LEFT JOIN listing l ON l.symbol = c.symbol""")
     q["dim_time_month"] = """
 WITH b AS (SELECT CAST(CAST(min(ts) AS DATE) AS TIMESTAMP) AS d0, CAST(CAST(max(ts) AS DATE) AS TIMESTAMP) AS d1 FROM events),
 g AS (SELECT unnest(generate_series(d0, d1 + INTERVAL 1439 MINUTE, INTERVAL 1 MINUTE)) AS timestamp_key FROM b)
@@ -258,7 +264,7 @@ FROM r0"""
   FROM missing)
 SELECT symbol, min(missing_minute) AS run_start, max(missing_minute) AS run_end, count(*) AS n_missing
 FROM numbered GROUP BY symbol, grp""")
-    q["monitors"] = with_adapter(MISSING_PARITY + """
+    q["monitors"] = with_adapter(MISSING_TODAY + """
 SELECT 'schema_drift' AS monitor, count(*) AS observed, CAST(0 AS DOUBLE) AS threshold, count(*) > 0 AS triggered,
        'CRITICAL' AS severity, '15 minutes' AS lookback
 FROM staged0, b WHERE rescued AND ingestion_timestamp > b.now - INTERVAL 15 MINUTE

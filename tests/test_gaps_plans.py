@@ -115,3 +115,28 @@ def test_respect_listing_skips_minutes_before_tracking_start(spark):
                                                      F.lit(start_b.strftime("%Y-%m-%d %H:%M:%S"))))
     got = G.gap_report(fact, dim, T0, respect_listing=True)
     assert got.filter(F.col("symbol") == "EMPTY").count() == 2 * 1440
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_valid_rows_push_their_rules_to_the_scan(spark):
+    from candela.plans.catalog import valid_frame
+    plan = _plan(valid_frame(spark, "/root/testdata/sf0.001"))
+    assert "GreaterThan(close,0" in plan and "GreaterThan(open_time_ts," in plan
+
+
+def test_gap_runs_read_the_fact_once(spark):
+    from candela.plans.catalog import as_of, dim_frame, fact_frame
+    d = "/root/testdata/sf0.001"
+    plan = _plan(G.gap_runs(fact_frame(spark, d), dim_frame(spark, d), as_of(spark, d)))
+    assert plan.count("fact_date") > 0 and plan.count("Exchange ") == 1 and plan.count("FileScan parquet [symbol_id#") == 1
+
+
+def test_monitors_prune_by_arrival_date(spark):
+    from candela.operators.monitors import QUARANTINE, SCHEMA_DRIFT
+    from candela.plans.catalog import as_of, bronze_table, quarantine_table
+    d = "/root/testdata/sf0.001"
+    for monitor, rows in ((SCHEMA_DRIFT, bronze_table(spark, d)), (QUARANTINE, quarantine_table(spark, d))):
+        assert "PartitionFilters: [isnotnull(ingest_date" in _plan(monitor.evaluate(rows, as_of(spark, d)))
