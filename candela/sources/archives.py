@@ -120,32 +120,6 @@ def _unzip_batches(batches):
                 yield frame(path, S.STATUS_SUCCESS, block)
 
 
-ZIP_SCHEMA = "path string, status string, line string"
-
-
-def _unzip_batches(batches):
-    """Per Arrow batch of (path, content): first member of each archive, split into lines.
-
-    A bad archive becomes one status row instead of failing the task.
-    """
-    for pdf in batches:
-        out_path, out_status, out_line = [], [], []
-        for path, content in zip(pdf["path"], pdf["content"]):
-            try:
-                with zipfile.ZipFile(io.BytesIO(content)) as z:
-                    names = z.namelist()
-                    if not names:
-                        raise zipfile.BadZipFile("empty archive")
-                    text = z.read(names[0]).decode("utf-8")
-            except zipfile.BadZipFile:
-                out_path.append(path); out_status.append(f"{S.STATUS_FAILED} (bad ZIP)"); out_line.append(None)
-                continue
-            lines = [ln for ln in text.splitlines() if ln]
-            out_path.extend([path] * len(lines)); out_status.extend([S.STATUS_SUCCESS] * len(lines))
-            out_line.extend(lines)
-        yield pd.DataFrame({"path": out_path, "status": out_status, "line": out_line})
-
-
 ZIP_SCHEMA = "path string, content binary"
 
 
