@@ -183,21 +183,20 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
     return docs.mapInArrow(run, "g bigint, flush bigint, blob binary")
 
 
-def _grouped(packed: DataFrame, groups: int) -> DataFrame:
-    """One row per group and, for documents, per group of flushes: (g, flushes, sizes, blobs joined)."""
-    def join(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("flush")
-        return pd.DataFrame({"g": [rows["g"].iloc[0]], "flushes": [rows["flush"].tolist()], "sizes": [[len(b) for b in rows["blob"]]], "blob": [b"".join(rows["blob"])]})
+def _grouped(packed: DataFrame) -> DataFrame:
+    """One row per group and, for documents, per group of flushes: (g, blobs), ordered by flush. Gathered without Python."""
+    return packed.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("flush", "blob"))).alias("blobs"))
 
-    return packed.groupBy("g").applyInPandas(join, "g bigint, flushes array<bigint>, sizes array<bigint>, blob binary")
+
+def _rows(batches):
+    """The rows of batches, one in memory at a time."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
 
 
 def _blobs(row) -> list[tuple[int, bytes]]:
-    out, at = [], 0
-    for f, size in zip(row["flushes"], row["sizes"]):
-        out.append((f, row["blob"][at:at + size]))
-        at += size
-    return out
+    return [(x["flush"], x["blob"]) for x in row["blobs"]]
 
 
 class Group:
@@ -308,21 +307,20 @@ def _sums(stored: DataFrame, history: list[dict], words: int) -> dict:
     past = stored.sparkSession.sparkContext.broadcast(history)
 
     def run(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                g = Group(row)
-                chain = Chain(g, past.value)
-                own, n0, used = g.freq == 0, g.per_word(chain.t), g.c > 0
-                f = np.flatnonzero(~own)
-                scalar = (g.c.sum(), (own & (g.c_word > 0)).sum(), (g.c == 1).sum(), (g.c == 2).sum(), n0[own].sum(), chain.s[own].sum(), (own & (n0 == 1)).sum(), (own & (n0 == 2)).sum())
-                for kind, at, value in ((0, g.ctx[used], g.c[used]), (1, g.ctx[used], chain.t[used]), (2, g.freq[f] - 1, g.c_word[f]), (3, g.freq[f] - 1, n0[f]), (4, np.arange(len(scalar)), np.array(scalar))):
-                    ids, inv = np.unique(at, return_inverse=True)
-                    total = np.bincount(inv, weights=value, minlength=len(ids)).astype(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids.astype(np.int64)), pa.array(total)], names=["kind", "at", "value"])
-                del g, chain
-                _release()
-
-    added = stored.filter("g >= 0").select("g", "flushes", "sizes", "blob").mapInArrow(run, "kind int, at bigint, value bigint").groupBy("kind", "at").agg(F.sum("value").alias("value"))
+        for row in _rows(batches):
+            g = Group(row)
+            chain = Chain(g, past.value)
+            own, n0, used = g.freq == 0, g.per_word(chain.t), g.c > 0
+            f = np.flatnonzero(~own)
+            scalar = (g.c.sum(), (own & (g.c_word > 0)).sum(), (g.c == 1).sum(), (g.c == 2).sum(), n0[own].sum(), chain.s[own].sum(), (own & (n0 == 1)).sum(), (own & (n0 == 2)).sum())
+            for kind, at, value in ((0, g.ctx[used], g.c[used]), (1, g.ctx[used], chain.t[used]), (2, g.freq[f] - 1, g.c_word[f]), (3, g.freq[f] - 1, n0[f]), (4, np.arange(len(scalar)), np.array(scalar))):
+                ids, inv = np.unique(at, return_inverse=True)
+                total = np.bincount(inv, weights=value, minlength=len(ids)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids.astype(np.int64)), pa.array(total)], names=["kind", "at", "value"])
+            del g, chain
+            _release()
+
+    added = stored.filter("g >= 0").mapInArrow(run, "kind int, at bigint, value bigint").groupBy("kind", "at").agg(F.sum("value").alias("value"))
     size = {"ctx_c": CONTEXTS, "ctx_t": CONTEXTS, "freq_c": words, "freq_n0": words, "scalar": len(_SCALARS)}
     out = {k: np.zeros(n, np.int64) for k, n in size.items()}
     for r in added.toLocalIterator():      # at most 2 * CONTEXTS + 2 * FREQUENT + 8 rows
@@ -352,7 +350,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
         return spark.createDataFrame([], schema)
     groups = max(16, -(-n_tokens // GROUP_TOKENS))
     frequent = spark.sparkContext.broadcast(words)
-    stored = written(_grouped(_packed(docs, frequent, groups), groups), "op10-groups")
+    stored = written(_grouped(_packed(docs, frequent, groups)), "op10-groups")
 
     history = [_sums(stored, [], len(words))]
     for _ in range(sweeps):
@@ -360,28 +358,29 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
     past, last = spark.sparkContext.broadcast(history), history[-1]
 
     def partial(batches):
-        for batch in batches:
-            for row in batch.to_pylist():
-                if row["g"] < 0:
-                    for f, blob in _blobs(row):
-                        yield pa.RecordBatch.from_pylist([{"flush": f, "docs": True, "blob": blob}], schema=parts)
-                    continue
-                g = Group(row)
-                chain, p = Chain(g, []), np.zeros(len(g.ctx))
-                for k in range(sweeps):
-                    chain.sweep(k, past.value[k])
-                    if k >= burn_in:
-                        p += chain.predictive(past.value[k + 1])
-                log_p = np.log10(p / (sweeps - burn_in))
-                c_word = np.where(g.freq == 0, g.c_word, past.value[0]["freq_c"][g.freq - 1] if len(words) else 0)
-                log_c, known = np.log10(c_word + 1.0), c_word > 0
-                at = 0
-                for f, size in g.spans:
-                    sec, doc, n = g.section[at:at + size], g.doc[at:at + size], g.count[at:at + size]
-                    at += size
-                    used = np.flatnonzero(np.bincount(doc))
-                    sums = [np.bincount(doc, weights=n * x)[used] for x in (log_p[sec], log_c[g.word[sec]], known[g.word[sec]])]
-                    yield pa.RecordBatch.from_pylist([{"flush": f, "docs": False, "blob": _pack(used.astype("<u2"), sums[0], sums[1], sums[2].astype("<u4"))}], schema=parts)
+        for row in _rows(batches):
+            if row["g"] < 0:
+                for f, blob in _blobs(row):
+                    yield pa.RecordBatch.from_pylist([{"flush": f, "docs": True, "blob": blob}], schema=parts)
+                continue
+            g = Group(row)
+            chain, p = Chain(g, []), np.zeros(len(g.ctx))
+            for k in range(sweeps):
+                chain.sweep(k, past.value[k])
+                if k >= burn_in:
+                    p += chain.predictive(past.value[k + 1])
+            log_p = np.log10(p / (sweeps - burn_in))
+            c_word = np.where(g.freq == 0, g.c_word, past.value[0]["freq_c"][g.freq - 1] if len(words) else 0)
+            log_c, known = np.log10(c_word + 1.0), c_word > 0
+            at = 0
+            for f, size in g.spans:
+                sec, doc, n = g.section[at:at + size], g.doc[at:at + size], g.count[at:at + size]
+                at += size
+                used = np.flatnonzero(np.bincount(doc))
+                sums = [np.bincount(doc, weights=n * x)[used] for x in (log_p[sec], log_c[g.word[sec]], known[g.word[sec]])]
+                yield pa.RecordBatch.from_pylist([{"flush": f, "docs": False, "blob": _pack(used.astype("<u2"), sums[0], sums[1], sums[2].astype("<u4"))}], schema=parts)
+            del g, chain, p, log_p, log_c, known
+            _release()
 
     tokens, smooth = last["tokens"], float(np.log10(last["tokens"] + last["types"] + 1))
 
