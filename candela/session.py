@@ -17,6 +17,8 @@ BASE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Bytes of an Arrow batch on its way to a Python worker: rows may be large (texts, packed groups).
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16m",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
     # Archive CSV lines with too many or too few fields must land whole in the rescue column;
