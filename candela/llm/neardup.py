@@ -113,7 +113,7 @@ def _leaves(classes: DataFrame) -> DataFrame:
     shared = slim.groupBy("region").agg(F.count("*").alias("size")).filter("size > 1")
     path = F.substring("sig", at, F.lit(2 * DEPTH))
     return slim.join(shared, "region").join(classes, "cls").select(
-        "region", F.xxhash64("tree", path).alias("deep"), path.alias("path"), "cls", "n", "sketch", "size")
+        "region", "tree", F.xxhash64("tree", path).alias("deep"), path.alias("path"), "cls", "n", "sketch", "size")
 
 
 def _rows_of(column, width: int) -> np.ndarray:
@@ -218,22 +218,24 @@ def _whole_groups(batches):
         yield rest
 
 
-def _across(leaves: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in one region and in different components whose signatures allow the similarity."""
-    leaves = leaves.withColumn("region", F.when(F.col("size") > BLOCK, F.col("deep")).otherwise(F.col("region")))
-    tagged = leaves.join(labels, F.col("cls") == F.col("node"), "left").select("region", "cls", "n", "sketch", F.xxhash64(F.coalesce("label", "cls")).alias("label"))
+def _across(leaves: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs of classes in one region and in different components whose signatures allow the similarity. A pair that meets in
+    several trees is compared in each, but emitted once or twice: not where an earlier tree has it in one region at full depth."""
+    region = F.when(F.col("size") > BLOCK, F.col("deep")).otherwise(F.col("region"))
+    tagged = leaves.select(region.alias("region"), "tree", "cls").join(labels, F.col("cls") == F.col("node"), "left").select("region", "tree", "cls", F.xxhash64(F.coalesce("label", "cls")).alias("label"))
     mixed = tagged.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select("region", "size")
-    member = tagged.join(mixed, "region")
+    member = tagged.join(mixed, "region").join(classes.select("cls", "n", "sig"), "cls")
     # blocks by a hash of the class; a row goes to every pair of blocks that holds its own
     blocks = F.ceil(F.col("size") / BLOCK)
     member = member.withColumn("own", F.pmod(F.xxhash64("cls"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    member = member.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("g"), (F.col("own") == F.col("other")).alias("same"), "own", "cls", "label", "n", "sketch")
+    member = member.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("g"), (F.col("own") == F.col("other")).alias("same"), "own", "tree", "cls", "label", "n", "sig")
 
     def run(batches):
         for rows in _whole_groups(batches):
-            g, own, label, n = (rows.column(c).to_numpy() for c in ("g", "own", "label", "n"))
+            g, own, tree, label, n = (rows.column(c).to_numpy() for c in ("g", "own", "tree", "label", "n"))
             same = rows.column("same").to_numpy(zero_copy_only=False)
-            sketch = _rows_of(rows.column("sketch"), WIDTH)
+            sig = _rows_of(rows.column("sig"), 2 * WIDTH).view("<u2")
+            sketch, paths = sig.astype(np.uint8), sig.reshape(len(sig), TREES, DEPTH)
             for step in range(1, len(g)):
                 x = np.flatnonzero(g[step:] == g[:-step])
                 if not len(x):
@@ -242,8 +244,11 @@ def _across(leaves: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
                 ok = (label[x] != label[y]) & ((own[x] != own[y]) | same[x])
                 x, y = x[ok], y[ok]
                 ok = _similar(sketch, n, x, y, percent)
-                if ok.any():
-                    yield _pairs(rows.column("cls"), x[ok], y[ok])
+                x, y = x[ok], y[ok]
+                if len(x):
+                    met = (paths[x] == paths[y]).all(axis=2) & (np.arange(TREES) < tree[x][:, None])
+                    new = ~met.any(axis=1)
+                    yield _pairs(rows.column("cls"), x[new], y[new])
     return _ordered(member.repartition("g").sortWithinPartitions("g").mapInArrow(run, _PAIR))
 
 
@@ -294,7 +299,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
 
     links = confirm(_neighbours(leaves, percent))
     labels = written(components(links), "op4-labels")
-    late = confirm(_across(leaves, labels, percent))
+    late = confirm(_across(leaves, classes, labels, percent))
     labels = written(components(links.union(late)), "op4-labels")
 
     named = classes.select("cls", "first").join(labels, F.col("cls") == F.col("node"), "left").select("cls", "first", F.coalesce("label", "cls").alias("label"))
