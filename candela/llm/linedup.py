@@ -104,7 +104,7 @@ def _near(firsts: DataFrame, lines: DataFrame) -> DataFrame:
     keys = F.array(F.struct(F.lit(0).alias("role"), F.xxhash64(F.lit(0), "n", "i", "v").alias("key")), F.struct(F.lit(1).alias("role"), F.xxhash64(F.lit(1), "v").alias("key")))
     out = left_out.select(F.inline(keys), "rank")
     whole = hashed.select(F.lit(2).alias("role"), F.xxhash64(F.lit(1), F.xxhash64("h")).alias("key"), "rank")
-    variants = out.union(whole)
+    variants = written(out.union(whole), "op7-variants")  # hashed once, read for the first lines and for the join
     first = variants.groupBy("key", "role").agg(F.min("rank").alias("earlier")).withColumnsRenamed({"key": "k", "role": "r"})
     partner = F.element_at(F.array(F.lit(0), F.lit(2), F.lit(1)), F.col("role") + 1)
     met = variants.join(first, (F.col("key") == F.col("k")) & (partner == F.col("r"))).filter("earlier < rank").select("rank", "earlier").distinct()
