@@ -1,8 +1,8 @@
 """Language-model scoring by a hierarchical Pitman-Yor model (numbered operator 10).
 
 Words are drawn from context restaurants that share one parent, the root restaurant over all words, whose own parent is uniform over
-the known words and one unknown. The context of a word is the one before it: a frequent word is its own context, others
-share a context by their ending, and a text's start is one; so there are at most CONTEXTS restaurants, a fixed number.
+the known words and one unknown. The context of a word is the word before it, known by its 64-bit hash, or a text's start: every
+word that precedes another has a restaurant of its own, however rare.
 
 Seating (Chinese restaurant, discounts from the counts of counts): for a word and a context only its number of customers and tables matter. A Gibbs
 sweep takes all customers of a (context, word) section away and seats them again one after the other, given the rest: with t
@@ -11,10 +11,11 @@ Each table is a customer of the root, where the word's section is seated likewis
 probabilities of the following SAMPLES sweeps are averaged.
 
 Distribution: tokens are exchanged once, packed, by word (frequent words: by word and context, so that no word is a hot key; a document counts once per
-section), into groups of about GROUP_TOKENS tokens. In a group all of a word's sections are at hand. What sections of different groups share - tables per
-context, root customers of frequent words, totals - is summed by Spark after each sweep; those sums have a fixed number of
-entries and go back by broadcast. A sweep is seeded by group and number, so groups replay their earlier sweeps instead of
-keeping state. Scores are summed per document over the groups.
+section), into groups of about GROUP_TOKENS tokens. In a group all of a word's sections are at hand. What sections of different groups share is summed
+by Spark after each sweep. Customers and tables per context go, packed, to the context's bucket (a range of its hash; as many buckets
+as groups), are added there, and come back to every group that has the context through a table joined by group. Root customers of
+frequent words and totals have a fixed number of entries and go back by broadcast. A sweep is seeded by group and number, so groups
+replay their earlier sweeps instead of keeping state. Scores are summed per document over the groups.
 
 Defined results: null and empty texts are the end token alone; a null doc_id is no held-out document; repeated rows count and are scored each;
 an empty table gives no rows; other columns are not read.
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,9 +37,7 @@ from pyspark.sql import functions as F
 from candela.llm import textkit as K
 from candela.llm.stages import written
 
-FREQUENT = 4096                  # a word with this part of all training tokens or more is a context of its own
-ENDINGS = 1 << 14
-CONTEXTS = 1 + FREQUENT + ENDINGS
+FREQUENT = 4096                  # a word with this part of all training tokens or more is dealt by word and context
 GROUP_TOKENS = 1_200_000
 FLUSH_TOKENS = 800_000
 BURN_IN, SAMPLES = 1, 2
@@ -55,21 +55,13 @@ def _release() -> None:
 
 
 class Tokens:
-    """Tokens of a chunk: hash and context of each, and the row it is in."""
+    """Tokens of a chunk: hash and context (the hash of the token before) of each, and the row it is in."""
 
-    def __init__(self, column, frequent: np.ndarray):
+    def __init__(self, column):
         w = K.words(column, K.SPACE_WORD, lower=True)
-        n = w.n_rows
-        last = w.buf[np.maximum(w.end - 1, 0)].astype(np.uint64)
-        ending = np.where(w.end - w.start > 1, w.buf[np.maximum(w.end - 2, 0)], 0).astype(np.uint64) << np.uint64(8) | last
-        at = np.searchsorted(frequent, w.hash)
-        own = (at < len(frequent)) & (frequent[np.minimum(at, len(frequent) - 1)] == w.hash) if len(frequent) else np.zeros(len(w.hash), bool)
-        code = np.where(own, 1 + at, 1 + FREQUENT + (K.mix(ending) % np.uint64(ENDINGS)).astype(np.int64)).astype(np.uint16)
-        ends = w.first[1:]
-        self.hash = np.insert(w.hash, ends, END)
-        code = np.insert(code, ends, 0)         # what follows an end token starts a text
-        self.context = np.concatenate(([0], code[:-1])).astype(np.uint16)
-        self.row = np.repeat(np.arange(n), np.diff(w.first) + 1)
+        self.hash = np.insert(w.hash, w.first[1:], END)
+        self.context = np.concatenate(([END], self.hash[:-1])).astype(np.uint64)     # what follows an end token starts a text
+        self.row = np.repeat(np.arange(w.n_rows), np.diff(w.first) + 1)
 
 
 def _documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -85,12 +77,12 @@ def _parts(batch):
 
 def _frequent_words(docs: DataFrame) -> tuple[np.ndarray, int]:
     """(sorted hashes of the words with 1/FREQUENT of the training tokens or more, number of all tokens). A word that
-    frequent has that share in some chunk; counts of chunks where it has less than half of that are left out, which can only
-    cost a word its own context. At most FREQUENT rows reach the driver."""
+    frequent has that share in some chunk; counts of chunks where it has less than half of that are left out. At most FREQUENT
+    rows reach the driver."""
     def run(batches):
         for batch in batches:
             for part in _parts(batch):
-                t = Tokens(part.column("text"), np.zeros(0, np.uint64))
+                t = Tokens(part.column("text"))
                 train = ~part.column("held").to_numpy(zero_copy_only=False)[t.row]
                 h, c = np.unique(t.hash[train], return_counts=True)
                 some = c * 2 * FREQUENT >= train.sum()
@@ -117,8 +109,9 @@ def _unpack(blob: bytes, *dtypes) -> list[np.ndarray]:
     return out
 
 
-# number of training documents; section keys, frequent numbers, entries per key; contexts, documents, counts (none: all 1)
-_ENTRIES = ("<u4", "<u8", "<u2", "<u4", "<u2", "<u2", "<u4")
+# number of training documents; section keys, frequent numbers, entries per key; distinct contexts, and of each entry its context's
+# number among them (in one of two widths), document, count (none: all 1)
+_ENTRIES = ("<u4", "<u8", "<u2", "<u4", "<u8", "<u2", "<u4", "<u2", "<u4")
 _DOCS = ("<i8", "u1", "u1", "<u4")                      # ids, whether null, held out, tokens
 
 
@@ -138,7 +131,7 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
         known = frequent.value
         at = np.searchsorted(known, h)
         freq = np.where((at < len(known)) & (known[np.minimum(at, max(0, len(known) - 1))] == h), at + 1, 0).astype(np.uint16) if len(known) else np.zeros(len(h), np.uint16)
-        key = np.where(freq > 0, K.mix(h ^ K.mix(ctx.astype(np.uint64) + np.uint64(1))), h)
+        key = np.where(freq > 0, K.mix(h ^ K.mix(ctx + np.uint64(1))), h)
         order = np.lexsort((doc, ctx, key))
         key, ctx, doc, freq = key[order], ctx[order], doc[order], freq[order]
         del h, at, order
@@ -155,7 +148,10 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
             a, b = cut[g], cut[g + 1]
             lo, hi = at[a], at[b]
             many = count[lo:hi] if (count[lo:hi] > 1).any() else np.zeros(0, "<u4")
-            yield int(g), number, _pack(n_train, key[first[a:b]], freq[first[a:b]].astype("<u2"), per_key[a:b].astype("<u4"), ctx[lo:hi], doc[lo:hi].astype("<u2"), many)
+            contexts, nth = np.unique(ctx[lo:hi], return_inverse=True)
+            narrow = len(contexts) <= 1 << 16
+            yield int(g), number, _pack(n_train, key[first[a:b]], freq[first[a:b]].astype("<u2"), per_key[a:b].astype("<u4"), contexts,
+                                        nth[:len(nth) * narrow].astype("<u2"), nth[len(nth) * narrow:].astype("<u4"), doc[lo:hi].astype("<u2"), many)
         yield -1 - number % groups, number, _pack(*about)
         del key, ctx, doc, freq, count, new, start
         _release()
@@ -172,7 +168,7 @@ def _packed(docs: DataFrame, frequent, groups: int) -> DataFrame:
                 if n_docs and (n_docs + piece.num_rows > FLUSH_DOCS or n_tokens >= FLUSH_TOKENS):
                     yield from out()
                     seq, tokens, rows, n_tokens, n_docs = seq + 1, [], [], 0, 0
-                t = Tokens(piece.column("text"), frequent.value)
+                t = Tokens(piece.column("text"))
                 tokens.append((t.hash, t.context, (t.row + n_docs).astype(np.uint16)))
                 ids = piece.column("id")
                 rows.append((ids.fill_null(0).to_numpy().astype("<i8"), np.asarray(ids.is_null()).astype(np.uint8), piece.column("held").to_numpy(zero_copy_only=False).astype(np.uint8),
@@ -200,25 +196,27 @@ def _blobs(row) -> list[tuple[int, bytes]]:
 
 
 class Group:
-    """The sections of one group."""
+    """The sections of one group. ``contexts`` has the hashes of its contexts, sorted; ``ctx`` numbers them."""
 
     def __init__(self, row):
         self.g = int(row["g"])
-        keys, freqs, ctxs, docs, counts, trains, spans = [], [], [], [], [], [], []
+        keys, freqs, ctxs, hashes, docs, counts, trains, spans = [], [], [], [], [], [], [], []
         for f, blob in _blobs(row):
-            n_train, k, q, per, c, d, many = _unpack(blob, *_ENTRIES)
+            n_train, k, q, per, h, narrow, wide, d, many = _unpack(blob, *_ENTRIES)
             keys.append(np.repeat(k, per))
             freqs.append(np.repeat(q, per))
-            ctxs.append(c)
+            ctxs.append(narrow if len(narrow) else wide)
+            hashes.append(h)
             docs.append(d)
-            counts.append(many if len(many) else np.ones(len(c), np.uint32))
+            counts.append(many if len(many) else np.ones(len(d), np.uint32))
             trains.append(d < n_train[0])
-            spans.append((f, len(c)))
-        key, self.ctx_of_entry = np.concatenate(keys), np.concatenate(ctxs)
+            spans.append((f, len(d)))
+        self.contexts = np.unique(np.concatenate(hashes))
+        key, ctx_of_entry = np.concatenate(keys), np.concatenate([np.searchsorted(self.contexts, h).astype(np.int32)[c] for h, c in zip(hashes, ctxs)])
         self.doc, self.count, train, self.spans = np.concatenate(docs), np.concatenate(counts).astype(np.int64), np.concatenate(trains), spans
         # words of the group (a frequent word's section with each context is a word here), then sections
-        order = np.lexsort((self.ctx_of_entry, key))
-        k, c = key[order], self.ctx_of_entry[order]
+        order = np.lexsort((ctx_of_entry, key))
+        k, c = key[order], ctx_of_entry[order]
         new_word = np.concatenate(([True], k[1:] != k[:-1]))
         new = new_word | np.concatenate(([True], c[1:] != c[:-1]))
         section = np.cumsum(new) - 1
@@ -233,6 +231,9 @@ class Group:
     def per_word(self, x: np.ndarray) -> np.ndarray:
         return np.bincount(self.word, weights=x, minlength=len(self.freq)).astype(np.int64)
 
+    def per_context(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.ctx, weights=x, minlength=len(self.contexts)).astype("<i8")
+
 
 def seat(customers: np.ndarray, odds: np.ndarray, discount: float, rng) -> np.ndarray:
     """Tables of sections after seating their customers one after the other; ``odds`` weighs a new table."""
@@ -298,32 +299,76 @@ class Chain:
         return (np.maximum(self.g.c - shared["d1"] * self.t, 0) + (STRENGTH + shared["d1"] * shared["ctx_t"][ctx]) * p0) / (STRENGTH + shared["ctx_c"][ctx])
 
 
-_KINDS = ("ctx_c", "ctx_t", "freq_c", "freq_n0", "scalar")
+_KINDS = (None, "freq_c", "freq_n0", "scalar")      # 0: a group's counts of the contexts of a bucket
 _SCALARS = ("tokens", "types", "sections1", "sections2", "root_customers", "root_tables", "roots1", "roots2")
+_COUNTS = ("ctx_t", "ctx_c")            # tables and, after the start only, customers
+
+
+def _context_totals(sent: DataFrame, kinds: int) -> DataFrame:
+    """(g, bucket, blob): what all groups have sent of each context added up, for each group in the order of its contexts."""
+    def run(batches):
+        for row in _rows(batches):
+            got = [(x["g"], *_unpack(x["blob"], "<u8", *["<i8"] * kinds)) for x in row["sent"]]
+            ids, nth = np.unique(np.concatenate([x[1] for x in got]), return_inverse=True)
+            totals = [np.bincount(nth, weights=np.concatenate([x[2 + i] for x in got]), minlength=len(ids)).astype("<i8") for i in range(kinds)]
+            at = 0
+            for g, ctx, *_ in got:
+                mine = nth[at:at + len(ctx)]
+                at += len(ctx)
+                yield pa.RecordBatch.from_arrays([pa.array([g]), pa.array([row["at"]]), pa.array([_pack(*(t[mine] for t in totals))], pa.binary())], names=["g", "bucket", "blob"])
+    return sent.groupBy("at").agg(F.collect_list(F.struct("g", "blob")).alias("sent")).mapInArrow(run, "g bigint, bucket bigint, blob binary")
+
+
+def _with_totals(stored: DataFrame, totals: list[DataFrame]) -> DataFrame:
+    """The groups with the totals of their contexts at the start and after each sweep so far."""
+    groups = stored.filter("g >= 0")
+    if not totals:
+        return groups
+    parts = reduce(DataFrame.unionByName, [t.select("g", F.struct(F.lit(k).alias("sweep"), "bucket", "blob").alias("part")) for k, t in enumerate(totals)])
+    return groups.join(parts.groupBy("g").agg(F.array_sort(F.collect_list("part")).alias("totals")).hint("shuffle_hash"), "g")
+
+
+def _history(row, past: list[dict]) -> list[dict]:
+    """``past`` with the totals of the group's contexts."""
+    out = []
+    for k, shared in enumerate(past):
+        parts = [_unpack(x["blob"], *["<i8"] * (1 if k else 2)) for x in row["totals"] if x["sweep"] == k]
+        counts = dict(zip(_COUNTS, map(np.concatenate, zip(*parts))))
+        out.append(shared | {"ctx_c": out[0]["ctx_c"] if k else None} | counts)
+    return out
 
 
-def _sums(stored: DataFrame, history: list[dict], words: int) -> dict:
-    """Shared sums after the sweeps in ``history``: the group totals, added up by Spark."""
+def _sums(stored: DataFrame, totals: list[DataFrame], history: list[dict], words: int, buckets: int) -> tuple[dict, DataFrame]:
+    """Shared sums after the sweeps in ``history``, added up by Spark: those of fixed number, and the table of those of contexts."""
     past = stored.sparkSession.sparkContext.broadcast(history)
+    kinds = 1 if history else 2
+    schema = pa.schema([("kind", pa.int32()), ("at", pa.int64()), ("value", pa.int64()), ("g", pa.int64()), ("blob", pa.binary())])
 
     def run(batches):
         for row in _rows(batches):
             g = Group(row)
-            chain = Chain(g, past.value)
-            own, n0, used = g.freq == 0, g.per_word(chain.t), g.c > 0
+            chain = Chain(g, _history(row, past.value))
+            own, n0 = g.freq == 0, g.per_word(chain.t)
             f = np.flatnonzero(~own)
             scalar = (g.c.sum(), (own & (g.c_word > 0)).sum(), (g.c == 1).sum(), (g.c == 2).sum(), n0[own].sum(), chain.s[own].sum(), (own & (n0 == 1)).sum(), (own & (n0 == 2)).sum())
-            for kind, at, value in ((0, g.ctx[used], g.c[used]), (1, g.ctx[used], chain.t[used]), (2, g.freq[f] - 1, g.c_word[f]), (3, g.freq[f] - 1, n0[f]), (4, np.arange(len(scalar)), np.array(scalar))):
+            for kind, at, value in ((1, g.freq[f] - 1, g.c_word[f]), (2, g.freq[f] - 1, n0[f]), (3, np.arange(len(scalar)), np.array(scalar))):
                 ids, inv = np.unique(at, return_inverse=True)
                 total = np.bincount(inv, weights=value, minlength=len(ids)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(ids), kind, np.int32)), pa.array(ids.astype(np.int64)), pa.array(total)], names=["kind", "at", "value"])
-            del g, chain
+                n = len(ids)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int32)), pa.array(ids.astype(np.int64)), pa.array(total), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())], schema=schema)
+            counts = [g.per_context(x) for x in (chain.t, g.c)[:kinds]]
+            bucket = ((g.contexts >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)     # ascending with the hash
+            cut = np.searchsorted(bucket, np.arange(buckets + 1))
+            for b in np.unique(bucket):
+                part = slice(cut[b], cut[b + 1])
+                yield pa.RecordBatch.from_pylist([{"kind": 0, "at": int(b), "value": 0, "g": g.g, "blob": _pack(g.contexts[part], *(x[part] for x in counts))}], schema=schema)
+            del g, chain, counts
             _release()
 
-    added = stored.filter("g >= 0").mapInArrow(run, "kind int, at bigint, value bigint").groupBy("kind", "at").agg(F.sum("value").alias("value"))
-    size = {"ctx_c": CONTEXTS, "ctx_t": CONTEXTS, "freq_c": words, "freq_n0": words, "scalar": len(_SCALARS)}
-    out = {k: np.zeros(n, np.int64) for k, n in size.items()}
-    for r in added.toLocalIterator():      # at most 2 * CONTEXTS + 2 * FREQUENT + 8 rows
+    sent = written(_with_totals(stored, totals).mapInArrow(run, "kind int, at bigint, value bigint, g bigint, blob binary"), "op10-sums")
+    added = sent.filter("kind > 0").groupBy("kind", "at").agg(F.sum("value").alias("value"))
+    out = {"freq_c": np.zeros(words, np.int64), "freq_n0": np.zeros(words, np.int64), "scalar": np.zeros(len(_SCALARS), np.int64)}
+    for r in added.toLocalIterator():      # at most 2 * FREQUENT + 8 rows
         out[_KINDS[r["kind"]]][r["at"]] = r["value"]
     out |= dict(zip(_SCALARS, map(int, out.pop("scalar"))))
     # root sections of the frequent words are seated here, a bounded number
@@ -336,7 +381,7 @@ def _sums(stored: DataFrame, history: list[dict], words: int) -> dict:
     out["freq_s"] = seat(out["freq_n0"], odds, out["d0"], np.random.default_rng([SEED, len(history)]))
     out["root_tables"] += int(out["freq_s"].sum())
     out["root_customers"] += int(out["freq_n0"].sum())
-    return out
+    return out, written(_context_totals(sent.filter("kind = 0"), kinds), "op10-contexts")
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: int = BURN_IN + SAMPLES, burn_in: int = BURN_IN) -> DataFrame:
@@ -352,23 +397,27 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
     frequent = spark.sparkContext.broadcast(words)
     stored = written(_grouped(_packed(docs, frequent, groups)), "op10-groups")
 
-    history = [_sums(stored, [], len(words))]
-    for _ in range(sweeps):
-        history.append(_sums(stored, history, len(words)))
+    history, totals = [], []
+    for _ in range(sweeps + 1):
+        shared, table = _sums(stored, totals, history, len(words), groups)
+        history.append(shared)
+        totals.append(table)
     past, last = spark.sparkContext.broadcast(history), history[-1]
 
+    def documents(batches):
+        for row in _rows(batches):
+            for f, blob in _blobs(row):
+                yield pa.RecordBatch.from_pylist([{"flush": f, "docs": True, "blob": blob}], schema=parts)
+
     def partial(batches):
         for row in _rows(batches):
-            if row["g"] < 0:
-                for f, blob in _blobs(row):
-                    yield pa.RecordBatch.from_pylist([{"flush": f, "docs": True, "blob": blob}], schema=parts)
-                continue
             g = Group(row)
+            shared = _history(row, past.value)
             chain, p = Chain(g, []), np.zeros(len(g.ctx))
             for k in range(sweeps):
-                chain.sweep(k, past.value[k])
+                chain.sweep(k, shared[k])
                 if k >= burn_in:
-                    p += chain.predictive(past.value[k + 1])
+                    p += chain.predictive(shared[k + 1])
             log_p = np.log10(p / (sweeps - burn_in))
             c_word = np.where(g.freq == 0, g.c_word, past.value[0]["freq_c"][g.freq - 1] if len(words) else 0)
             log_c, known = np.log10(c_word + 1.0), c_word > 0
@@ -379,7 +428,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
                 used = np.flatnonzero(np.bincount(doc))
                 sums = [np.bincount(doc, weights=n * x)[used] for x in (log_p[sec], log_c[g.word[sec]], known[g.word[sec]])]
                 yield pa.RecordBatch.from_pylist([{"flush": f, "docs": False, "blob": _pack(used.astype("<u2"), sums[0], sums[1], sums[2].astype("<u4"))}], schema=parts)
-            del g, chain, p, log_p, log_c, known
+            del g, shared, chain, p, log_p, log_c, known
             _release()
 
     tokens, smooth = last["tokens"], float(np.log10(last["tokens"] + last["types"] + 1))
@@ -394,4 +443,6 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sweeps: i
                              "train_tokens": np.int64(tokens), "base_score": total[1] - n * smooth, "score": total[0]})
 
     parts = pa.schema([("flush", pa.int64()), ("docs", pa.bool_()), ("blob", pa.binary())])
-    return stored.mapInArrow(partial, "flush bigint, docs boolean, blob binary").groupBy("flush").applyInPandas(whole, schema)
+    kind = "flush bigint, docs boolean, blob binary"
+    scored = _with_totals(stored, totals).mapInArrow(partial, kind)
+    return stored.filter("g < 0").mapInArrow(documents, kind).union(scored).groupBy("flush").applyInPandas(whole, schema)

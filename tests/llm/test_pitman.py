@@ -56,6 +56,21 @@ def test_counts_base_and_held_out_likelihood(spark, monkeypatch):
     assert all(abs(again[r.id, r.n_tokens] - r.score) < 1e-6 for r in got)
 
 
+def test_every_preceding_word_is_a_context(spark):
+    """6,000 words of one ending, each rarer than 1/4096 and followed by three words: only contexts of their own tell what follows."""
+    rnd = random.Random(3)
+    vocab = [f"{i}ing" for i in range(6000)]
+    after = {w: rnd.sample(vocab, 3) for w in vocab}
+    rows = []
+    for i in range(1500):
+        text = [rnd.choice(vocab)]
+        while len(text) < 120:
+            text.append(rnd.choice(after[text[-1]]) if rnd.random() < 0.95 else rnd.choice(vocab))
+        rows.append((i, " ".join(text)))
+    held = [r for r in check(spark, rows) if r.held_out]
+    assert len(held) > 100 and sum(r.score for r in held) > sum(r.base_score for r in held) + 1.5 * sum(r.n_tokens for r in held)
+
+
 @pytest.mark.parametrize("rows", [[(1, "a b a")], [(1, None)], [(i, "same words here") for i in range(12)]])
 def test_small_tables(spark, rows):
     check(spark, rows)
