@@ -15,7 +15,8 @@ section), into groups of about GROUP_TOKENS tokens. In a group all of a word's s
 by Spark after each sweep. Customers and tables per context go, packed, to the context's bucket (a range of its hash; as many buckets
 as groups), are added there, and come back to every group that has the context through a table joined by group. Root customers of
 frequent words and totals have a fixed number of entries and go back by broadcast. A sweep is seeded by group and number, so groups
-replay their earlier sweeps instead of keeping state. Scores are summed per document over the groups.
+replay their earlier sweeps instead of keeping state. Scores are summed per document over the groups. Nothing depends on the order or the files of the
+rows, but the last digits of sums.
 
 Defined results: null and empty texts are the end token alone; a null doc_id is no held-out document; repeated rows count and are scored each;
 an empty table gives no rows; other columns are not read.
@@ -76,17 +77,15 @@ def _parts(batch):
 
 
 def _frequent_words(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """(sorted hashes of the words with 1/FREQUENT of the training tokens or more, number of all tokens). A word that
-    frequent has that share in some chunk; counts of chunks where it has less than half of that are left out. At most FREQUENT
-    rows reach the driver."""
+    """(sorted hashes of the words with 1/FREQUENT of the training tokens or more, number of all tokens). All words of all chunks
+    are counted. At most FREQUENT rows reach the driver."""
     def run(batches):
         for batch in batches:
             for part in _parts(batch):
                 t = Tokens(part.column("text"))
                 train = ~part.column("held").to_numpy(zero_copy_only=False)[t.row]
                 h, c = np.unique(t.hash[train], return_counts=True)
-                some = c * 2 * FREQUENT >= train.sum()
-                yield pa.RecordBatch.from_arrays([pa.array(h[some].astype(np.int64)), pa.array(c[some]), pa.array(np.zeros(some.sum(), np.int64))], names=["h", "c", "n"])
+                yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(c), pa.array(np.zeros(len(h), np.int64))], names=["h", "c", "n"])
                 yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([int(train.sum())]), pa.array([len(t.hash)])], names=["h", "c", "n"])
     counts = written(docs.select("text", "held").mapInArrow(run, "h bigint, c bigint, n bigint").groupBy("h").agg(F.sum("c").alias("c"), F.sum("n").alias("n")), "op10-frequent")
     total = counts.filter("h is null").first()

@@ -71,6 +71,23 @@ def test_every_preceding_word_is_a_context(spark):
     assert len(held) > 100 and sum(r.score for r in held) > sum(r.base_score for r in held) + 1.5 * sum(r.n_tokens for r in held)
 
 
+def test_frequent_words_are_counted_in_all_chunks(spark, monkeypatch):
+    """A word with 2.9/8 of a third of the tokens and 0.45/8 of the rest has 1/8 of all, in whatever order the rows are stored."""
+    monkeypatch.setattr(P, "FREQUENT", 8)
+    fill = iter(range(10**6))
+    text = lambda hot, n: " ".join(["hot"] * hot + [f"f{next(fill)}" for _ in range(n - hot - 1)])
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 7 != 2]
+    rows = [(ids[0], text(145, 400)), (ids[1], text(22, 400)), (ids[2], text(23, 400))]
+    found, scores = [], []
+    for order in (rows, rows[::-1], rows[1:] + rows[:1]):
+        for parts in (1, 3):
+            df = spark.createDataFrame(spark.sparkContext.parallelize(order, parts), "doc_id bigint, text string")
+            found.append(tuple(P._frequent_words(P._documents(df, "doc_id", "text"))[0].tolist()))
+            scores.append([round(r.score, 6) for r in sorted(P.score(df).collect())] if parts == 3 or order is rows else scores[0])
+    assert len(found[0]) == 1 and len(set(found)) == 1
+    assert all(x == scores[0] for x in scores)
+
+
 @pytest.mark.parametrize("rows", [[(1, "a b a")], [(1, None)], [(i, "same words here") for i in range(12)]])
 def test_small_tables(spark, rows):
     check(spark, rows)
