@@ -1,10 +1,15 @@
 """Main text of web pages by line-block distribution (numbered operator 8).
 
-Markup is stripped into lines, one per block element. The distribution is the text length summed over windows of WINDOW lines
-from each line on. It surges where the main text starts and dives where it ends; the text between is kept. Links, and
-what stands in page furniture (navigation, headers, footers, sidebars, forms, notices, adverts, comments, by element or by the words of
-class, id and role), count as no text, and so does what is outside of the article where a page marks one; furniture inside the
-stretch is left out.
+Markup is stripped into lines, one per block element. Lines in page furniture (navigation, headers, footers, sidebars, forms, notices,
+adverts, comments, by element or by the words of class, id and role) are taken out first. The distribution is the text length summed
+over windows of WINDOW lines from each line on. It surges where a stretch of text starts and dives where it ends, on every page. Links
+count as no text; text in an article or main element counts RAISE times, and there the lines without text (short of a window) at the
+ends of a stretch belong to it.
+
+The largest stretch is kept. Of its lines that are outside of articles, those of links are left out.
+
+An article inside of furniture is furniture, unless the furniture was never closed: neither it nor, by its end tag, an element of
+the same name around it.
 
 Character references are decoded, white space in a line becomes one space, lines are joined by one \\n.
 
@@ -23,6 +28,7 @@ from pyspark.sql import types as T
 
 WINDOW = 3
 SURGE = 60      # characters in a window that start a stretch of text
+RAISE = 2       # what a character in an article counts
 #: Fixed lists of element names and of words in class, id and role.
 HIDDEN = "script style noscript template svg head title iframe object select textarea button canvas math"
 FURNITURE = "nav footer aside form menu dialog header"
@@ -50,99 +56,146 @@ def _furniture(name: str, attrs: str, in_article: bool) -> bool:
     return any(not _WORDS.isdisjoint(_SPLIT.split("".join(m).lower())) for m in _NAMED.findall(attrs))
 
 
-def lines_of(html: str) -> list[tuple[str, int, bool, bool]]:
-    """(text, characters outside of links, whether furniture, whether in an article) of each line with text."""
-    out: list[tuple[str, int, bool, bool]] = []
-    stack: list[tuple[str, bool]] = []      # open elements that are not void, and whether each hides its text
-    shut = links = articles = 0
-    held: list[str] = []
-    plain = at = 0
-
-    def text(data: str) -> None:
-        nonlocal plain
-        if data:
-            data = unescape(data)
-            held.append(data)
-            if not links:
-                plain += len(data) - data.count(" ")
-
-    def end_line() -> None:
-        nonlocal plain
-        line = " ".join("".join(held).split())
-        if line:
-            out.append((line, plain and min(len(line), plain + line.count(" ")), shut > 0, articles > 0))
-        held.clear()
-        plain = 0
-
-    def pop() -> None:
-        nonlocal shut, links, articles
-        name, hides = stack.pop()
-        shut -= hides
-        links -= name == "a"
-        articles -= name in ("article", "main")
-
-    for m in _MARKUP.finditer(html):
-        text(html[at:m.start()])
-        at = m.end()
+def _never_closed(tags: list[re.Match]) -> set[int]:
+    """Numbers of the tags that open an element without an end tag of its own, or in one of the same name without one (whose end
+    tag may be the one found)."""
+    stack: list[tuple[str, int]] = []
+    ends: dict[int, bool] = {}
+    around: dict[int, int | None] = {}
+    opened: dict[str, list[int]] = {}
+
+    def pop(ended: bool) -> None:
+        name, i = stack.pop()
+        opened[name].pop()
+        ends[i] = ended
+
+    for i, m in enumerate(tags):
         name = (m["name"] or "").lower()
         if not name:
             continue
-        if name in _BLOCKS:
-            end_line()
-        elif name == "br":
-            held.append(" ")
         if m["close"]:
-            if any(n == name for n, _ in stack):
+            if opened.get(name):
                 while stack[-1][0] != name:
-                    pop()
-                pop()
+                    pop(False)
+                pop(True)
         elif name not in _VOID and not m["attrs"].endswith("/"):
-            if name in ("article", "main"):
-                while shut:     # an article inside of furniture: the furniture was never closed
+            if name in ("p", "li") and stack and stack[-1][0] == name:
+                pop(True)
+            same = opened.setdefault(name, [])
+            around[i] = same[-1] if same else None
+            stack.append((name, i))
+            same.append(i)
+    while stack:
+        pop(False)
+    never: set[int] = set()
+    for i, outer in around.items():     # outer elements first
+        if not ends[i] or outer in never:
+            never.add(i)
+    return never
+
+
+class Page:
+    """``lines``: (text, characters outside of links, whether furniture, whether in an article, innermost element) of each line with
+    text; of each element, its name and the element around it (-1: none)."""
+
+    def __init__(self, html: str):
+        self.lines: list[tuple[str, int, bool, bool, int]] = []
+        self.names: list[str] = []
+        self.parents: list[int] = []
+        tags = list(_MARKUP.finditer(html))
+        never: set[int] | None = None
+        stack: list[tuple[str, bool, int, int]] = []    # open elements that are not void: whether each hides its text, numbers of element and tag
+        opened: dict[str, int] = {}
+        shut = links = articles = 0
+        held: list[str] = []
+        plain = at = 0
+
+        def text(data: str) -> None:
+            nonlocal plain
+            if data:
+                data = unescape(data)
+                held.append(data)
+                if not links:
+                    plain += len(data) - data.count(" ")
+
+        def end_line() -> None:
+            nonlocal plain
+            line = " ".join("".join(held).split())
+            if line:
+                self.lines.append((line, plain and min(len(line), plain + line.count(" ")), shut > 0, articles > 0, stack[-1][2] if stack else -1))
+            held.clear()
+            plain = 0
+
+        def count(entry: tuple[str, bool, int, int], by: int) -> None:
+            nonlocal shut, links, articles
+            name, hides, _, _ = entry
+            opened[name] = opened.get(name, 0) + by
+            shut += by * hides
+            links += by * (name == "a")
+            articles += by * (name in ("article", "main"))
+
+        def pop() -> None:
+            count(stack.pop(), -1)
+
+        for number, m in enumerate(tags):
+            text(html[at:m.start()])
+            at = m.end()
+            name = (m["name"] or "").lower()
+            if not name:
+                continue
+            if name in _BLOCKS:
+                end_line()
+            elif name == "br":
+                held.append(" ")
+            if m["close"]:
+                if opened.get(name):
+                    while stack[-1][0] != name:
+                        pop()
+                    pop()
+            elif name not in _VOID and not m["attrs"].endswith("/"):
+                if name in ("article", "main") and shut:
+                    never = _never_closed(tags) if never is None else never
+                    first = next((i for i, x in enumerate(stack) if x[1] and x[3] in never), len(stack))
+                    for x in stack[first:]:     # furniture that was never closed ends here, with what else in it was not
+                        if x[3] in never:
+                            count(x, -1)
+                    stack[first:] = [x for x in stack[first:] if x[3] not in never]
+                elif name in ("p", "li") and stack and stack[-1][0] == name:
                     pop()
-            elif name in ("p", "li") and stack and stack[-1][0] == name:
-                pop()
-            hides = name in _HIDDEN or _furniture(name, m["attrs"], articles > 0)
-            stack.append((name, hides))
-            shut += hides
-            links += name == "a"
-            articles += name in ("article", "main")
-    text(html[at:])
-    end_line()
-    return out
+                self.names.append(name)
+                self.parents.append(stack[-1][2] if stack else -1)
+                stack.append((name, name in _HIDDEN or _furniture(name, m["attrs"], articles > 0), len(self.names) - 1, number))
+                count(stack[-1], 1)
+        text(html[at:])
+        end_line()
 
 
 def main_text(html: str | None) -> str:
-    lines = lines_of(html or "")
-    marked = any(article and not hidden for _, _, hidden, article in lines)
-    weight = []
-    for line, plain, hidden, article in lines:
-        if hidden or marked and not article:
-            weight.append(0)
-        elif marked:
-            weight.append(len(line) + SURGE)    # an article's own lines all count, short ones and links too
-        else:
-            weight.append(plain if 2 * plain > len(line) else 0)
+    page = Page(html or "")
+    lines = page.lines
+    article = [x[3] and not x[2] for x in lines]
+    weight = [(RAISE if x[3] else 1) * x[1] if 2 * x[1] > len(x[0]) and not x[2] else 0 for x in lines]
     block = [sum(weight[i:i + WINDOW]) for i in range(len(weight))]
-    best, best_size, i = (0, 0), 0, 0
+    stretches, i = [], 0
     while i < len(block):
         if block[i] < SURGE or not weight[i]:
             i += 1
             continue
-        end, size = i, 0
+        start = end = i
         while end < len(block) and block[end]:     # the dive: a window without text
-            size += weight[end]
             end += 1
-        if marked:
-            best = (best[0] if best_size else i, end)
-            best_size += size
-        elif size > best_size:
-            best, best_size = (i, end), size
+        last = end
+        floor = stretches[-1][1] if stretches else 0
+        while start > floor and article[start - 1] and block[start - 1]:
+            start -= 1
+        while end < min(len(block), last + WINDOW - 1) and article[end] and article[end - 1]:
+            end += 1
+        stretches.append((start, end))
         i = end
-    if not best_size:      # nothing surges: all that is no furniture
-        best, weight = (0, len(lines)), [0 if x[2] else 1 for x in lines]
-    keep = [x[0] for x, w in zip(lines[best[0]:best[1]], weight[best[0]:best[1]]) if (w if marked or not best_size else not x[2])]
-    return "\n".join(keep)
+    if not stretches:      # nothing surges: all that is no furniture
+        return "\n".join(x[0] for x in lines if not x[2])
+    best = max(stretches, key=lambda x: sum(weight[x[0]:x[1]]))
+    return "\n".join(lines[i][0] for i in range(*best) if weight[i] or article[i])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -113,3 +113,21 @@ def test_main_text(spark):
     got = Counter((r.page_id, r.text) for r in mainhtml.extract(df).collect())
     assert got == Counter([(1, expect), (1, expect), (2, ""), (3, ""), (4, "<"), (5, "plain words"), (6, "x"), (None, "")])
     assert mainhtml.extract(df.limit(0)).count() == 0
+
+
+LONG = ["First words of the main text, which go on for some time to fill a line.", "Second lot of words of the main text, long enough to stand by itself here.",
+        "Third part of the text with many more words, so that a window of lines surges."]
+
+
+def test_windows_decide_where_articles_are_marked():
+    """Real text in a plain div; teaser cards and reader comments are articles in furniture, closed properly."""
+    teaser = "<aside class=related><article><h3>Other story</h3><p>A teaser of another story that is long enough to surge all alone, if shown.</p></article></aside>"
+    comment = "<section id=comments><article class=comment><p>A reader has written a long comment about what the text says here.</p></article></section>"
+    body = "".join(f"<p>{x}</p>" for x in LONG)
+    for page in (f"<body><div id=text>{body}</div>{teaser}{comment}</body>", f"<body>{teaser}<article>{body}{teaser}</article>{comment}</body>",
+                 f"<body><div id=text>{body}</div><ul><li><a href=1>a</a><li><a href=2>b</a><li><a href=3>c</a></ul><article><p>A small card that surges, but less than the text.</p></article></body>"):
+        assert mainhtml.main_text(page) == "\n".join(LONG), page
+    for never in ("<nav><a href=x>Home</a>", "<div class=sidebar><ul><li>One"):     # furniture that was never closed does not take the article along
+        assert mainhtml.main_text(f"<body><div>{never}<article>{body}</article></div></body>") == "\n".join(LONG), never
+    titled = f"<article><h2>T</h2><p><a href=a>By me</a></p>{body}<p><a href=b>Source</a></p></article>"
+    assert mainhtml.main_text(titled).split("\n") == ["T", "By me", *LONG, "Source"]
