@@ -6,7 +6,8 @@ over windows of WINDOW lines from each line on. It surges where a stretch of tex
 count as no text; text in an article or main element counts RAISE times, and there the lines without text (short of a window) at the
 ends of a stretch belong to it.
 
-The largest stretch is kept. Of its lines that are outside of articles, those of links are left out.
+The largest stretch is kept, and with it all that surge in the same container: in articles if most of its text is in one, otherwise in the smallest
+div, article, main or body that holds its lines. Of the lines of a stretch that are outside of articles, those of links are left out.
 
 An article inside of furniture is furniture, unless the furniture was never closed: neither it nor, by its end tag, an element of
 the same name around it.
@@ -38,7 +39,8 @@ VOID = "br hr img input meta link area base col embed source track wbr param"
 WORDS = ("ad ads advert adverts advertisement advertising banner sponsor sponsored promo cookie cookies consent gdpr notice notices alert popup modal overlay newsletter "
          "subscribe signup login search sidebar side menu nav navbar navigation breadcrumb breadcrumbs footer header masthead comment comments reply replies respond "
          "share sharing social related recommended pagination pager toolbar widget widgets skip disclaimer")
-_HIDDEN, _FURNITURE, _BLOCKS, _VOID, _WORDS = (frozenset(x.split()) for x in (HIDDEN, FURNITURE, BLOCKS, VOID, WORDS))
+CONTAINERS = "div article main body html"
+_HIDDEN, _FURNITURE, _BLOCKS, _VOID, _WORDS, _CONTAINERS = (frozenset(x.split()) for x in (HIDDEN, FURNITURE, BLOCKS, VOID, WORDS, CONTAINERS))
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
     r"|<(?P<raw>script|style|noscript|template|svg|textarea|iframe|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
@@ -169,12 +171,33 @@ class Page:
         text(html[at:])
         end_line()
 
+    def container(self, elements: list[int]) -> int:
+        """The smallest container of lines with these innermost elements (a line's own element is none)."""
+        held = [0] * (len(self.names) + 1)      # lines in each element; the last: in the page, number -1
+        for x in elements:
+            held[x] += 1
+        for i in reversed(range(len(self.names))):
+            held[self.parents[i]] += held[i]
+        at = max((i for i in range(len(self.names)) if held[i] == len(elements)), default=-1)
+        if at >= 0 and len({*elements}) == 1 and self.names[at] not in ("article", "main", "body"):
+            at = self.parents[at]
+        while at >= 0 and self.names[at] not in _CONTAINERS:
+            at = self.parents[at]
+        return at
+
+    def within(self, container: int) -> list[bool]:
+        """Whether each element, and last the page, is the container or in it."""
+        out = [False] * len(self.names) + [container < 0]
+        for i, outer in enumerate(self.parents):
+            out[i] = i == container or out[outer]
+        return out
+
 
 def main_text(html: str | None) -> str:
     page = Page(html or "")
-    lines = page.lines
-    article = [x[3] and not x[2] for x in lines]
-    weight = [(RAISE if x[3] else 1) * x[1] if 2 * x[1] > len(x[0]) and not x[2] else 0 for x in lines]
+    lines = [x for x in page.lines if not x[2]]
+    article = [x[3] for x in lines]
+    weight = [(RAISE if x[3] else 1) * x[1] if 2 * x[1] > len(x[0]) else 0 for x in lines]
     block = [sum(weight[i:i + WINDOW]) for i in range(len(weight))]
     stretches, i = [], 0
     while i < len(block):
@@ -193,9 +216,15 @@ def main_text(html: str | None) -> str:
         stretches.append((start, end))
         i = end
     if not stretches:      # nothing surges: all that is no furniture
-        return "\n".join(x[0] for x in lines if not x[2])
+        return "\n".join(x[0] for x in lines)
     best = max(stretches, key=lambda x: sum(weight[x[0]:x[1]]))
-    return "\n".join(lines[i][0] for i in range(*best) if weight[i] or article[i])
+    inside = range(*best)
+    marked = 2 * sum(weight[i] for i in inside if article[i]) > sum(weight[i] for i in inside)
+    keep = {*inside}
+    if len(stretches) > 1:
+        near = page.within(page.container([lines[i][4] for i in inside if weight[i]]))
+        keep.update(i for x in stretches for i in range(*x) if (article[i] if marked else near[lines[i][4]]))
+    return "\n".join(lines[i][0] for i in sorted(keep) if weight[i] or article[i])
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:

@@ -131,3 +131,12 @@ def test_windows_decide_where_articles_are_marked():
         assert mainhtml.main_text(f"<body><div>{never}<article>{body}</article></div></body>") == "\n".join(LONG), never
     titled = f"<article><h2>T</h2><p><a href=a>By me</a></p>{body}<p><a href=b>Source</a></p></article>"
     assert mainhtml.main_text(titled).split("\n") == ["T", "By me", *LONG, "Source"]
+
+
+def test_furniture_inside_the_text_does_not_end_it():
+    box = "<div class=newsletter><p>Sign up</p><p>Get all our mail</p><p>It is free</p><p>No spam</p></div>"
+    links = "<ul>" + "".join(f"<li><a href={i}>Another story of ours, number {i}</a></li>" for i in range(4)) + "</ul>"
+    foot = "<div id=foot><p>" + "Words about the firm that made this page. " * 2 + "</p></div>"
+    for middle in (box, links, box + links + box):
+        page = f"<body><div id=text><p>{LONG[0]}</p>{middle}<p>{LONG[1]}</p><p>{LONG[2]}</p></div>{links}{foot}</body>"
+        assert mainhtml.main_text(page) == "\n".join(LONG), middle
