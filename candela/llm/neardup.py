@@ -15,8 +15,8 @@ their sets have a Jaccard similarity of ``percent``/100 or more.
    passes is confirmed on full sets. Crowded regions are first cut at full depth. No pair inside a component is emitted,
    so a crowd of copies stays linear.
 
-Two classes at the threshold miss each other in every tree with a chance of (1 - s^MIN_DEPTH)^TREES (2e-8 at s = 0.85), in
-crowded regions of (1 - s^DEPTH)^TREES (1e-5); the signature test lets all pairs through but those 4 standard errors below
+Two classes at the threshold miss each other in every tree with a chance of (1 - s^MIN_DEPTH)^TREES (5e-10 at s = 0.85, 2e-7 at
+s = 0.8), in crowded regions of (1 - s^DEPTH)^TREES (4e-8 and 1e-5); the signature test lets all pairs through but those 4 standard errors below
 the threshold.
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; rows with a null id take part, and a
@@ -40,7 +40,7 @@ from candela.llm.stages import written
 
 SHINGLE = 5
 PERCENT = 85
-TREES, DEPTH, MIN_DEPTH = 24, 6, 4
+TREES, DEPTH, MIN_DEPTH = 29, 5, 4
 BLOCK = 512
 CROWD = 16
 WIDTH = TREES * DEPTH

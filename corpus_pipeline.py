@@ -17,6 +17,8 @@ from candela.session import apply_sql_conf
 
 #: After line dedup a document goes if lines were taken out and less than this share of its characters is left.
 LEAST_LEFT = 0.2
+#: Documents whose sets of five-word shingles have this Jaccard similarity or more are near-duplicates.
+NEAR_PERCENT = 80
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +41,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def minhash_neardup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays."""
     apply_sql_conf(spark)
-    return neardup.first_of_each(docs)
+    return neardup.first_of_each(docs, percent=NEAR_PERCENT)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -80,3 +80,8 @@ def test_components_of_a_long_chain(spark):
     links = [(i, i + 1) for i in range(1, 70)] + [(200, 100), (100, 300), (5, 5)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
     assert got == {**{i: 1 for i in range(1, 71)}, 100: 100, 200: 100, 300: 100}
+
+
+def test_few_links_are_missed_at_both_thresholds():
+    for s in (0.8, 0.85):
+        assert (1 - s ** N.MIN_DEPTH) ** N.TREES < 1e-6 and (1 - s ** N.DEPTH) ** N.TREES < 2e-5

@@ -48,3 +48,15 @@ def test_pipeline_matches_brute_force(spark, tmp_dir):
     assert sorted((r.doc_id, r.text, r.n_chars, r.n_tokens) for r in got.collect()) == sorted(expect)
     assert 10 < len(expect) < len(rows) - 10
     assert [s for s, _ in C.STAGES] == ["quality_rules", "line_dedup", "minhash_neardup", "benchmark_decontamination", "byte_bpe"]
+
+
+def test_near_duplicates_go_from_four_fifths_on(spark):
+    """100 words, of which 2 are changed: 86 of 106 shingles are shared (0.81); with 3 changed it is 81 of 111 (0.73)."""
+    rows = []
+    for i in range(12):
+        base = [f"d{i}w{k}" for k in range(100)]
+        for copy, changed in enumerate(((), (20, 60), (10, 30, 50))):
+            rows.append((10 * i + copy, " ".join(f"c{copy}x{k}" if k in changed else w for k, w in enumerate(base)), 1))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
+    kept = sorted(r.doc_id for r in C.minhash_neardup(spark, df, None).collect())
+    assert kept == sorted(d for d, *_ in rows if d % 10 != 1)
