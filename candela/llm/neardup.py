@@ -16,8 +16,8 @@ their sets have a Jaccard similarity of ``percent``/100 or more.
    so a crowd of copies stays linear.
 
 Two classes at the threshold miss each other in every tree with a chance of (1 - s^MIN_DEPTH)^TREES (5e-10 at s = 0.85, 2e-7 at
-s = 0.8), in crowded regions of (1 - s^DEPTH)^TREES (4e-8 and 1e-5); the signature test lets all pairs through but those 4 standard errors below
-the threshold.
+s = 0.8), in crowded regions of (1 - s^DEPTH)^TREES (4e-8 and 1e-5); the signature test lets all pairs through but those 5 standard errors below
+the threshold (2e-6 of the pairs at it, 1e-6 at 0.8).
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; rows with a null id take part, and a
 component of null ids alone has a null component id; repeated rows fall into one class; an empty table gives an empty result.
@@ -125,7 +125,7 @@ def _rows_of(column, width: int) -> np.ndarray:
 def _similar(sketch: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
     """Whether set sizes and signatures of rows x and y allow the similarity."""
     s = percent / 100
-    least = WIDTH * (s - 4 * np.sqrt(s * (1 - s) / WIDTH))
+    least = WIDTH * (s - 5 * np.sqrt(s * (1 - s) / WIDTH))
     ok = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
     at = np.flatnonzero(ok)
     for lo in range(0, len(at), 1 << 15):

@@ -1,6 +1,8 @@
+import math
 import random
 import re
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from candela.llm import neardup as N
@@ -85,3 +87,15 @@ def test_components_of_a_long_chain(spark):
 def test_few_links_are_missed_at_both_thresholds():
     for s in (0.8, 0.85):
         assert (1 - s ** N.MIN_DEPTH) ** N.TREES < 1e-6 and (1 - s ** N.DEPTH) ** N.TREES < 2e-5
+
+
+def test_signatures_of_linked_pairs_pass():
+    """All numbers of agreeing values that a pair at the threshold falls below with 1e-5 or less."""
+    for percent in (80, 85):
+        s, below, k = percent / 100, 0.0, 0
+        while below < 1e-5:
+            below += math.comb(N.WIDTH, k) * s ** k * (1 - s) ** (N.WIDTH - k)
+            k += 1
+        sketch = np.zeros((2, N.WIDTH), np.uint8)
+        sketch[1, k:] = 1
+        assert N._similar(sketch, np.array([100, 100]), np.array([0]), np.array([1]), percent).all()
