@@ -70,15 +70,20 @@ def op10_pitman_yor_scores(spark: SparkSession, d: str) -> DataFrame:
     return score(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.merkle import audited
+    return audited(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
     op1_decontaminate, op2_chat_rotation, op3_elias_fano_ids, op4_minhash_neardup, op5_hypergeometric_shards, op6_quality_rules,
-    op7_line_dedup, op8_html_main_text, op9_byte_bpe, op10_pitman_yor_scores)}
+    op7_line_dedup, op8_html_main_text, op9_byte_bpe, op10_pitman_yor_scores, op13_merkle_manifest)}
 
 
 def _oracles() -> dict[str, str]:
-    from candela.llm import chat
-    return {"op2_chat_rotation": chat.ORACLE}
+    from candela.llm import chat, merkle
+    return {"op2_chat_rotation": chat.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
 
 
 ORACLES: dict[str, str] = _oracles()
