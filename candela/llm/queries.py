@@ -70,6 +70,18 @@ def op10_pitman_yor_scores(spark: SparkSession, d: str) -> DataFrame:
     return score(table(spark, d, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op11_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.hardneg import hard_negatives
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(table(spark, d, "embeddings").withColumn("label", noisy), F.col("vec_id") % 50 == 0)
+
+
+def op12_vector_neardup(spark: SparkSession, d: str) -> DataFrame:
+    from candela.llm.vecdup import near_vectors
+    found = near_vectors(table(spark, d, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     from candela.llm.merkle import audited
     return audited(table(spark, d, "documents"))
@@ -78,12 +90,13 @@ def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
     op1_decontaminate, op2_chat_rotation, op3_elias_fano_ids, op4_minhash_neardup, op5_hypergeometric_shards, op6_quality_rules,
-    op7_line_dedup, op8_html_main_text, op9_byte_bpe, op10_pitman_yor_scores, op13_merkle_manifest)}
+    op7_line_dedup, op8_html_main_text, op9_byte_bpe, op10_pitman_yor_scores, op11_hard_negatives, op12_vector_neardup,
+    op13_merkle_manifest)}
 
 
 def _oracles() -> dict[str, str]:
-    from candela.llm import chat, merkle
-    return {"op2_chat_rotation": chat.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
+    from candela.llm import chat, hardneg, merkle, vecdup
+    return {"op2_chat_rotation": chat.ORACLE, "op11_hard_negatives": hardneg.ORACLE, "op12_vector_neardup": vecdup.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
 
 
 ORACLES: dict[str, str] = _oracles()
