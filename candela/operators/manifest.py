@@ -39,14 +39,14 @@ def to_fetch(expected: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def month_status(expected: DataFrame, landed: DataFrame, available: DataFrame) -> DataFrame:
-    """Outcome per expected month: SKIPPED (already landed), SUCCESS (fetched now, source has it),
-    NOT_FOUND (source has no archive for it)."""
+    """Outcome per expected month: SKIPPED (already landed), else what came of fetching it: the ``status`` that ``available`` gives
+    (``archive_outcomes`` of the archives read; SUCCESS where it has no such column), NOT_FOUND (source has no archive for it)."""
     l = landed.select("symbol", "year", "month").withColumn("_landed", F.lit(True))
-    a = available.select("symbol", "year", "month").withColumn("_avail", F.lit(True))
+    got = F.col("status") if "status" in available.columns else F.lit(S.STATUS_SUCCESS)
+    a = available.select("symbol", "year", "month", got.alias("_got"))
     j = expected.join(l, ["symbol", "year", "month"], "left").join(a, ["symbol", "year", "month"], "left")
     status = (F.when(F.col("_landed"), F.lit(S.STATUS_SKIPPED))
-               .when(F.col("_avail"), F.lit(S.STATUS_SUCCESS))
-               .otherwise(F.lit(S.STATUS_NOT_FOUND)))
+               .otherwise(F.coalesce("_got", F.lit(S.STATUS_NOT_FOUND))))
     return j.select("symbol", "year", "month", "path", status.alias("status"))
 
 

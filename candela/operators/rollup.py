@@ -55,6 +55,26 @@ def ratios(ohlc: bool = True, trades: bool = True) -> list[Column]:
             over("taker_buy_volume", "total_base_volume").alias("buy_pressure_ratio")]
 
 
+def partials(fact: DataFrame, grain: str = "hour", key: str = "symbol_id", ts: str = "timestamp_key") -> DataFrame:
+    """Mergeable sums of a bucket: the aggregates of :func:`rollup` with the bucket's first and last minute."""
+    return fact.groupBy(key, bucket_of(grain, ts)).agg(F.min(ts).alias("first_minute"), F.max(ts).alias("last_minute"), *sums(ts))
+
+
+def merge_partials(fine: DataFrame, grain: str = "day", key: str = "symbol_id") -> DataFrame:
+    """Partials of a coarser grain from those of a finer one: opens and closes by the minutes they belong to, the rest by sums. Work
+    follows the finer buckets, not the fact."""
+    exact = lambda c: F.sum(c).cast(fine.schema[c].dataType).alias(c)  # noqa: E731 - sums of sums keep their type
+    return fine.groupBy(key, bucket_of(grain, "first_minute")).agg(
+        F.min("first_minute").alias("first_minute"), F.max("last_minute").alias("last_minute"),
+        F.min_by("open", "first_minute").alias("open"), F.max("high").alias("high"), F.min("low").alias("low"), F.max_by("close", "last_minute").alias("close"),
+        *(exact(c) for c in ("total_base_volume", "total_quote_volume", "total_trades", "taker_buy_volume")))
+
+
+def summary(partial: DataFrame, grain: str, key: str = "symbol_id") -> DataFrame:
+    """The summary's columns from partials."""
+    return partial.select(key, bucket_name(grain), *ratios())
+
+
 def hourly_summary(fact: DataFrame, **kw) -> DataFrame:
     return rollup(fact, "hour", **kw)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candela.functions.columns import null_if_zero, time_part_map
+from candela.operators.dims import dim_time
 from candela.operators.rollup import rollup
 
 
@@ -55,6 +56,17 @@ def session_breakdown(fact: DataFrame) -> DataFrame:
              .withColumn("vwap", F.col("total_quote_volume") / null_if_zero("total_base_volume")))
 
 
-def join_dim_time(fact: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """The star join on the minute key, for consumers that want every dimension attribute."""
-    return fact.join(dim_time, "timestamp_key", "left")
+def join_dim_time(fact: DataFrame, dim_time: DataFrame, fact_date: str = "fact_date") -> DataFrame:
+    """The star join on (day, minute), for consumers that want every dimension attribute. The day is in the key, so a stored fact
+    is pruned to the days of a filtered dimension and a minute of the day is no hot key; the sides are merged in key order, and
+    the five-million-row dimension is never broadcast. Every fact row stays; a minute outside of the dimension has NULL attributes."""
+    right = dim_time.withColumnRenamed("date", fact_date).hint("merge")
+    return fact.join(right, [fact_date, "timestamp_key"], "left")
+
+
+def dim_time_of(fact: DataFrame, fact_date: str = "fact_date") -> DataFrame:
+    """The generated minute dimension over the whole days that the fact has (two dates reach the driver)."""
+    b = fact.agg(F.min(fact_date).alias("lo"), F.max(fact_date).alias("hi")).first()
+    if b["lo"] is None:
+        return dim_time(fact.sparkSession).limit(0)
+    return dim_time(fact.sparkSession, f"{b['lo']} 00:00:00", f"{b['hi']} 23:59:00")

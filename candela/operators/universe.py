@@ -13,15 +13,8 @@ def tradable(listing: DataFrame) -> DataFrame:
     return listing.filter((F.col("quoteAsset") == S.UNIVERSE_QUOTE_ASSET) & (F.col("status") == S.UNIVERSE_STATUS))
 
 
-def check_candidates(candidates: DataFrame, universe: DataFrame, key: str = "symbol") -> tuple[DataFrame, DataFrame]:
-    """(kept, dropped): candidates present in / absent from the universe (semi / anti join on the key;
-    the universe side is small and AQE broadcasts it at runtime)."""
-    u = universe.select(key)
-    return candidates.join(u, key, "left_semi"), candidates.join(u, key, "left_anti")
-
-
 def flag_candidates(candidates: DataFrame, universe: DataFrame, key: str = "symbol") -> DataFrame:
-    """``candidates`` with ``in_universe``: both answers of :func:`check_candidates` from one join."""
+    """``candidates`` with ``in_universe``: those kept (a semi join's answer) and those dropped (an anti join's) from one join."""
     u = universe.select(key).distinct().withColumn("in_universe", F.lit(True))
     return candidates.join(u, key, "left").withColumn("in_universe", F.coalesce("in_universe", F.lit(False)))
 

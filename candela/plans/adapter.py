@@ -115,7 +115,7 @@ def raw(v: DataFrame) -> DataFrame:
     )
 
 
-def messages(r: DataFrame) -> DataFrame:
+def messages(r: DataFrame, *keep: str) -> DataFrame:
     """Live route as JSON message text (minutes divisible by 89 carry an unknown field)."""
     k = [F.col(long).alias(short) for short, long, _ in S.MESSAGE_FIELDS]
     drift = F.col("m") % DRIFT_EXTRA_FIELD == 0
@@ -124,10 +124,10 @@ def messages(r: DataFrame) -> DataFrame:
     return (r.filter(F.col("route") == "stream")
              .select(F.to_json(F.struct(F.lit("kline").alias("e"), F.col("symbol").alias("s"),
                                         candle.alias("k"))).alias("value"),
-                     "ingestion_timestamp"))
+                     "ingestion_timestamp", *keep))
 
 
-def csv_lines(r: DataFrame) -> DataFrame:
+def csv_lines(r: DataFrame, *keep: str) -> DataFrame:
     """Archive route as CSV lines with their landing path (minutes divisible by 89 carry a 13th field)."""
     fields = [F.coalesce(F.col(n).cast("string"), F.lit("")) for n, _ in S.CSV_COLUMNS if n != "ignore"]
     fields.append(F.lit("0"))
@@ -136,7 +136,7 @@ def csv_lines(r: DataFrame) -> DataFrame:
     return (r.filter(F.col("route") == "archive")
              .select(line.alias("line"),
                      archive_path(F.col("symbol"), F.year("open_time_ts"), F.month("open_time_ts")).alias("path"),
-                     "ingestion_timestamp"))
+                     "ingestion_timestamp", *keep))
 
 
 def bronze_from_events(events: DataFrame, bar_rows: DataFrame | None = None) -> DataFrame:

@@ -201,11 +201,6 @@ def q_backfill_manifest(spark, d):
     return M.to_fetch(M.month_series(listings, now), landed)
 
 
-def q_ingest_status(spark, d):
-    listings, months, landed, now = _orders_calendar(spark, d)
-    return M.status_summary(M.month_status(M.month_series(listings, now), landed, months))
-
-
 def _daily(spark, d):
     return R.daily_summary(fact_frame(spark, d))
 
@@ -230,19 +225,6 @@ def q_session_breakdown(spark, d):
     return comparable(V.session_breakdown(fact_frame(spark, d)))
 
 
-def q_zip_archives(spark, d):
-    """Final candles of the archive route packed into monthly zip archives, then read back by the
-    archive decoder (first member, lines parsed with the archive CSV schema)."""
-    from candela.sources.archives import archive_rows, unzip_archives, zip_monthly
-    v = A.versions(A.bars(_t(spark, d, "events"))).filter(F.col("version") == "final")
-    lines = A.csv_lines(A.raw(v).withColumn("route", F.lit("archive")))
-    zips = zip_monthly(lines.select(F.regexp_replace("path", r"\.csv$", ".zip").alias("path"), "line",
-                                    F.split("line", ",").getItem(0).try_cast("long").alias("open_time")))
-    rows = archive_rows(unzip_archives(zips), F.lit(None).cast("timestamp"))
-    return rows.drop("ingestion_timestamp", "raw_payload").withColumn(
-        "rescued", F.col(S.RESCUE_COLUMN).isNotNull()).drop(S.RESCUE_COLUMN)
-
-
 # -- streaming ------------------------------------------------------------------------------------
 
 def _feed_in_chunks(spark, rows: DataFrame, date_col, input_dir: str, run_once, n: int = 3) -> None:
@@ -333,7 +315,8 @@ def q_stream_hourly_final(spark, d):
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    from candela.plans.landing import QUERIES
+    return QUERIES | {
         "bars_1m": q_bars_1m,
         "bronze_union": q_bronze_union,
         "staged": q_staged,
@@ -355,13 +338,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "gap_runs": q_gap_runs,
         "monitors": q_monitors,
         "backfill_manifest": q_backfill_manifest,
-        "ingest_status": q_ingest_status,
         "daily_price_action": q_daily_price_action,
         "market_sentiment": q_market_sentiment,
         "volatility_rank": q_volatility_rank,
         "volume_analysis": q_volume_analysis,
         "session_breakdown": q_session_breakdown,
-        "zip_archives": q_zip_archives,
         "stream_scd1": q_stream_scd1,
         "stream_fact": q_stream_fact,
         "stream_hourly_final": q_stream_hourly_final,

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from candela.session import scratch_path, stamp
 
-# Table registry: quality tier and description of each stored table (kept with the code rather
-# than in storage-engine table properties).
+# Quality tier and description of each stored table; the writer keeps them in the columns' metadata, which Parquet files carry.
 TABLES = {
     "bars": {"quality": "input", "comment": "1-minute bars built from the tick table"},
     "bronze": {"quality": "bronze", "comment": "archive CSV rows and live messages, unified, untyped"},
     "silver_staged": {"quality": "silver", "comment": "typed candles with derived measures, before the rules"},
     "silver_clean": {"quality": "silver", "comment": "one current candle per (symbol, minute), upserted"},
+    "listing": {"quality": "bronze", "comment": "exchange listing, as listed"},
     "quarantine": {"quality": "quarantine", "comment": "rows failing a data-quality rule, with the rules failed"},
     "gold_dim_symbol": {"quality": "gold", "comment": "tradable symbols with surrogate ids"},
     "gold_fact": {"quality": "gold", "comment": "one final candle per symbol and minute"},
@@ -31,7 +31,7 @@ _MEMO: dict[tuple, str] = {}
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
-                sort_by: list[str] | None = None) -> str:
+                sort_by: list[str] | None = None, tags: dict | None = None) -> str:
     """Write a layer clustered by (partition columns, key columns).
 
     One range shuffle on the partition and key columns gives each task a contiguous key range:
@@ -40,7 +40,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     row-group min/max statistics skip well. The number of ranges follows
     ``spark.sql.shuffle.partitions`` and AQE merges small ones.
     """
-    out = df
+    out = df if tags is None else df.select(*(F.col(f"`{c}`").alias(c, metadata={**df.schema[c].metadata, **tags}) for c in df.columns))
     keys = list(partition_by or []) + list(sort_by or [])
     if keys:
         out = out.repartitionByRange(*[F.col(c) for c in keys]).sortWithinPartitions(*keys)
@@ -51,12 +51,18 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     return path
 
 
+def table_tags(df: DataFrame) -> dict:
+    """Quality tier and comment of a stored table, as its files carry them."""
+    found = [f.metadata for f in df.schema.fields if "quality" in f.metadata]
+    return {k: found[0][k] for k in ("quality", "comment")} if found else {}
+
+
 def stored(spark: SparkSession, name: str, key: str, build, partition_by=None, sort_by=None) -> DataFrame:
     """Build-once table for (application, name, input folder and its files); later calls read the stored copy."""
     memo_key = (spark.sparkContext.applicationId, name, key, stamp(spark, key))
     with _LOCK:
         path = _MEMO.get(memo_key)
         if path is None:
-            path = write_table(build(), scratch_path(spark, name), partition_by, sort_by)
+            path = write_table(build(), scratch_path(spark, name), partition_by, sort_by, TABLES.get(name))
             _MEMO[memo_key] = path
     return spark.read.parquet(path)

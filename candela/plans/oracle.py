@@ -147,11 +147,6 @@ def oracles() -> dict[str, str]:
     q.update(more_oracles())
     # Streams end equal to their batch forms; the hourly stream holds back hours whose end plus
     # the 5-minute delay is past the last event time seen.
-    zip_cols = BRONZE_COLS.replace("is_final, ingestion_timestamp, source_system, source_file, rescued", (
-        "TRUE AS is_final, 'spot_archive_rest' AS source_system, "
-        "printf('raw_klines/symbol=%s/year=%d/month=%02d.csv', coalesce(symbol, ''), year(v_ts), month(v_ts)) "
-        "AS source_file, rescued"))
-    q["zip_archives"] = with_adapter(f"SELECT {zip_cols} FROM staged0 WHERE version = 'final'")
     q["gap_report_sparse"] = q["gap_report"]
     q["stream_scd1"] = q["upsert_scd1"]
     q["stream_fact"] = q["fact_bars"]
@@ -161,7 +156,8 @@ def oracles() -> dict[str, str]:
         "\nWHERE date + INTERVAL 1445 MINUTE <= (SELECT max(timestamp_key) FROM fact)")
     q["stream_quarantine"] = q["rules_quarantine"]
     q["stream_fact_new_symbol"] = f"SELECT d.symbol, f.* EXCLUDE (symbol_id) FROM ({q['fact_bars']}) f JOIN ({q['dim_symbol']}) d USING (symbol_id)"
-    return q
+    from candela.plans import landing_oracle
+    return q | landing_oracle.oracles()
 
 
 BRONZE_COLS = """symbol, open_time, close_time,
@@ -277,14 +273,6 @@ FROM missing, b WHERE missing_minute > b.now - INTERVAL 1 HOUR""")
     q["backfill_manifest"] = ORDERS_CAL + """
 SELECT * FROM expected e
 WHERE NOT EXISTS (SELECT 1 FROM landed l WHERE l.symbol = e.symbol AND l.year = e.year AND l.month = e.month)"""
-    q["ingest_status"] = ORDERS_CAL + """
-, st AS (
-  SELECT CASE WHEN EXISTS (SELECT 1 FROM landed l WHERE l.symbol = e.symbol AND l.year = e.year AND l.month = e.month)
-              THEN 'SKIPPED'
-              WHEN EXISTS (SELECT 1 FROM months l WHERE l.symbol = e.symbol AND l.year = e.year AND l.month = e.month)
-              THEN 'SUCCESS' ELSE 'NOT_FOUND' END AS status
-  FROM expected e)
-SELECT status, count(*) AS n_tasks FROM st GROUP BY status"""
     q["daily_price_action"] = with_adapter(DAILY + f"""
 , p AS (SELECT symbol_id, date, open, high, low, close,
                lag(close) OVER (PARTITION BY symbol_id ORDER BY date) AS prev_close FROM daily)

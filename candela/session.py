@@ -139,6 +139,15 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Give a folder another name through Spark's file system layer; what had that name goes."""
+    at, to = (spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(to, True)
+    if not fs.rename(at, to):
+        raise OSError(f"{source} could not become {target}")
+
+
 def stamp(spark: SparkSession, folder: str) -> tuple:
     """Names, sizes and times of a folder's entries: it changes when a table in it is written anew."""
     return tuple(sorted((x.getPath().getName(), x.getLen(), x.getModificationTime()) for x in _status(spark, folder)))

@@ -85,6 +85,18 @@ def write_landing(rows: DataFrame, root: str) -> None:
         .partitionBy("symbol", "year", "month").csv(root))
 
 
+def write_landing_lines(lines: DataFrame, root: str) -> None:
+    """Land CSV text as it is (``symbol``, ``year``, ``month``, ``line``): lines with too many or too few fields too."""
+    out = lines.select("symbol", "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"), "line")
+    out.repartitionByRange("symbol", "year", "month", "line").write.mode("append").partitionBy("symbol", "year", "month").text(root)
+
+
+def landed_month(path: Column) -> Column:
+    """``YYYY-MM`` of a landed file's folders or name; NULL where there is none."""
+    found = lambda i: F.nullif(F.regexp_extract(path, r"year=(\d+)/month=(\d+)", i), F.lit(""))
+    return F.concat_ws("-", found(1), found(2))
+
+
 # -- zipped archives ----------------------------------------------------------------------------
 
 UNZIP_SCHEMA = "path string, status string, line string"
@@ -95,7 +107,8 @@ LINES_PER_FRAME = 20_000
 
 def _unzip_batches(batches):
     """First member of each archive as lines, LINES_PER_FRAME at a time. An archive that can't be read (bad zip, truncated, encrypted,
-    not UTF-8) becomes one status row instead of failing the task; its lines before the fault are not kept."""
+    not UTF-8) becomes one status row instead of failing the task; its lines before the fault are not kept. An archive
+    without lines is one row without a line, so every archive has its outcome."""
     frame = lambda path, status, lines: pd.DataFrame({"path": path, "status": status, "line": lines}, dtype=object)
     for pdf in batches:
         for path, content in zip(pdf["path"], pdf["content"]):
@@ -109,15 +122,16 @@ def _unzip_batches(batches):
                 why = "bad ZIP" if isinstance(e, zipfile.BadZipFile) else type(e).__name__
                 yield frame([path], f"{S.STATUS_FAILED} ({why})", [None])
                 continue
-            block = []
+            block, empty = [], True
             for line in io.StringIO(text):
                 if line := line.rstrip("\r\n"):
                     block.append(line)
+                    empty = False
                 if len(block) == LINES_PER_FRAME:
                     yield frame(path, S.STATUS_SUCCESS, block)
                     block = []
-            if block:
-                yield frame(path, S.STATUS_SUCCESS, block)
+            if block or empty:
+                yield frame(path, S.STATUS_SUCCESS, block or [None])
 
 
 ZIP_SCHEMA = "path string, content binary"
@@ -147,14 +161,28 @@ def unzip_archives(binary: DataFrame) -> DataFrame:
     return binary.select("path", "content").mapInPandas(_unzip_batches, UNZIP_SCHEMA)
 
 
-def read_zip_archives(spark: SparkSession, path: str) -> DataFrame:
+def write_archives(zips: DataFrame, root: str) -> None:
+    """Land (symbol, year, month, content) rows, one archive a row, as one file each in ``symbol=/year=/month=`` folders. Spark has no
+    sink for bytes, but its text sink writes a value's bytes as they are, through Spark's committer and to any store; the line
+    end after them is behind the archive's directory, where zip readers allow it."""
+    out = zips.select("symbol", "year", F.lpad(F.col("month").cast("string"), 2, "0").alias("month"), F.col("content").cast("string").alias("value"))
+    out.write.mode("append").partitionBy("symbol", "year", "month").text(root)
+
+
+def read_zip_archives(spark: SparkSession, path: str, pattern: str = "*.zip") -> DataFrame:
     """Zipped archives on storage -> (path, status, line)."""
-    return unzip_archives(spark.read.format("binaryFile").option("pathGlobFilter", "*.zip")
+    return unzip_archives(spark.read.format("binaryFile").option("pathGlobFilter", pattern)
                           .option("recursiveFileLookup", "true").load(path))
 
 
+def archive_outcomes(unzipped: DataFrame) -> DataFrame:
+    """(symbol, year, month, path, status) of every archive read."""
+    part = lambda name: F.regexp_extract("path", rf"{name}=(\d+)", 1).try_cast("int").alias(name)
+    return unzipped.select("path", "status").distinct().select(symbol_of_path(F.col("path")).alias("symbol"), part("year"), part("month"), "path", "status")
+
+
 def archive_rows(unzipped: DataFrame, ingestion: Column | None = None) -> DataFrame:
     """Lines of good archives parsed to bronze rows (the CSV path is the archive path with .csv)."""
-    ok = unzipped.filter(F.col("status") == S.STATUS_SUCCESS).withColumn(
+    ok = unzipped.filter((F.col("status") == S.STATUS_SUCCESS) & F.col("line").isNotNull()).withColumn(
         "path", F.regexp_replace("path", r"\.zip$", ".csv"))
     return parse_csv_lines(ok, "line", "path", ingestion)

@@ -75,8 +75,3 @@ def parse_messages(df: DataFrame, value: str = "value", ingestion: Column | None
         F.col("_payload").alias("raw_payload"),
         F.when(malformed | (F.size(drift) > 0), F.col("_payload")).alias(S.RESCUE_COLUMN),
     )
-
-
-def read_broker_stream(spark, options: dict) -> DataFrame:
-    """Streaming read from a broker (needs the Kafka connector on the classpath)."""
-    return spark.readStream.format("kafka").options(**options).load()

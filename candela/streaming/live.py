@@ -17,6 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from candela.operators.bronze import unify
+from candela.operators.dims import register_symbols
 from candela.operators.fact import final_candles, to_fact
 from candela.operators.rules import KLINE_RULES, RuleSet
 from candela.operators.stage import stage
@@ -29,7 +30,7 @@ from candela.streaming import runner as ST
 class Paths:
     base: str
 
-    def __getattr__(self, name):  # bronze, clean, quarantine, fact, hourly, hourly_all
+    def __getattr__(self, name):  # bronze, clean, quarantine, fact, hourly, hourly_all, symbols, deduped, late
         if name.startswith("_"):
             raise AttributeError(name)
         return f"{self.base.rstrip('/')}/{name}"
@@ -85,11 +86,23 @@ def run_hourly(spark, paths: Paths, dim_symbol: DataFrame, rules: RuleSet = KLIN
                   available_now=available_now, **kw)
 
 
-def refresh(spark, csv_dir: str, base: str, dim_symbol: DataFrame, messages=None) -> Paths:
-    """One scheduled incremental refresh of every layer."""
+def refresh(spark, csv_dir: str, base: str, records: DataFrame, messages=None) -> Paths:
+    """One scheduled incremental refresh of every layer. ``records`` are the symbol records known now; their ids come from the
+    registry under ``base``, so the stored fact stays keyed when symbols are added."""
     p = Paths(base)
+    dim_symbol = register_symbols(p.symbols, records)
     run_bronze(spark, csv_dir, p, messages)
     run_silver(spark, p)
     run_fact(spark, p, dim_symbol)
     run_hourly(spark, p, dim_symbol)
     return p
+
+
+def run_dedup(spark, source, paths: Paths, available_now=True, **kw):
+    """One refresh of the dedup route: final candles, first copy of each under the watermark, into ``deduped``; then the rows that came
+    too late for it into ``late``, for the batch backfill (``fact_batch_writer`` merges them by earliest arrival).
+    ``source()`` gives the stream of valid candles; both queries read it, each with its own checkpoint."""
+    from candela.operators.dedup import DEDUP_KEYS
+    ST.run(final_candles(source()), paths.checkpoint("deduped"), sink_path=paths.deduped, available_now=available_now, **kw)
+    return ST.run(source().filter("is_final"), paths.checkpoint("late"), available_now=available_now,
+                  foreach_batch=ST.divert_late(paths.deduped, paths.late, DEDUP_KEYS, "open_time_ts"), **kw)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from candela import schemas as S
 from candela.operators.dedup import first_arrival
 from candela.operators.fact import to_fact
-from candela.operators.rollup import bucket_name, ratios, rollup, sums
+from candela.operators.rollup import bucket_name, merge_partials, partials, ratios, rollup, sums
 from candela.operators.rules import KLINE_RULES, RuleSet
 from candela.operators.upsert import KLINE_KEYS, KLINE_SEQUENCE, latest_per_key
 from candela.session import remove, table_exists, write_finished
@@ -94,11 +94,12 @@ def silver_batch_writer(clean_path: str, quarantine_path: str, rules: RuleSet =
     return write
 
 
-def fact_batch_writer(fact_path: str, dim_symbol: DataFrame, hourly_path: str | None = None):
+def fact_batch_writer(fact_path: str, dim_symbol: DataFrame, hourly_path: str | None = None, partial_base: str | None = None):
     """foreachBatch body: final candles of the batch -> fact rows, merged so the earliest arrival
     per (symbol, minute) wins across all batches (deterministic, replay-safe). Stored ids must not change
     between batches: take the dimension from ``dims.register_symbols`` where symbols are added.
-    With ``hourly_path`` the hourly summary of the touched dates is made anew."""
+    With ``hourly_path`` the hourly summary of the touched dates is made anew; with ``partial_base`` the mergeable hours and days of
+    these dates are (:func:`refresh_partials`)."""
     def write(batch: DataFrame, batch_id: int) -> None:
         finals = batch.filter(F.col("is_final"))
         fact = to_fact(first_arrival(finals), dim_symbol).persist()  # read for the dates and for the merge
@@ -108,6 +109,8 @@ def fact_batch_writer(fact_path: str, dim_symbol: DataFrame, hourly_path: str |
                                                       ["ingestion_timestamp", "source_system"]))
             if hourly_path and dates:
                 rebuild_dates(batch.sparkSession, fact_path, hourly_path, dates)
+            if partial_base and dates:
+                refresh_partials(batch.sparkSession, fact_path, partial_base, dates)
         finally:
             fact.unpersist()
     return write
@@ -140,6 +143,48 @@ def rebuild_dates(spark: SparkSession, fact_path: str, summary_path: str, dates:
         .option("partitionOverwriteMode", "dynamic").partitionBy(DATE_COL).parquet(summary_path))
 
 
+def _overwrite_dates(rows: DataFrame, path: str) -> None:
+    (rows.repartitionByRange(DATE_COL, "symbol_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(DATE_COL).parquet(path))
+
+
+def refresh_partials(spark: SparkSession, fact_path: str, base: str, dates: list) -> None:
+    """The ``hours`` and ``days`` tables under ``base`` after a change of the fact's ``dates``: hours from the fact's rows of these dates,
+    then days from these hours (at most 24 rows a symbol and day, whatever the fact holds). Replaying changes nothing."""
+    hours, days = f"{base.rstrip('/')}/hours", f"{base.rstrip('/')}/days"
+    touched = F.col(DATE_COL).isin(dates)
+    fresh = partials(spark.read.parquet(fact_path).filter(touched), "hour")
+    _overwrite_dates(fresh.withColumn(DATE_COL, F.to_date(bucket_name("hour"))), hours)
+    made = merge_partials(spark.read.parquet(hours).filter(touched), "day")
+    _overwrite_dates(made.withColumn(DATE_COL, F.col(bucket_name("day"))), days)
+
+
+def divert_late(kept_path: str, late_path: str, keys: list[str], event_time: str):
+    """foreachBatch body of the second query over a source whose first query dedups under a watermark into ``kept_path``: rows whose
+    key the first one has not kept were too late for it. They go to ``late_path``, in a partition that a replay overwrites.
+
+    The first query must have finished the same input (one scheduled refresh runs both, in this order). Only the kept rows of the
+    batch's days are read."""
+    own_run = uuid.uuid4().hex
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        b = batch.withColumn(DATE_COL, F.to_date(event_time)).persist()
+        try:
+            days = [r[0] for r in b.select(DATE_COL).distinct().collect()]
+            if not days:
+                return
+            late = b
+            if table_exists(spark, kept_path):
+                kept = spark.read.parquet(kept_path).filter(F.to_date(event_time).isin(days)).select(*keys)
+                late = b.join(kept, keys, "left_anti")
+            run_id = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or own_run
+            late.drop(DATE_COL).write.mode("overwrite").parquet(f"{late_path.rstrip('/')}/run={run_id}/batch_id={batch_id}")
+        finally:
+            b.unpersist()
+    return write
+
+
 def run(stream: DataFrame, checkpoint: str, *, foreach_batch=None, sink_path: str | None = None,
         output_mode: str = "append", available_now: bool = True, processing_time: str | None = None,
         query_name: str | None = None):

@@ -4,6 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from candela import schemas as S
 from candela.operators.rules import KLINE_RULES
 from candela.operators.stage import stage
 from candela.streaming.live import refresh
@@ -22,7 +23,7 @@ def _line(minute, close, trades=1):
 
 def test_scheduled_refreshes(spark, tmp_dir):
     csv = f"{tmp_dir}/landing"
-    dim = spark.createDataFrame([("AAA", 1)], "symbol string, symbol_id int")
+    dim = spark.createDataFrame([("AAA", "TRADING", "A", 8, "USDT", 8, None)], S.SYMBOL_RECORD)
     _land(f"{csv}/symbol=AAA/year=2024/month=01.csv", [_line(m, 2.0) for m in range(0, 50)] + [_line(3, -1.0)])
     p = refresh(spark, csv, f"{tmp_dir}/lake", dim)
     assert spark.read.parquet(p.clean).count() == 50
