@@ -7,12 +7,36 @@ links is a skewed join at most, which adaptive execution splits.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from candela.llm.stages import written
 
 
+class Forest:
+    """Components of a bounded number of nodes inside a task, from the components ``lab`` on; ``links`` keeps one link for each time
+    two of them join, so at most one less than there are nodes, however many links are added."""
+
+    def __init__(self, lab: np.ndarray):
+        self.lab, self.links = np.unique(lab, return_inverse=True)[1], []
+
+    def add(self, i: np.ndarray, j: np.ndarray) -> None:
+        while len(i):
+            p, q = self.lab[i], self.lab[j]
+            apart = p != q
+            i, j, p, q = i[apart], j[apart], p[apart], q[apart]
+            if not len(i):
+                return
+            high, at = np.unique(np.maximum(p, q), return_index=True)   # every higher label joins a lower one: no circles
+            self.links.append((i[at], j[at]))
+            to = np.arange(len(self.lab))
+            to[high] = np.minimum(p, q)[at]
+            while not np.array_equal(to, step := to[to]):
+                to = step
+            self.lab = to[self.lab]
+
+
 def _with_low(pairs: DataFrame) -> DataFrame:
     """(node, other) -> (node, other, low): low is the smallest of the node and its others."""
     low = pairs.groupBy("node").agg(F.min("other").alias("low")).select("node", F.least("node", "low").alias("low"))

@@ -9,8 +9,8 @@
 4. In a tile pair, inner products are accumulated over the leading axes first, CUTS at a time; the rest of the product is at most the product
    of the suffix norms, and a pair of rows stops when that cannot reach the threshold. What is left is decided by the cosine of the
    vectors as they came, in double precision.
-5. A tile pair returns the number of links of each row and a spanning forest of its links, at most as many rows as it holds, so a
-   crowd of near copies is not expanded; components are taken over the forests.
+5. A tile pair returns the number of links of each row and a star for each component of its links, at most as many rows as it holds,
+   so a crowd of near copies is not expanded; components are taken over the stars.
 
 Defined results: rows with a null label, and vectors that are null, empty, zero or hold null or non-finite components link with nothing; so do
 vectors of different lengths with each other. Repeated rows are rows: each gets a result and counts as a link of the others. Components
@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from candela.llm.graph import components
+from candela.llm.graph import Forest, components
 from candela.llm.stages import written
 from candela.llm.vectors import finite, grouped, matrices, packed, unpacked
 
@@ -128,28 +128,6 @@ def _tile_pairs(tiles: DataFrame, cosine: float) -> DataFrame:
     return one.join(two, ["label", "d", "strip"]).filter((F.col("a") <= F.col("b")) & (gap <= reach * reach)).select("a", "b").distinct()
 
 
-class _Forest:
-    """Components of the rows of a tile pair; keeps one link for each time two of them join."""
-
-    def __init__(self, n: int):
-        self.lab, self.links = np.arange(n), []
-
-    def add(self, i: np.ndarray, j: np.ndarray) -> None:
-        while len(i):
-            p, q = self.lab[i], self.lab[j]
-            apart = p != q
-            i, j, p, q = i[apart], j[apart], p[apart], q[apart]
-            if not len(i):
-                return
-            high, at = np.unique(np.maximum(p, q), return_index=True)   # every higher label joins a lower one: no circles
-            self.links.append((i[at], j[at]))
-            to = np.arange(len(self.lab))
-            to[high] = np.minimum(p, q)[at]
-            while not np.array_equal(to, step := to[to]):
-                to = step
-            self.lab = to[self.lab]
-
-
 def _close(x, y, tx, ty, cosine: float, lo: int, strip: int = STRIP, gather: int = GATHER):
     """Row pairs (i in x from lo, ``strip`` rows; j in y) whose cosine reaches the threshold."""
     d = x.shape[1]
@@ -183,7 +161,7 @@ def _close(x, y, tx, ty, cosine: float, lo: int, strip: int = STRIP, gather: int
 
 
 def _compared(pairs: DataFrame, tiles: DataFrame, axes, cosine: float) -> DataFrame:
-    """(cls, other, links): with other, a link of a spanning forest; without, how many rows of the other tile a class is linked with."""
+    """(cls, other, links): with other, a ray of a component's star; without, how many rows of the other tile a class is linked with."""
     strip, gather = STRIP, GATHER
     side = lambda s: tiles.select(F.col("tile").alias(s), *(["d"] if s == "a" else []), *(F.col(c).alias(s + c) for c in ("cls", "n", "x")))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
@@ -196,7 +174,7 @@ def _compared(pairs: DataFrame, tiles: DataFrame, axes, cosine: float) -> DataFr
                 key = np.concatenate([unpacked(batch.column(c)[r], 1, f"S{KEY}")[:, 0] for c in ("acls", "bcls")])
                 nx, ny = (unpacked(batch.column(c)[r], 1, "<i8")[:, 0] for c in ("an", "bn"))
                 tx, ty = _turned(x, axes.value), _turned(y, axes.value)
-                forest, seen = _Forest(len(key)), np.zeros(len(key))
+                forest, seen = Forest(np.arange(len(key))), np.zeros(len(key))
                 shift = 0 if same else len(x)
                 for lo in range(0, len(x), strip):
                     i, j = _close(x, y, tx, ty, cosine, lo, strip, gather)
@@ -205,7 +183,11 @@ def _compared(pairs: DataFrame, tiles: DataFrame, axes, cosine: float) -> DataFr
                     seen += np.bincount(i, ny[j], len(key)) + np.bincount(j + shift, nx[i], len(key))
                     forest.add(i, j + shift)
                 hit = np.flatnonzero(seen)
-                i, j = (np.concatenate(z) if z else np.zeros(0, int) for z in zip(*forest.links)) if forest.links else (hit[:0], hit[:0])
+                # of each component a star around its least key: stars of different tiles share their centres
+                hit = hit[np.lexsort((key[hit], forest.lab[hit]))]
+                new = np.concatenate(([True], forest.lab[hit][1:] != forest.lab[hit][:-1]))[:len(hit)]
+                j = hit[np.maximum.accumulate(np.where(new, np.arange(len(hit)), 0))]
+                i, j = hit[~new], j[~new]
                 texts = lambda at: [k.decode() for k in key[at].tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(texts(hit) + texts(i), pa.string()), pa.array([None] * len(hit) + texts(j), pa.string()),
                                                   pa.array([*seen[hit].astype(np.int64).tolist(), *([None] * len(i))], pa.int64())], names=["cls", "other", "links"])

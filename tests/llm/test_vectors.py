@@ -93,7 +93,7 @@ def test_forest_spans():
     for _ in range(30):
         n = 30
         i, j = rng.integers(0, n, 25), rng.integers(0, n, 25)
-        forest = V._Forest(n)
+        forest = V.Forest(np.arange(n))
         forest.add(i[:10], j[:10])
         forest.add(i[10:], j[10:])
         links = [(a, b) for x, y in forest.links for a, b in zip(x, y)]
