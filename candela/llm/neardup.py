@@ -10,14 +10,14 @@ their sets have a Jaccard similarity of ``percent``/100 or more.
    with its neighbour, with the first of its stretch of the region, and in regions of CROWD classes or more with the region's hub
    (edited copies of one text are closer to that text than to each other): a number of pairs linear in the region, however large.
 3. Pairs whose signatures allow the similarity are confirmed on the full sets, and components are taken.
-4. The rest: in a region that still holds several components, all pairs between different components are compared by
-   signature, block against block (a class meets every block of its region, a task step holds two blocks), and what
-   passes is confirmed on full sets. Crowded regions are first cut at full depth. No pair inside a component is emitted,
-   so a crowd of copies stays linear.
+4. The rest: in a region that still holds several components, all pairs between different components are compared by signature, block
+   against block (a class meets every block of its region, a task step holds two blocks), each pair in the first tree that has
+   it. Classes with a candidate are compared again with their full sets at hand, in blocks bounded in bytes, and a step emits
+   links only where they join two components: fewer than the classes it holds, however many pairs are similar.
 
 Two classes at the threshold miss each other in every tree with a chance of (1 - s^MIN_DEPTH)^TREES (5e-10 at s = 0.85, 2e-7 at
-s = 0.8), in crowded regions of (1 - s^DEPTH)^TREES (4e-8 and 1e-5); the signature test lets all pairs through but those 5 standard errors below
-the threshold (2e-6 of the pairs at it, 1e-6 at 0.8).
+s = 0.8), whatever the size of their regions; the signature test of step 4 lets all pairs through but those 7 standard errors below the threshold (1e-10
+of the pairs at it).
 
 Defined results: null, empty and wordless texts have an empty set and link with nothing; rows with a null id take part, and a
 component of null ids alone has a null component id; repeated rows fall into one class; an empty table gives an empty result.
@@ -35,13 +35,14 @@ from pyspark.sql import functions as F
 
 from candela.llm import bitmap
 from candela.llm import textkit as K
-from candela.llm.graph import components
+from candela.llm.graph import Forest, components
 from candela.llm.stages import written
 
 SHINGLE = 5
 PERCENT = 85
 TREES, DEPTH, MIN_DEPTH = 29, 5, 4
-BLOCK = 512
+#: A block has up to so many classes, and bytes of sets.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
 CROWD = 16
 WIDTH = TREES * DEPTH
 
@@ -101,6 +102,7 @@ def _signed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                     [part.column("id"), part.column("th"), pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([r.tobytes() if k else None for k, r in zip(key, sig)], pa.binary()),
                      pa.array([r.tobytes() if k else None for k, r in zip(key, low)], pa.binary())], names=["id", "th", "cls", "n", "sig", "sketch"])
+        K.release()
     return rows.mapInArrow(run, "id bigint, th bigint, cls binary, n bigint, sig binary, sketch binary")
 
 
@@ -122,10 +124,10 @@ def _rows_of(column, width: int) -> np.ndarray:
     return data[column.offset * width:(column.offset + len(column)) * width].reshape(len(column), width)
 
 
-def _similar(sketch: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
-    """Whether set sizes and signatures of rows x and y allow the similarity."""
+def _similar(sketch: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, percent: int, errors: int = 5) -> np.ndarray:
+    """Whether set sizes and signatures of rows x and y allow the similarity, to ``errors`` standard errors."""
     s = percent / 100
-    least = WIDTH * (s - 5 * np.sqrt(s * (1 - s) / WIDTH))
+    least = WIDTH * (s - errors * np.sqrt(s * (1 - s) / WIDTH))
     ok = 100 * np.minimum(n[x], n[y]) >= percent * np.maximum(n[x], n[y])
     at = np.flatnonzero(ok)
     for lo in range(0, len(at), 1 << 15):
@@ -218,43 +220,94 @@ def _whole_groups(batches):
         yield rest
 
 
-def _across(leaves: DataFrame, classes: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in one region and in different components whose signatures allow the similarity. A pair that meets in
-    several trees is compared in each, but emitted once or twice: not where an earlier tree has it in one region at full depth."""
-    region = F.when(F.col("size") > BLOCK, F.col("deep")).otherwise(F.col("region"))
-    tagged = leaves.select(region.alias("region"), "tree", "cls").join(labels, F.col("cls") == F.col("node"), "left").select("region", "tree", "cls", F.xxhash64(F.coalesce("label", "cls")).alias("label"))
-    mixed = tagged.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("size")).filter("lo <> hi").select("region", "size")
-    member = tagged.join(mixed, "region").join(classes.select("cls", "n", "sig"), "cls")
-    # blocks by a hash of the class; a row goes to every pair of blocks that holds its own
-    blocks = F.ceil(F.col("size") / BLOCK)
-    member = member.withColumn("own", F.pmod(F.xxhash64("cls"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
-    member = member.select(F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other")).alias("g"), (F.col("own") == F.col("other")).alias("same"), "own", "tree", "cls", "label", "n", "sig")
-
-    def run(batches):
+def _mixed(leaves: DataFrame, classes: DataFrame, labels: DataFrame) -> DataFrame:
+    """The classes of regions with several components: region, tree, cls, label (of the component), n and sig."""
+    tagged = leaves.select("region", "tree", "cls").join(labels, F.col("cls") == F.col("node"), "left").select("region", "tree", "cls", F.xxhash64(F.coalesce("label", "cls")).alias("label"))
+    mixed = tagged.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("region")
+    return tagged.join(mixed, "region").join(classes.select("cls", "n", "sig"), "cls")
+
+
+def _in_blocks(member: DataFrame, size) -> DataFrame:
+    """``member`` dealt into blocks by a hash of the class: a row goes to every pair of blocks (g) that holds its own. ``size``: a region's number of blocks."""
+    counts = member.groupBy("region").agg(F.greatest(F.ceil(size), F.ceil(F.count("*") / BLOCK)).alias("blocks"))
+    dealt = member.join(counts, "region").withColumn("own", F.pmod(F.xxhash64("cls"), F.col("blocks"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("g", F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))).withColumn("same", F.col("own") == F.col("other"))
+    return dealt.drop("blocks", "other").repartition("g").sortWithinPartitions("g")
+
+
+def _candidates(rows: pa.RecordBatch, percent: int):
+    """Row pairs (x, y) in whole groups: of different components, similar by signature, and in no region of an earlier tree together."""
+    g, own, tree, label, n = (rows.column(c).to_numpy() for c in ("g", "own", "tree", "label", "n"))
+    same = rows.column("same").to_numpy(zero_copy_only=False)
+    sig = _rows_of(rows.column("sig"), 2 * WIDTH).view("<u2")
+    sketch, paths = sig.astype(np.uint8), sig.reshape(len(sig), TREES, DEPTH)[:, :, :MIN_DEPTH]
+    for step in range(1, len(g)):
+        x = np.flatnonzero(g[step:] == g[:-step])
+        if not len(x):
+            return  # groups are contiguous: no longer distance has a pair either
+        y = x + step
+        ok = (label[x] != label[y]) & ((own[x] != own[y]) | same[x])
+        x, y = x[ok], y[ok]
+        ok = _similar(sketch, n, x, y, percent, errors=7)
+        x, y = x[ok], y[ok]
+        if len(x):
+            before = (paths[x] == paths[y]).all(axis=2) & (np.arange(TREES) < tree[x][:, None])
+            new = ~before.any(axis=1)
+            yield x[new], y[new]
+
+
+def _linked(sets: list[np.ndarray], x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the full sets x and y meet ``percent``."""
+    size = np.array([len(s) for s in sets])
+    at = np.concatenate(([0], np.cumsum(size)))
+    code = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    mark, both = np.zeros(int(code.max()) + 1, bool), np.zeros(len(x), np.int64)
+    order = np.argsort(x, kind="stable")
+    for part in np.split(order, np.flatnonzero(np.diff(x[order])) + 1):
+        i, js = x[part[0]], y[part]
+        mine = code[at[i]:at[i + 1]]
+        mark[mine] = True
+        both[part] = (np.add.reduceat(mark[code], at[:-1], dtype=np.int64)[js] if 8 * len(js) > len(sets)
+                      else [np.count_nonzero(mark[code[at[j]:at[j + 1]]]) for j in js])
+        mark[mine] = False
+    return 100 * both >= percent * (size[x] + size[y] - both)
+
+
+def _across(leaves: DataFrame, classes: DataFrame, labels: DataFrame, docs: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+    """Links that join different components: of all links between classes of one region, a spanning forest in each step."""
+    member = written(_mixed(leaves, classes, labels), "op4-mixed")
+
+    def flag(batches):
         for rows in _whole_groups(batches):
-            g, own, tree, label, n = (rows.column(c).to_numpy() for c in ("g", "own", "tree", "label", "n"))
-            same = rows.column("same").to_numpy(zero_copy_only=False)
-            sig = _rows_of(rows.column("sig"), 2 * WIDTH).view("<u2")
-            sketch, paths = sig.astype(np.uint8), sig.reshape(len(sig), TREES, DEPTH)
-            for step in range(1, len(g)):
-                x = np.flatnonzero(g[step:] == g[:-step])
-                if not len(x):
-                    break  # groups are contiguous: no longer distance has a pair either
-                y = x + step
-                ok = (label[x] != label[y]) & ((own[x] != own[y]) | same[x])
-                x, y = x[ok], y[ok]
-                ok = _similar(sketch, n, x, y, percent)
-                x, y = x[ok], y[ok]
-                if len(x):
-                    met = (paths[x] == paths[y]).all(axis=2) & (np.arange(TREES) < tree[x][:, None])
-                    new = ~met.any(axis=1)
-                    yield _pairs(rows.column("cls"), x[new], y[new])
-    return _ordered(member.repartition("g").sortWithinPartitions("g").mapInArrow(run, _PAIR))
-
-
-def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
-    """The pairs whose full sets meet ``percent``; sets are rebuilt from the texts of the classes' first ids."""
-    need = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
+            hit = np.zeros(rows.num_rows, bool)
+            for x, y in _candidates(rows, percent):
+                hit[x] = hit[y] = True
+            yield rows.select(["region", "cls"]).filter(pa.array(hit))
+    near = written(_in_blocks(member, F.lit(1)).mapInArrow(flag, "region bigint, cls binary").distinct(), "op4-near")
+    sets = _sets(near.select("cls").distinct(), docs, classes, id_col, text)
+    whole = member.join(near, ["region", "cls"]).join(sets, "cls")
+
+    def link(batches):
+        for rows in _whole_groups(batches):
+            found = [np.concatenate(z) for z in zip(*_candidates(rows, percent))] or [np.zeros(0, int)] * 2
+            cls, label, items = rows.column("cls"), rows.column("label").to_numpy(), rows.column("items")
+            g = rows.column("g").to_numpy()
+            for lo in np.flatnonzero(np.concatenate(([True], g[1:] != g[:-1]))):
+                hi = int(np.searchsorted(g, g[lo], "right"))
+                mine = (found[0] >= lo) & (found[0] < hi)
+                if not mine.any():
+                    continue
+                x, y = found[0][mine] - lo, found[1][mine] - lo
+                ok = _linked([np.frombuffer(items[i].as_buffer(), np.uint64) for i in range(lo, hi)], x, y, percent)
+                forest = Forest(label[lo:hi])
+                forest.add(x[ok], y[ok])
+                for i, j in forest.links:
+                    yield _pairs(cls, i + lo, j + lo)
+    return _ordered(_in_blocks(whole, F.sum(8 * F.col("n")) / BLOCK_BYTES).mapInArrow(link, _PAIR))
+
+
+def _sets(need: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text: str) -> DataFrame:
+    """(cls, items) of the classes in ``need``: their full sets, rebuilt from the texts of their first ids."""
     reps = classes.join(need, "cls").select(F.xxhash64("rep").alias("probe"))
     asked = bitmap.build(reps, "probe")
     texts = docs.select(F.xxhash64(F.col(id_col).cast("long")).alias("probe"), K.text_column(docs, text).alias("text"))
@@ -266,9 +319,15 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: st
             for part in K.chunks(batch, "text"):
                 s = [x for x in shingle_sets(part.column("text")) if len(x)]
                 yield pa.RecordBatch.from_arrays([pa.array([_class_key(x) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], names=["cls", "items"])
+        K.release()
 
     table = texts.mapInArrow(sets, "cls binary, items binary").join(need, "cls", "left_semi")
-    table = written(table.groupBy("cls").agg(F.any_value("items").alias("items")), "op4-sets")
+    return written(table.groupBy("cls").agg(F.any_value("items").alias("items")), "op4-sets")
+
+
+def _confirmed(pairs: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text: str, percent: int) -> DataFrame:
+    """The pairs whose full sets meet ``percent``."""
+    table = _sets(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct(), docs, classes, id_col, text)
 
     @F.pandas_udf("boolean")
     def linked(x: pd.Series, y: pd.Series) -> pd.Series:
@@ -293,13 +352,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         F.min(place).alias("first"), *(F.any_value(c).alias(c) for c in ("n", "sig", "sketch"))).withColumn("rep", F.col("first.id")), "op4-classes")
     leaves = written(_leaves(classes.select("cls", "n", "sig", "sketch")), "op4-leaves")
 
-    def confirm(pairs):
-        pairs = written(pairs, "op4-pairs")
-        return written(_confirmed(pairs, docs, classes, id_col, text, percent), "op4-links")
-
-    links = confirm(_neighbours(leaves, percent))
+    links = written(_confirmed(written(_neighbours(leaves, percent), "op4-pairs"), docs, classes, id_col, text, percent), "op4-links")
     labels = written(components(links), "op4-labels")
-    late = confirm(_across(leaves, classes, labels, percent))
+    late = written(_across(leaves, classes, labels, docs, id_col, text, percent), "op4-late")
     labels = written(components(links.union(late)), "op4-labels")
 
     named = classes.select("cls", "first").join(labels, F.col("cls") == F.col("node"), "left").select("cls", "first", F.coalesce("label", "cls").alias("label"))
