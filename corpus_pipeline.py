@@ -24,7 +24,7 @@ NEAR_PERCENT = 80
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
     apply_sql_conf(spark)
-    judged = quality.judge(docs, prefix="__quality_")
+    judged = quality.judge(docs, prefix="__quality_", measures=False)
     return judged.filter("__quality_kept").select(docs.columns)
 
 
@@ -32,9 +32,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines that repeat an earlier one go; so do documents of which little is left."""
     apply_sql_conf(spark)
     had = docs.withColumn("__had", F.length("text"))
-    left = linedup.dedup_lines(had).filter((F.col("n_dropped") == 0) | (F.length("text") >= F.lit(LEAST_LEFT) * F.col("__had")))
+    whole = F.col("__line_n_dropped") == 0
+    left = linedup.dedup_lines(had, prefix="__line_").filter(whole | (F.length("text") >= F.lit(LEAST_LEFT) * F.col("__had")))
     if "n_chars" in docs.columns:
-        left = left.withColumn("n_chars", F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
+        left = left.withColumn("n_chars", F.when(whole, F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
     return left.select(docs.columns)
 
 
@@ -51,12 +52,14 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every text; ``text`` is what they decode to."""
+    """``n_tokens`` and ``ids`` of every text (``bpe_n_tokens``, ``bpe_ids`` where a column of the documents has that name); ``text`` is
+    what they decode to."""
     apply_sql_conf(spark)
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    both = bpe.decode(bpe.encode(docs, path), path)
-    text = F.when(F.col("text").isNotNull(), F.col("decoded").cast("string")).alias("text")
-    return both.select(*(text if c == "text" else F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "decoded")), F.size("ids").cast("long").alias("n_tokens"), "ids")
+    both = bpe.decode(bpe.encode(docs, path, ids="__ids"), path, ids="__ids", out="__decoded")
+    text = F.when(F.col("text").isNotNull(), F.col("__decoded").cast("string")).alias("text")
+    name = lambda c: f"bpe_{c}" if c in docs.columns else c
+    return both.select(*(text if c == "text" else F.col(f"`{c}`") for c in docs.columns), F.size("__ids").cast("long").alias(name("n_tokens")), F.col("__ids").alias(name("ids")))
 
 
 STAGES = [("quality_rules", quality_rules), ("line_dedup", line_dedup), ("minhash_neardup", minhash_neardup),
