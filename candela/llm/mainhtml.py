@@ -7,7 +7,11 @@ count as no text; text in an article or main element counts RAISE times, and the
 ends of a stretch belong to it.
 
 The largest stretch is kept, and with it all that surge in the same container: in articles if most of its text is in one, otherwise in the smallest
-div, article, main or body that holds its lines. Of the lines of a stretch that are outside of articles, those of links are left out.
+div, article, main or body that holds its lines; in the latter case also those outside of articles with a PEER-th of that text or more, wherever they
+are. Of the lines of a stretch that are outside of articles, those with hardly a word outside of links are left out.
+
+Words of class, id and role also stand on wrappers of a whole page ("has-sidebar"), so they hide no element that holds WRAPS of the text left
+when elements alone decide, if that is more than a stretch.
 
 An article inside of furniture is furniture, unless the furniture was never closed: neither it nor, by its end tag, an element of
 the same name around it.
@@ -30,6 +34,9 @@ from pyspark.sql import types as T
 WINDOW = 3
 SURGE = 60      # characters in a window that start a stretch of text
 RAISE = 2       # what a character in an article counts
+PEER = 2
+WRAPS = 0.75
+LEAST_PLAIN = 12    # characters outside of links that make a line of a stretch text
 #: Fixed lists of element names and of words in class, id and role.
 HIDDEN = "script style noscript template svg head title iframe object select textarea button canvas math"
 FURNITURE = "nav footer aside form menu dialog header"
@@ -100,10 +107,12 @@ class Page:
     """``lines``: (text, characters outside of links, whether furniture, whether in an article, innermost element) of each line with
     text; of each element, its name and the element around it (-1: none)."""
 
-    def __init__(self, html: str):
+    def __init__(self, html: str, by_words: bool = True, wrappers: frozenset[int] = frozenset()):
+        self.by_words = 0     # elements that words hide
         self.lines: list[tuple[str, int, bool, bool, int]] = []
         self.names: list[str] = []
         self.parents: list[int] = []
+        self.tags: list[int] = []       # number of an element's start tag
         tags = list(_MARKUP.finditer(html))
         never: set[int] | None = None
         stack: list[tuple[str, bool, int, int]] = []    # open elements that are not void: whether each hides its text, numbers of element and tag
@@ -165,8 +174,13 @@ class Page:
                 elif name in ("p", "li") and stack and stack[-1][0] == name:
                     pop()
                 self.names.append(name)
+                self.tags.append(number)
                 self.parents.append(stack[-1][2] if stack else -1)
-                stack.append((name, name in _HIDDEN or _furniture(name, m["attrs"], articles > 0), len(self.names) - 1, number))
+                hides = name in _HIDDEN or _furniture(name, m["attrs"], articles > 0)
+                if hides and name not in _HIDDEN and name not in _FURNITURE:
+                    hides = by_words and len(self.names) - 1 not in wrappers
+                    self.by_words += hides
+                stack.append((name, hides, len(self.names) - 1, number))
                 count(stack[-1], 1)
         text(html[at:])
         end_line()
@@ -193,8 +207,28 @@ class Page:
         return out
 
 
+def read(html: str) -> Page:
+    """A page whose wrappers hide nothing."""
+    page = Page(html)
+    if not page.by_words:
+        return page
+    bare = Page(html, by_words=False)
+    held = [0] * (len(bare.names) + 1)
+    for _, plain, shut, _, x in bare.lines:
+        if not shut:
+            held[x] += plain
+    whole = sum(held)
+    for i in reversed(range(len(bare.names))):
+        held[bare.parents[i]] += held[i]
+    wrappers = {i for i in range(len(bare.names)) if held[i] >= WRAPS * whole and held[i] >= 2 * SURGE}
+    if wrappers:    # what was never closed wraps by accident
+        never = _never_closed(list(_MARKUP.finditer(html)))
+        wrappers = {i for i in wrappers if bare.tags[i] not in never}
+    return Page(html, wrappers=frozenset(wrappers)) if wrappers else page
+
+
 def main_text(html: str | None) -> str:
-    page = Page(html or "")
+    page = read(html or "")
     lines = [x for x in page.lines if not x[2]]
     article = [x[3] for x in lines]
     weight = [(RAISE if x[3] else 1) * x[1] if 2 * x[1] > len(x[0]) else 0 for x in lines]
@@ -224,7 +258,11 @@ def main_text(html: str | None) -> str:
     if len(stretches) > 1:
         near = page.within(page.container([lines[i][4] for i in inside if weight[i]]))
         keep.update(i for x in stretches for i in range(*x) if (article[i] if marked else near[lines[i][4]]))
-    return "\n".join(lines[i][0] for i in sorted(keep) if weight[i] or article[i])
+        least = sum(weight[i] for i in keep)
+        for x in stretches:
+            if not marked and PEER * sum(weight[i] for i in range(*x)) >= least and not any(article[i] for i in range(*x)):
+                keep.update(range(*x))
+    return "\n".join(lines[i][0] for i in sorted(keep) if weight[i] or article[i] or lines[i][1] >= LEAST_PLAIN)
 
 
 def extract(pages: DataFrame, html: str = "html", text: str = "text") -> DataFrame:
