@@ -167,13 +167,15 @@ class WordEncoder(dict):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings of added tokens are found in a text before anything else: words that hold one go through the whole tokenizer
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)), re.I) if added else None
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype = "<u2" if self.width == 2 else "<u4"
         self.parts = _Parts(self.tokenizer.model, self.dtype)
 
     def __missing__(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word):
+        if _PLAIN.fullmatch(word) and not (self.added and self.added.search(word)):
             out = b"".join(map(self.parts.__getitem__, _PARTS.findall(word.lower())))
         else:
             out = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=self.dtype).tobytes()
@@ -229,7 +231,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for part, seq, blob in zip(*(batch.column(c).to_pylist() for c in ("part", "seq", "frame"))):
                 s = Segment(blob)
-                ends = s.ends.all()
+                ends = np.fromiter((s.ends[i] for i in range(s.n_docs)), np.int64, s.n_docs)   # by select
                 start = np.concatenate(([0], ends[:-1]))
                 wide = s.ids.astype("<u4")
                 crc = [zlib.crc32(wide[a:b].data) for a, b in zip(start, ends)]

@@ -65,7 +65,6 @@ def test_elias_fano_select():
 def test_stored_ids_equal_the_library(spark, monkeypatch):
     monkeypatch.setattr(idstore, "SEGMENT_IDS", 500)
     tok = Tokenizer.from_file(WORDS)
-    tok.encode_special_tokens = True
     texts = strange_texts(seed=8)
     rows = [(i * 3 - 40, t, "x") for i, t in enumerate(texts)] + [(5, "tie b", "y"), (5, "tie a", "y"), (5, "tie a", "y"), (None, "null id", None)]
     random.Random(1).shuffle(rows)
