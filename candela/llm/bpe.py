@@ -7,8 +7,8 @@ adjacent tokens encode to themselves, and all other neighbours come unchanged fr
 outside the window provably stays. Pieces are barriers, so a text is the concatenation of its pieces, and decoding
 concatenates token bytes up the same tree.
 
-Texts are cut into units (white-space runs and words with their leading space, where the pattern always cuts); a bounded per-worker
-memo keeps the ids of short units, so the usual word is encoded once per worker.
+Texts are cut into units (white-space runs and words with their leading space, where the pattern always cuts); a bounded memo
+keeps the ids of short units for a task, so the usual word is encoded once per task.
 
 Defined results: null and empty texts have no tokens and decode to no bytes; repeated rows are encoded alike; other
 columns pass through, those named like an output are replaced; an empty table gives an empty result.
@@ -191,6 +191,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             for part in K.chunks(batch, text):
                 got = encode_texts(part.column(text).to_pylist(), path)
                 yield pa.RecordBatch.from_arrays([*part.columns, got], names=[*part.schema.names, ids])
+        _units(path).clear()    # the worker lives on, beside other stages
+        K.release()
     return carried.mapInArrow(run, schema)
 
 

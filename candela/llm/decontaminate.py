@@ -94,6 +94,7 @@ def _places(docs: DataFrame, bits, window: int) -> DataFrame:
                     take = pa.array(r)
                     yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), pa.array(n_words[r]), pa.array(g[at].astype(np.int64)), pa.array(at - w.first[r]), pa.array(lo - w.first[r]), pa.array(ctx, pa.string())],
                                                      names=["id", "key", "n_words", "gram", "pos", "ctx_from", "ctx"])
+        K.release()
     return docs.mapInArrow(run, "id bigint, key bigint, n_words bigint, gram bigint, pos bigint, ctx_from bigint, ctx string")
 
 

@@ -1,15 +1,17 @@
 """Near-duplicate lines by a deletion-neighbourhood join (numbered operator 7), in DataFrame functions only.
 
-A line is its sequence of words (runs without white space). Lines of MIN_WORDS words or more are compared; shorter ones are left alone.
+A line is its sequence of words (runs without white space). Lines with a word are compared, whatever their length.
 A line goes if an earlier one, in the order (doc_id, text hash, line number), nulls last, has the same words, or, for
 lines of NEAR_WORDS or more, is within an edit distance of one word (a word changed, added or left out).
 
 1. Equal lines meet by a 128-bit hash; each distinct line is represented by its first place.
 2. A necessary test thins the rest: lines one edit apart share their first or their last half (by the shorter
-   one's count). Lines whose halves occur once are out: first by a bitmap of fixed size in a small table, then exactly.
+   one's count). Distinct lines whose halves occur once are out: first by a bitmap of fixed size in a small table, then exactly. Only
+   then are the others' words read again.
 3. The others emit their deletion variants as hashed keys: each with one word left out (marked with its place, for changed
-   words, and unmarked, for words left out), and the whole line, to meet the unmarked variants of longer lines. Lines that
-   meet under a key are one edit apart, so each needs only the key's first line: one aggregate per key and one
+   words, and unmarked, for words left out), and the whole line, to meet the unmarked variants of longer lines. A sequence's hash is the
+   exclusive or of the hashes of its words with their places, so all variants of a line come from one running sum, in time linear in
+   the line. Lines that meet under a key are one edit apart, so each needs only the key's first line: one aggregate per key and one
    join, linear in the variants, however many lines share a key.
 4. The edit distance of each line to the first one it met is verified on the words.
 
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from candela.llm.stages import written
 
-MIN_WORDS = 5
+MIN_WORDS = 1
 NEAR_WORDS = 10
 BITS = 24
 
@@ -53,10 +55,10 @@ def _once(value: Column) -> Column:
 
 
 def _lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """The place, even text, number of words and hashes of each line of MIN_WORDS words or more."""
+    """The place, even text, number of words and hashes of each line with a word."""
     rows = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
     lines = rows.select("id", F.xxhash64("text").alias("th"), F.posexplode(F.split(_even(F.col("text")), "\n")).alias("line_no", "line"))
-    lines = lines.select("*", _once(_size(F.col("line"))).alias("n")).filter(F.col("n") >= MIN_WORDS)
+    lines = lines.filter(F.col("line") != "").select("*", _once(_size(F.col("line"))).alias("n"))
     place = F.struct(F.col("id").isNull().alias("null_id"), "id", "th", "line_no").alias("place")
     return lines.select(place, "line", "n", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
@@ -75,35 +77,60 @@ def _half_keys() -> Column:
     return F.when(F.col("n") >= NEAR_WORDS, F.array(*keys)).otherwise(F.array().cast("array<bigint>"))
 
 
+#: Words whose running sums are kept in one array before arrays are joined: longer lines take time in proportion to their length.
+STRETCH = 128
+_STRETCHES = (f"transform(sequence(0, (n - 1) div {STRETCH}), b -> aggregate(slice(zip_with(here, before, (x, y) -> x ^ y), b * {STRETCH} + 1, {STRETCH}), array(0L), "
+              "(done, x) -> array_append(done, element_at(done, -1) ^ x)))")
+#: For each word the exclusive or of ``here`` and ``before`` of all earlier words: a line without the word then hashes to this, the sum
+#: of ``before`` over the line and the word's own ``before``, exclusively or-ed.
+_RUNNING = (f"aggregate({_STRETCHES}, named_struct('sum', 0L, 'out', cast(array() as array<bigint>)), (done, part) -> named_struct('sum', done.sum ^ element_at(part, -1), "
+            "'out', concat(done.out, transform(slice(part, 1, size(part) - 1), x -> x ^ done.sum))), done -> done.out)")
+
+
+def _at_places(words: str, earlier: int) -> Column:
+    """Hashes of the words with their places, or with the places ``earlier`` by so many."""
+    return F.transform(words, lambda x, i: F.xxhash64(i - earlier, x))
+
+
+def _pieces(hashes: DataFrame, column: str) -> DataFrame:
+    """A bitmap of 2^BITS bits of the hashes' top bits, as at most 2^(BITS - 6) rows."""
+    a = hashes.select(F.shiftrightunsigned(column, 64 - BITS).alias("a"))
+    bits = a.select(F.shiftright("a", 6).alias("piece"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("bit")).groupBy("piece").agg(F.bit_or("bit").alias("bits"))
+    return written(bits, "op7-bitmap")
+
+
+def _probed(rows: DataFrame, value: Column, pieces: DataFrame, flag: str) -> DataFrame:
+    """``rows`` with ``flag``: whether the bitmap has the hash."""
+    at = rows.withColumn("__a", F.shiftrightunsigned(value, 64 - BITS))
+    met = at.join(F.broadcast(pieces), F.shiftright("__a", 6) == F.col("piece"), "left")
+    return met.withColumn(flag, F.expr("coalesce(bits & shiftleft(1L, cast(__a & 63 as int)), 0L) <> 0L")).drop("__a", "piece", "bits")
+
+
 def _near(firsts: DataFrame, lines: DataFrame) -> DataFrame:
     """(h1, h2) of the distinct lines that have an earlier line one edit away."""
-    # halves that more than one distinct line has; also as a bitmap of 2^BITS bits in at most 2^(BITS - 6) rows
+    # halves that more than one distinct line has, then the lines that have one
     halves = written(firsts.select(F.explode("halves").alias("half")).groupBy("half").count().filter("count > 1").select("half"), "op7-halves")
-    at = F.shiftrightunsigned("half", 64 - BITS)
-    bit = lambda a: F.expr(f"shiftleft(1L, cast({a} & 63 as int))")
-    bitmap = written(halves.select(at.alias("a")).select(F.shiftright("a", 6).alias("piece"), bit("a").alias("bit")).groupBy("piece").agg(F.bit_or("bit").alias("bits")), "op7-bitmap")
-
-    some = lines.select("*", _once(_half_keys()).alias("halves")).filter(F.size("halves") > 0)
+    pieces = _pieces(halves, "half")
+    some = firsts.filter(F.size("halves") > 0).select("h1", "h2", "halves")
     for k in range(4):
-        a = F.shiftrightunsigned(F.col("halves")[k], 64 - BITS)
-        some = (some.withColumn(f"a{k}", a).join(F.broadcast(bitmap.withColumnsRenamed({"piece": f"p{k}", "bits": f"b{k}"})), F.shiftright(F.col(f"a{k}"), 6) == F.col(f"p{k}"), "left")
-                .withColumn(f"in{k}", F.expr(f"coalesce(b{k} & shiftleft(1L, cast(a{k} & 63 as int)), 0L) <> 0L")).drop(f"a{k}", f"p{k}", f"b{k}"))
-    some = some.filter("in0 or in1 or in2 or in3").groupBy("h1", "h2").agg(F.min(F.struct("place", "line")).alias("m"), F.any_value("halves").alias("halves"))
-    some = written(some.select("h1", "h2", "m.place", "m.line", "halves"), "op7-some")
-    true = some.select("h1", "h2", F.explode("halves").alias("half")).join(halves, "half").select("h1", "h2").distinct()
+        some = _probed(some, F.col("halves")[k], pieces, f"in{k}")
+    some = some.filter("in0 or in1 or in2 or in3").select("h1", "h2", F.explode("halves").alias("half")).join(halves, "half").select("h1", "h2").distinct()
+    some = written(some, "op7-some")
+    found = _probed(lines.select("place", "line", "h1", "h2"), F.col("h1"), _pieces(some, "h1"), "known").filter("known").join(some, ["h1", "h2"], "left_semi")
+    found = found.groupBy("h1", "h2").agg(F.min(F.struct("place", "line")).alias("m")).select("h1", "h2", "m.place", "m.line")
     # ranks in the order of places: a variant carries one number for its line
-    asked = some.drop("halves").join(true, ["h1", "h2"], "left_semi").repartitionByRange("place").sortWithinPartitions("place")
+    asked = found.repartitionByRange("place").sortWithinPartitions("place")
     asked = written(asked.select(F.monotonically_increasing_id().alias("rank"), "line", "h1", "h2"), "op7-asked")
 
     # variants: role 0 marked with the place left out, 1 unmarked (of the longer line), 2 the whole line (the shorter)
     cut = asked.select("rank", _once(F.transform(F.split("line", " "), lambda w: F.xxhash64(w))).alias("h"))
-    hashed = cut.select("rank", "h", F.size("h").alias("n"))
-    n = F.col("n")
-    without = F.transform(F.sequence(F.lit(1), n), lambda i: F.struct(i.alias("i"), F.xxhash64(F.concat(F.slice("h", F.lit(1), i - 1), F.slice("h", i + 1, n - i))).alias("v")))
-    left_out = hashed.select("rank", "n", F.inline(without))
+    at = cut.select("rank", F.size("h").alias("n"), _once(_at_places("h", 0)).alias("here"), _once(_at_places("h", 1)).alias("before"))
+    sums = at.select("rank", "n", "here", "before", _once(F.expr(_RUNNING)).alias("run"))
+    left_out = sums.select("rank", "n", F.expr("aggregate(before, 0L, (x, y) -> x ^ y)").alias("all"), F.posexplode(F.arrays_zip("run", "before")).alias("i", "x"))
+    left_out = left_out.select("rank", "n", "i", F.expr("all ^ x.run ^ x.before").alias("v"))
     keys = F.array(F.struct(F.lit(0).alias("role"), F.xxhash64(F.lit(0), "n", "i", "v").alias("key")), F.struct(F.lit(1).alias("role"), F.xxhash64(F.lit(1), "v").alias("key")))
     out = left_out.select(F.inline(keys), "rank")
-    whole = hashed.select(F.lit(2).alias("role"), F.xxhash64(F.lit(1), F.xxhash64("h")).alias("key"), "rank")
+    whole = at.select(F.lit(2).alias("role"), F.xxhash64(F.lit(1), F.expr("aggregate(here, 0L, (x, y) -> x ^ y)")).alias("key"), "rank")
     variants = written(out.union(whole), "op7-variants")  # hashed once, read for the first lines and for the join
     first = variants.groupBy("key", "role").agg(F.min("rank").alias("earlier")).withColumnsRenamed({"key": "k", "role": "r"})
     partner = F.element_at(F.array(F.lit(0), F.lit(2), F.lit(1)), F.col("role") + 1)
@@ -127,20 +154,22 @@ def within_one_edit(a: Column, b: Column) -> Column:
     return changed | added
 
 
-def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the lines that repeat an earlier one taken out of ``text``, and the counts ``n_lines`` and ``n_dropped``."""
+def dedup_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", prefix: str = "") -> DataFrame:
+    """``docs`` with the lines that repeat an earlier one taken out of ``text``, and the counts ``n_lines`` and ``n_dropped`` (their names
+    take ``prefix``; columns of ``docs`` with those names are replaced)."""
+    n_lines, n_dropped = prefix + "n_lines", prefix + "n_dropped"
     lines = _lines(docs, doc_id, text)
     firsts = written(lines.select("*", _half_keys().alias("halves")).groupBy("h1", "h2").agg(F.min("place").alias("place"), F.any_value("halves").alias("halves")), "op7-lines")
     kept = firsts.select("h1", "h2", "place").join(_near(firsts, lines), ["h1", "h2"], "left_anti")
     by_doc = kept.groupBy(F.col("place.id").alias("__id"), F.col("place.th").alias("__th")).agg(F.collect_list("place.line_no").alias("__kept"))
-    rows = docs.drop("n_lines", "n_dropped").withColumn("__doc", F.col(doc_id).cast("long")).withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
+    rows = docs.drop(n_lines, n_dropped).withColumn("__doc", F.col(doc_id).cast("long")).withColumn("__hash", F.xxhash64(F.col(text).cast("string")))
     out = rows.join(by_doc, F.col("__doc").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__th")), "left")
     whole = F.col(text).cast("string")
-    compared = F.filter(F.transform(F.split(_even(whole), "\n"), lambda line, i: F.when(_size(line) >= MIN_WORDS, i)), lambda i: i.isNotNull())
+    compared = F.filter(F.transform(F.split(_even(whole), "\n"), lambda line, i: F.when(line != "", i)), lambda i: i.isNotNull())
     goes = F.array_except(compared, F.coalesce("__kept", F.array().cast("array<int>")))
     out = out.select("*", _once(F.struct(F.split(whole, "\n").alias("every"), goes.alias("goes"))).alias("__l"))
     every, goes = F.col("__l.every"), F.col("__l.goes")
     stays = F.array_except(F.sequence(F.lit(0), F.size(every) - 1), goes)
     left = F.when(F.size(goes) == 0, whole).otherwise(F.array_join(F.transform(stays, lambda i: every[i]), "\n"))
-    return (out.withColumn("n_lines", F.coalesce(F.size(every), F.lit(0)).cast("long")).withColumn("n_dropped", F.coalesce(F.size(goes), F.lit(0)).cast("long"))
-            .withColumn(text, left).select(*docs.drop("n_lines", "n_dropped").columns, "n_lines", "n_dropped"))
+    return (out.withColumn(n_lines, F.coalesce(F.size(every), F.lit(0)).cast("long")).withColumn(n_dropped, F.coalesce(F.size(goes), F.lit(0)).cast("long"))
+            .withColumn(text, left).select(*docs.drop(n_lines, n_dropped).columns, n_lines, n_dropped))

@@ -60,3 +60,19 @@ def test_near_duplicates_go_from_four_fifths_on(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string, n_chars bigint")
     kept = sorted(r.doc_id for r in C.minhash_neardup(spark, df, None).collect())
     assert kept == sorted(d for d, *_ in rows if d % 10 != 1)
+
+
+def test_columns_of_documents_stay(spark, tmp_dir):
+    text = " ".join(f"word{i} and" for i in range(60)) + "."
+    rows = [(1, text, "en", 7, "t", "i", "l", "d", "x", "k"), (2, text + " more", None, None, None, None, None, None, None, None)]
+    cols = ["doc_id", "text", "lang", "n_chars", "n_tokens", "ids", "n_lines", "n_dropped", "decoded", "kept"]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_chars int, n_tokens string, ids string, n_lines string, n_dropped string, decoded string, kept string")
+    spark.createDataFrame([(1, "none of the words of the text are in this item, not one")], "item_id bigint, text string").write.parquet(f"{tmp_dir}/benchmark.parquet")
+    for name, stage in C.STAGES[:-1]:
+        got = stage(spark, docs, tmp_dir)
+        assert got.columns == cols, name
+        assert [r[4:] for r in got.orderBy("doc_id").collect()][0] == ("t", "i", "l", "d", "x", "k"), name
+    last = C.STAGES[-1][1](spark, docs, tmp_dir)
+    assert last.columns == [*cols, "bpe_n_tokens", "bpe_ids"]
+    first = last.orderBy("doc_id").first()
+    assert first.text == text and first.n_tokens == "t" and first.bpe_n_tokens == len(first.bpe_ids) > 60

@@ -96,6 +96,29 @@ def test_line_dedup_matches_brute_force(spark):
     assert out.columns[:4] == ["doc_id", "text", "id", "words"] and linedup.dedup_lines(df.limit(0)).count() == 0
 
 
+def test_long_lines_and_short_ones(spark):
+    """Two lines of 20,000 words with one word changed, one with a word left out; repeated lines of one or two words go as well."""
+    words = [f"w{i}" for i in range(20000)]
+    changed, shorter = list(words), words[:7000] + words[7001:]
+    changed[12345] = "other"
+    rows = [(1, " ".join(words)), (2, " ".join(changed) + "\nshort one\n\nx"), (3, " ".join(shorter)), (4, "short  one\nx\nnew"), (5, "short\n\n")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r.doc_id: (r.text, r.n_dropped) for r in linedup.dedup_lines(df).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("short one\n\nx", 1), 3: ("", 1), 4: ("new", 2), 5: ("short\n\n", 0)}
+
+
+def test_variant_hashes_are_those_of_the_shorter_line(spark):
+    for n in (1, 2, 127, 128, 129, 300):
+        df = spark.createDataFrame([(n, [1000 + i * i for i in range(n)])], "n int, h array<bigint>")
+        at = df.select("n", "h", linedup._at_places("h", 0).alias("here"), linedup._at_places("h", 1).alias("before"))
+        run = at.select("*", F.expr(linedup._RUNNING).alias("run"), F.expr("aggregate(before, 0L, (x, y) -> x ^ y)").alias("all"))
+        whole = lambda c: F.expr(f"aggregate({c}, 0L, (x, y) -> x ^ y)")
+        left = run.select("h", F.posexplode(F.expr("transform(run, (x, i) -> all ^ x ^ before[i])")).alias("i", "v"))
+        left = left.withColumn("short", F.expr("filter(h, (x, k) -> k <> i)")).withColumn("here", linedup._at_places("short", 0))
+        got = left.select("v", whole("here").alias("w")).collect()
+        assert len(got) == n and all(r.v == r.w for r in got)
+
+
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><ul><li><a href="/a">Home</a></li></ul></nav>
 <!-- x --><div class="top-ad">Buy now, this is a very long advert text that could pass for text, really long text it is.</div>
 <article><h1>Head &amp; line</h1><p><b>Bold start\n\t of   text<br><p>Second.</p><div class="share-bar">Share</div><p>A&nbsp;&lt;b&gt; &am</p></article>
@@ -140,3 +163,43 @@ def test_furniture_inside_the_text_does_not_end_it():
     for middle in (box, links, box + links + box):
         page = f"<body><div id=text><p>{LONG[0]}</p>{middle}<p>{LONG[1]}</p><p>{LONG[2]}</p></div>{links}{foot}</body>"
         assert mainhtml.main_text(page) == "\n".join(LONG), middle
+
+
+@pytest.mark.parametrize("attrs", ['class="has-sidebar"', 'class="no-sidebar"', "class='layout with-sidebar'", "class=social-science", 'class="search-results"',
+                                   'class="single-comments-open"', 'id="side"', 'role="search"'])
+def test_words_do_not_hide_a_wrapper(attrs):
+    body = "".join(f"<p>{x}</p>" for x in LONG)
+    side = "<div class=sidebar><p>A box beside the text that has words enough to surge if it were shown.</p></div>"
+    notes = "<div class=comments>" + "<div class=comment><p>A comment by a reader who has much to say about this page here.</p></div>" * 2 + "</div>"
+    for inner in (body, f"<article>{body}</article>", f"<main>{body}</main>", f"<div><div>{body}</div></div>"):
+        for page in (f"<div {attrs}>{inner}</div>", f"<div {attrs}>{inner}{side}</div>", f"<nav><a href=/>Home</a></nav><div {attrs}>{side}{inner}{notes}</div><footer>The end</footer>"):
+            assert mainhtml.main_text(f"<html><body>{page}</body></html>") == "\n".join(LONG), page
+    assert mainhtml.main_text(f"<body><div>{body}</div><div {attrs}><p>{LONG[0]}</p></div></body>") == "\n".join(LONG)
+
+
+def test_sibling_texts_and_linked_paragraphs_stay():
+    links = "<ul>" + "".join(f"<li><a href={i}>Another story of ours, number {i}</a></li>" for i in range(4)) + "</ul>"
+    more = ["A second part of the text in an element of its own, of about the same length.", "It has some lines as well, and these would be lost with the smaller part.",
+            "So all parts that are long enough are kept, whatever element they are in here."]
+    parts = ["".join(f"<p>{x}</p>" for x in p) for p in (LONG, more)]
+    for page in (f"<body><div>{parts[0]}</div>{links}<div>{parts[1]}</div></body>", f"<body><div><div>{parts[0]}</div></div>{links}<section>{parts[1]}</section></body>"):
+        assert mainhtml.main_text(page) == "\n".join(LONG + more), page
+    linked = "Read <a href=1>this long story about something else entirely</a>, please, <a href=2>and then that one too</a>."
+    assert mainhtml.main_text(f"<div><p>{LONG[0]}</p><p>{linked}</p><p>{LONG[1]}</p><p>{LONG[2]}</p></div>") == "\n".join(
+        [LONG[0], "Read this long story about something else entirely, please, and then that one too.", *LONG[1:]])
+
+
+def test_windows_follow_their_definition():
+    """Pages of plain paragraphs in one element against the definition: a stretch goes from a line of text whose window sum surges to the
+    first window without text."""
+    rnd = random.Random(3)
+    for _ in range(300):
+        size = [rnd.choice([0, 0, 5, 30, 70]) for _ in range(rnd.randint(1, 30))]
+        lines = [("x" * n, n) if n else ("link", 0) for n in size]
+        page = "<body><div>" + "".join(f"<p>{t}</p>" if n else f"<p><a href=a>{t}</a></p>" for t, n in lines) + "</div></body>"
+        sums = [sum(size[i:i + 3]) for i in range(len(size))]
+        kept, inside = [], False
+        for i, (t, n) in enumerate(lines):
+            inside = sums[i] > 0 and (inside or (sums[i] >= mainhtml.SURGE and n > 0))
+            kept += [t] if inside and n else []
+        assert mainhtml.main_text(page) == "\n".join(kept or [t for t, _ in lines]), page
