@@ -7,8 +7,8 @@ adjacent tokens encode to themselves, and all other neighbours come unchanged fr
 outside the window provably stays. Pieces are barriers, so a text is the concatenation of its pieces, and decoding
 concatenates token bytes up the same tree.
 
-Texts are cut into units (white-space runs and words with their leading space, where the pattern always cuts); a bounded memo
-keeps the ids of short units for a task, so the usual word is encoded once per task.
+Texts are cut into units (white-space runs and words with their leading space, where the pattern always cuts); a bounded per-worker
+memo keeps the ids of short units, so the usual word is encoded once per worker.
 
 Defined results: null and empty texts have no tokens and decode to no bytes; repeated rows are encoded alike; other
 columns pass through, those named like an output are replaced; an empty table gives an empty result.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ UNIT = re.compile(f" ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 PIECE = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 LEAF = 24
 MEMO, MEMO_LENGTH = 800_000, 48
+#: Units that a worker keeps from task to task, the earliest met: the usual words.
+KEPT = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -133,10 +136,17 @@ class Units(dict):
         out = np.array(ids, dtype="<i4").tobytes()
         if len(unit) <= MEMO_LENGTH:
             if len(self) >= MEMO:
-                self.clear()
+                self.trim(MEMO // 2)
             self[unit] = out
         return out
 
+    def trim(self, most: int) -> None:
+        """Keep the ``most`` units that were met first."""
+        if len(self) > most:
+            first = dict(islice(self.items(), most))
+            self.clear()
+            self.update(first)
+
 
 _LOADED: dict[str, Units] = {}
 _TOKENS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
@@ -191,7 +201,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
             for part in K.chunks(batch, text):
                 got = encode_texts(part.column(text).to_pylist(), path)
                 yield pa.RecordBatch.from_arrays([*part.columns, got], names=[*part.schema.names, ids])
-        _units(path).clear()    # the worker lives on, beside other stages
+        _units(path).trim(KEPT)    # the worker lives on, beside other stages
         K.release()
     return carried.mapInArrow(run, schema)
 
