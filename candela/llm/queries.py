@@ -95,8 +95,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def _oracles() -> dict[str, str]:
-    from candela.llm import chat, hardneg, merkle, vecdup
-    return {"op2_chat_rotation": chat.ORACLE, "op11_hard_negatives": hardneg.ORACLE, "op12_vector_neardup": vecdup.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
+    from candela.llm import chat, hardneg, merkle, oracles, vecdup
+    return {"op1_decontaminate": oracles.DECONTAMINATE, "op2_chat_rotation": chat.ORACLE, "op4_minhash_neardup": oracles.NEARDUP, "op6_quality_rules": oracles.QUALITY,
+            "op7_line_dedup": oracles.LINES, "op11_hard_negatives": hardneg.ORACLE, "op12_vector_neardup": vecdup.ORACLE, "op13_merkle_manifest": merkle.ORACLE}
 
 
 ORACLES: dict[str, str] = _oracles()
