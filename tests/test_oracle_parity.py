@@ -24,8 +24,7 @@ def con():
 import __spark_entry__ as E  # noqa: E402
 
 #: Queries without SQL, each tested against a brute-force version, a library or an exact round trip.
-NO_SQL = {"op1_decontaminate", "op3_elias_fano_ids", "op4_minhash_neardup", "op5_hypergeometric_shards", "op6_quality_rules", "op7_line_dedup",
-          "op8_html_main_text", "op9_byte_bpe", "op10_pitman_yor_scores", "pipeline"}
+NO_SQL = {"op3_elias_fano_ids", "op5_hypergeometric_shards", "op8_html_main_text", "op9_byte_bpe", "op10_pitman_yor_scores", "pipeline"}
 NAMES = sorted(E.oracle_sql())
 
 
