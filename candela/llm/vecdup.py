@@ -10,7 +10,8 @@
    of the suffix norms, and a pair of rows stops when that cannot reach the threshold. What is left is decided by the cosine of the
    vectors as they came, in double precision.
 5. A tile pair returns the number of links of each row and a star for each component of its links, at most as many rows as it holds,
-   so a crowd of near copies is not expanded; components are taken over the stars.
+   so a crowd of near copies is not expanded; components are taken over the stars. A class's name begins with its smallest id, so the
+   smallest name of a component tells its id.
 
 Defined results: rows with a null label, and vectors that are null, empty, zero or hold null or non-finite components link with nothing; so do
 vectors of different lengths with each other. Repeated rows are rows: each gets a result and counts as a link of the others. Components
@@ -37,8 +38,10 @@ CUTS = (8, 16, 32)
 STRIP, GATHER = 256, 1 << 15
 #: Bounds are taken with this margin; the last test is exact.
 MARGIN = 1e-9
-#: Bytes of a class key: two 64-bit hashes in hexadecimal.
+#: Characters of a class key, two 64-bit hashes in hexadecimal, and of a class name, its smallest id and the key.
 KEY = 32
+NAME = 17 + KEY
+_LEAST = -1 << 63
 
 
 def _keyed(rows: DataFrame, id_col: str, vec: str, label: str) -> DataFrame:
@@ -49,6 +52,18 @@ def _keyed(rows: DataFrame, id_col: str, vec: str, label: str) -> DataFrame:
     return rows.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.when(ok, key).alias("cls"), g.alias("label"), v.alias("vec"))
 
 
+def _name(first, key):
+    """A class name: in the order of the smallest ids, no id last."""
+    digits = F.lpad(F.hex(first.bitwiseXOR(F.lit(_LEAST))), 16, "0")
+    return F.concat(F.when(first.isNull(), F.lit("1" + "0" * 16)).otherwise(F.concat(F.lit("0"), digits)), key)
+
+
+def _named_id(name):
+    """The smallest id in a class name."""
+    digits = F.conv(F.substring(name, 2, 16), 16, -10).cast("bigint")
+    return F.when(F.substring(name, 1, 1) == "0", digits.bitwiseXOR(F.lit(_LEAST)))
+
+
 def scaled(x: np.ndarray) -> np.ndarray:
     """Rows divided by a power of two, so that squares neither overflow nor vanish; cosines stay the same to the last digit."""
     return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0.0))[1][:, None])
@@ -171,7 +186,7 @@ def _compared(pairs: DataFrame, tiles: DataFrame, axes, cosine: float) -> DataFr
             for r in range(batch.num_rows):
                 d, same = batch.column("d")[r].as_py(), batch.column("a")[r].as_py() == batch.column("b")[r].as_py()
                 x, y = (unpacked(batch.column(c)[r], d) for c in ("ax", "bx"))
-                key = np.concatenate([unpacked(batch.column(c)[r], 1, f"S{KEY}")[:, 0] for c in ("acls", "bcls")])
+                key = np.concatenate([unpacked(batch.column(c)[r], 1, f"S{NAME}")[:, 0] for c in ("acls", "bcls")])
                 nx, ny = (unpacked(batch.column(c)[r], 1, "<i8")[:, 0] for c in ("an", "bn"))
                 tx, ty = _turned(x, axes.value), _turned(y, axes.value)
                 forest, seen = Forest(np.arange(len(key))), np.zeros(len(key))
@@ -200,18 +215,17 @@ def near_vectors(rows: DataFrame, id_col: str = "vec_id", vec: str = "embedding"
     spark = rows.sparkSession
     keyed = _keyed(rows, id_col, vec, label)
     classes = keyed.filter("cls is not null").groupBy("cls", "label", "vec").agg(F.count("*").alias("n"), F.min("id").alias("first"))
+    classes = classes.select(_name(F.col("first"), F.col("cls")).alias("cls"), F.col("cls").alias("key"), "label", "vec", "n")
     classes = written(classes, "op12-classes")
     axes = spark.sparkContext.broadcast(principal_axes(classes))   # one matrix of the vectors' length, whatever the number of rows
     tiles = written(_tiles(classes, axes), "op12-tiles")
     found = written(_compared(_tile_pairs(tiles, cosine), tiles, axes, cosine), "op12-found")
     labels = components(found.filter("other is not null").select(F.col("cls").alias("a"), F.col("other").alias("b")))
     counts = found.filter("other is null").groupBy("cls").agg(F.sum("links").alias("links"))
-    named = classes.select("cls", "n", "first").join(labels, F.col("cls") == F.col("node"), "left").withColumn("top", F.coalesce("label", "cls"))
-    smallest = named.groupBy("top").agg(F.min("first").alias("component_id"))
-    known = named.join(smallest, "top").join(counts, "cls", "left").select(
-        "cls", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), "component_id")
+    named = classes.select("cls", "key", "n").join(labels, F.col("cls") == F.col("node"), "left").join(counts, "cls", "left")
+    known = named.select("key", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), _named_id(F.coalesce("label", "cls")).alias("component_id"))
     alone = F.col("cls").isNull()
-    return keyed.select("id", "cls").join(known, "cls", "left").select(
+    return keyed.select("id", "cls").join(known, F.col("cls") == F.col("key"), "left").select(
         "id", F.coalesce("links", F.lit(0)).alias("n_links"), F.when(alone, F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
 

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from candela.llm import hardneg as H
 from candela.llm import vecdup as V
@@ -184,3 +185,11 @@ def test_small_tables(spark, rows):
         assert got == brute_hard(rows, lambda i: i % 5 == 0)
     odd = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as q", "2 as d", "3 as g", "4 as id")
     assert sorted((tuple(r) for r in H.hard_negatives(odd, H.F.col("vec_id") % 5 == 0).collect()), key=str) == got
+
+
+def test_class_names_are_in_the_order_of_their_ids(spark):
+    ids = [None, 0, -1, 1, 7, -(1 << 63), (1 << 63) - 1, 1 << 40]
+    rows = spark.createDataFrame([(i,) for i in ids], "id bigint").withColumn("name", V._name(F.col("id"), F.lit("k" * V.KEY)))
+    got = rows.withColumn("back", V._named_id(F.col("name"))).orderBy("name").collect()
+    assert [r.id for r in got] == [*sorted(i for i in ids if i is not None), None]
+    assert all(r.id == r.back and len(r.name) == V.NAME for r in got)
