@@ -134,6 +134,11 @@ def write_finished(spark: SparkSession, path: str) -> bool:
     return any(x.getPath().getName() == "_SUCCESS" for x in _status(spark, path))
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder."""
+    return sorted(x.getPath().getName() for x in _status(spark, path) if x.isDirectory())
+
+
 def remove(spark: SparkSession, path: str) -> None:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -7,7 +7,7 @@ under the shared checkpoint folder, so a restarted or re-scheduled run resumes w
 continuous one.
 
 Keyed tables (silver clean, fact) are maintained in ``foreachBatch`` by merging the micro-batch
-into the date partitions it touches (parquet, dynamic partition overwrite from a finished copy). The merge keeps the
+into the date partitions it touches (parquet; finished partitions written beside the table take the old ones' place). The merge keeps the
 greatest sequence (upsert) or the earliest arrival (fact), so replaying a batch after a failure
 changes nothing and the outcome does not depend on arrival order: history loaded after live data
 is not dropped as late, which a watermark-bounded dedup would do.
@@ -27,7 +27,7 @@ from candela.operators.fact import to_fact
 from candela.operators.rollup import bucket_name, merge_partials, partials, ratios, rollup, sums
 from candela.operators.rules import KLINE_RULES, RuleSet
 from candela.operators.upsert import KLINE_KEYS, KLINE_SEQUENCE, latest_per_key
-from candela.session import remove, table_exists, write_finished
+from candela.session import folders, move, remove, table_exists, write_finished
 
 DATE_COL = "candle_date"
 
@@ -37,9 +37,9 @@ def merge_into_dates(batch: DataFrame, target: str, date_expr, keys: list[str],
     combine with the batch, overwrite just those partitions. The list of touched dates is the
     only thing brought to the driver (bounded by the days in one batch); it is returned.
 
-    An overwrite takes the old partitions away before the new files are in place. So the merged rows are first
-    written whole under ``target/_merge``, which readers skip; a run that finds such a copy finished carries
-    the overwrite through before anything else, and one that finds it unfinished drops it. One writer per table.
+    The merged partitions are written once, whole, under ``target/_merge``, which readers skip; each then takes its old one's
+    place by a change of name (on object stores a copy by the store itself). A run that finds a finished ``_merge`` carries the
+    rest of the moves through before anything else, and one that finds it unfinished drops it. One writer per table.
     Rows are ranged on (date, keys): a micro-batch of one day is several tasks."""
     spark = batch.sparkSession
     pending = f"{target.rstrip('/')}/_merge/rows"
@@ -56,15 +56,16 @@ def merge_into_dates(batch: DataFrame, target: str, date_expr, keys: list[str],
     else:
         merged = combine(b)
     order = [F.col(c) for c in (DATE_COL, *keys)]
-    merged.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").parquet(pending)
+    merged.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(DATE_COL).parquet(pending)
     _carry_through(spark, pending, target)
     return dates
 
 
 def _carry_through(spark: SparkSession, pending: str, target: str) -> None:
     if write_finished(spark, pending):
-        (spark.read.parquet(pending).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-              .partitionBy(DATE_COL).parquet(target))
+        for name in folders(spark, pending):    # a date that has moved is no longer here
+            move(spark, f"{pending}/{name}", f"{target.rstrip('/')}/{name}")
+        spark.catalog.refreshByPath(target)
     remove(spark, pending)
 
 

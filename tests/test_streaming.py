@@ -137,11 +137,14 @@ def test_merge_stopped_between_removal_and_new_files_loses_nothing(spark, tmp_di
     merge = lambda rs: ST.merge_into_dates(spark.createDataFrame(rs, schema), target, F.to_date("at"), ["symbol", "at"], first)
     assert len(merge(rows)) == 2
     whole = sorted(spark.read.parquet(target).collect())
-    spark.read.parquet(target).write.parquet(f"{target}/_merge/rows")   # as a finished copy would be
-    remove(spark, f"{target}/{ST.DATE_COL}=2024-06-01")
-    assert spark.read.parquet(target).count() == 1
-    merge(rows[:3])
-    assert sorted(spark.read.parquet(target).collect()) == whole
+    for moved in ([], ["2024-06-02"]):     # stopped at the first date, or when another one had moved
+        spark.read.parquet(target).write.partitionBy(ST.DATE_COL).parquet(f"{target}/_merge/rows")   # as a finished copy would be
+        for day in moved:
+            remove(spark, f"{target}/_merge/rows/{ST.DATE_COL}={day}")
+        remove(spark, f"{target}/{ST.DATE_COL}=2024-06-01")
+        assert spark.read.parquet(target).count() == 1
+        merge(rows[:3])
+        assert sorted(spark.read.parquet(target).collect()) == whole
     # an unfinished copy is dropped
     spark.createDataFrame(rows[:1], schema).write.parquet(f"{target}/_merge/rows")
     remove(spark, f"{target}/_merge/rows/_SUCCESS")
