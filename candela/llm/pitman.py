@@ -5,11 +5,12 @@ the known words and one unknown. The context of a word is the word before it, kn
 word that precedes another has a restaurant of its own, however rare.
 
 Seating (Chinese restaurant, discounts from the counts of counts): for a word and a context only its number of customers and tables matter. A Gibbs
-sweep takes all customers of a (context, word) section away, its tables and their root customers with them, and seats them again one after the
-other, given the rest: with t tables and j customers seated, the next opens a table with odds (strength + discount * T) * P_root(word) to
-j - discount * t. Each table is a customer of the root, where the word's section is seated likewise. After BURN_IN sweeps, the
-predictive probabilities of the following SAMPLES sweeps are averaged. Three things are approximate: sections of one sweep are
-seated given the sums of the sweep before, customers past the 32nd by jumps to the next new table, and discounts stay as first set.
+sweep takes all customers of a (context, word) section away, its tables and their root customers with them, and draws its tables anew given the
+rest: t tables of c customers have odds S(c, t) * prod over i < t of (strength + discount * (T + i)) * P_root(word after i more tables), with the
+generalised Stirling numbers S of the discount and the other tables T of the context. Each table is a customer of the root, where the
+word's section is drawn likewise. After BURN_IN sweeps, the predictive probabilities of the following SAMPLES sweeps are averaged. Three things
+are approximate: sections of one sweep are drawn given the sums of the sweep before, sections of more than EXACT customers are
+seated in turn by jumps to the next new table, and discounts stay as first set.
 
 Distribution: texts become flushes (a flush is some million tokens: its words, and its tokens as numbers of them). Of a flush each distinct
 (word, context) pair goes once to the group of its word; a word of more than PART_TOKENS training tokens is dealt in parts by context, as many as
@@ -42,6 +43,7 @@ GROUP_TOKENS = 3_200_000
 FLUSH_TOKENS = 2_400_000
 BURN_IN, SAMPLES = 1, 2
 STRENGTH = 1.0
+EXACT = 256                      # sections of so many customers are drawn from their exact conditional
 SEED = 29
 END = np.uint64(0x5E0FD0C5E0FD0C11)   # the end token's hash
 
@@ -272,6 +274,38 @@ def seat(customers: np.ndarray, odds: np.ndarray, discount: float, rng, per_tabl
     return tables
 
 
+def _stirling(discount: float, n: int) -> np.ndarray:
+    """Logarithms of the generalised Stirling numbers: [c, t] for c customers at t tables."""
+    out = np.full((n + 1, n + 1), -np.inf)
+    out[0, 0] = 0.0
+    t = np.arange(1, n + 1)
+    for c in range(n):
+        with np.errstate(divide="ignore"):
+            out[c + 1, 1:] = np.logaddexp(out[c, :-1], np.log(np.maximum(c - discount * t, 0)) + out[c, 1:])
+    return out
+
+
+def draw(customers: np.ndarray, others: np.ndarray, discount: float, parent, rng) -> np.ndarray:
+    """Tables of sections given the ``others`` tables of their restaurants; ``parent(sections, i)`` is the parent's probability of a section's
+    word after i more of its tables."""
+    tables = (customers > 0).astype(np.int64)
+    many = np.flatnonzero(customers > EXACT)
+    if len(many):
+        p = parent(many, np.zeros(1))[:, 0]
+        tables[many] = seat(customers[many], (STRENGTH + discount * others[many]) * p, discount, rng, discount * p)
+    some = np.flatnonzero((customers > 1) & (customers <= EXACT))
+    some = some[np.argsort(customers[some], kind="stable")]
+    ways = _stirling(discount, int(customers[some].max(initial=1)))
+    for c in np.unique(customers[some]):
+        a, b = np.searchsorted(customers[some], [c, c + 1])
+        for lo in range(a, b, 1 + 500_000 // c):
+            rows, i = some[lo:min(b, lo + 1 + 500_000 // c)], np.arange(c, dtype=float)
+            odds = ways[c, 1:c + 1] + np.cumsum(np.log(STRENGTH + discount * (others[rows, None] + i)) + np.log(np.maximum(parent(rows, i), 1e-300)), axis=1)
+            share = np.cumsum(np.exp(odds - odds.max(axis=1, keepdims=True)), axis=1)
+            tables[rows] = 1 + (share < rng.random(len(rows))[:, None] * share[:, -1:]).sum(axis=1)
+    return tables
+
+
 class Chain:
     """The seats of a group: tables ``t`` of its sections, root tables ``s`` of its words. ``shared`` has the sums over all groups."""
 
@@ -283,23 +317,34 @@ class Chain:
         else:
             self.t, self.s = (x.astype(np.int64) for x in _unpack(seats, "<u4", "<u4"))
 
-    def root(self, shared: dict, own: np.ndarray | int = 0) -> np.ndarray:
-        """The root's probability of each section's word, without ``own`` root customers of each section."""
+    def _root_counts(self, shared: dict) -> tuple[np.ndarray, np.ndarray]:
+        """Root customers and tables of each section's word."""
         f, n0, s = self.g.freq, self.g.per_word(self.t), self.s.copy()
         cut = f > 0
         n0[cut], s[cut] = shared["freq_n0"][f[cut] - 1], shared["freq_s"][f[cut] - 1]
-        n0 = n0[self.g.word] - own
-        s = np.minimum(s[self.g.word], n0)
+        return n0[self.g.word], s[self.g.word]
+
+    def root(self, shared: dict) -> np.ndarray:
+        """The root's probability of each section's word."""
+        n0, s = self._root_counts(shared)
         new = (STRENGTH + shared["d0"] * shared["root_tables"]) / (shared["types"] + 1)
-        return (np.maximum(n0 - shared["d0"] * s, 0) + new) / (STRENGTH + shared["root_customers"] - own)
+        return (np.maximum(n0 - shared["d0"] * s, 0) + new) / (STRENGTH + shared["root_customers"])
 
     def sweep(self, number: int, shared: dict, tables: np.ndarray) -> None:
-        """Seats all sections again; ``tables`` are those of each context over all groups."""
-        g, rng = self.g, np.random.default_rng([SEED, self.g.g, number])
-        p0, d1 = self.root(shared, self.t), shared["d1"]
-        self.t = seat(g.c, (STRENGTH + d1 * (tables[g.ctx] - self.t)) * p0, d1, rng, d1 * p0)
+        """Draws all sections again; ``tables`` are those of each context over all groups."""
+        g, rng, d0, own = self.g, np.random.default_rng([SEED, self.g.g, number]), shared["d0"], self.t
+        n0, s = self._root_counts(shared)
+        n0 = n0 - own
+        s = np.minimum(s, n0)
         base = 1 / (shared["types"] + 1)
-        self.s = seat(g.per_word(self.t), (STRENGTH + shared["d0"] * (shared["root_tables"] - self.s)) * base, shared["d0"], rng, shared["d0"] * base)
+        new = (STRENGTH + d0 * shared["root_tables"]) * base
+
+        def root(rows, i):
+            seated = n0[rows, None] + i
+            at = np.maximum(s[rows, None], seated > 0)
+            return (np.maximum(seated - d0 * at, 0) + new) / (STRENGTH + shared["root_customers"] - own[rows, None] + i)
+        self.t = draw(g.c, tables[g.ctx] - own, shared["d1"], root, rng)
+        self.s = draw(g.per_word(self.t), shared["root_tables"] - self.s, d0, lambda rows, i: np.full((len(rows), len(i)), base), rng)
 
     def predictive(self, shared: dict, tables: np.ndarray, customers: np.ndarray) -> np.ndarray:
         """P(word | context) of each section, by the sums of the sweep just made."""
@@ -342,8 +387,8 @@ def _shared(rows: DataFrame, history: list[dict], words: int) -> dict:
     out["d0"] = history[0]["d0"] if history else discount(out["roots1"], out["roots2"])
     out["types"] += int((out["freq_c"] > 0).sum())
     last = history[-1] if history else {"root_tables": out["root_tables"], "freq_s": np.minimum(1, out["freq_n0"])}
-    base = 1 / (out["types"] + 1)
-    out["freq_s"] = seat(out["freq_n0"], (STRENGTH + out["d0"] * np.maximum(0, last["root_tables"] - last["freq_s"])) * base, out["d0"], np.random.default_rng([SEED, len(history)]), out["d0"] * base)
+    base = lambda rows, i: np.full((len(rows), len(i)), 1 / (out["types"] + 1))
+    out["freq_s"] = draw(out["freq_n0"], np.maximum(0, last["root_tables"] - last["freq_s"]), out["d0"], base, np.random.default_rng([SEED, len(history)]))
     out["root_tables"] += int(out["freq_s"].sum())
     out["root_customers"] += int(out["freq_n0"].sum())
     return out
