@@ -197,8 +197,8 @@ def _groups(sent: DataFrame, groups: int) -> DataFrame:
     def run(batches):
         for row in _rows(batches):
             got = [(x["flush"], *_unpack(x["blob"], *_PAIRS)) for x in row.pop("blobs")]
-            contexts = reduce(np.union1d, (np.cumsum(x[4], dtype=np.uint64) for x in got))
-            words = reduce(np.union1d, (np.cumsum(x[1], dtype=np.uint64) for x in got))
+            contexts = np.unique(np.concatenate([np.cumsum(x[4], dtype=np.uint64) for x in got]))
+            words = np.unique(np.concatenate([np.cumsum(x[1], dtype=np.uint64) for x in got]))
             split = np.zeros(len(words), "<u4")
             ids, key_at, customers = [], [], []
             for _, k, q, per, ctx, number, c in got:
