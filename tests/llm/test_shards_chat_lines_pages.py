@@ -107,6 +107,37 @@ def test_long_lines_and_short_ones(spark):
     assert got == {1: (rows[0][1], 0), 2: ("short one\n\nx", 1), 3: ("", 1), 4: ("new", 2), 5: ("short\n\n", 0)}
 
 
+def test_words_are_left_out_only_where_lines_can_differ(spark, monkeypatch):
+    """A word changed, added or left out at any place is found, and only the half that no other line shares gives variants."""
+    tables, write = {}, linedup.written
+
+    def written(df, name):
+        tables[name] = write(df, name)
+        return tables[name]
+    monkeypatch.setattr(linedup, "written", written)
+
+    def edited(words, kind, i):
+        return words[:i] + {"changed": ["new"], "shorter": [], "added": ["new", *words[i:i + 1]]}[kind] + words[i + 1:]
+    rows = []
+    for n in (10, 11, 40, 41):
+        for kind in ("changed", "shorter", "added"):
+            for i in range(0 if (n, kind) == (10, "shorter") else n + (kind == "added")):
+                words = [f"{n}{kind}{i}w{j}" for j in range(n)]
+                rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(edited(words, kind, i)))]
+    out = {r.doc_id: r.n_dropped for r in linedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert out == {i: i % 2 for i, _ in rows}
+    words = [f"w{j}" for j in range(41)]
+    pair = [(1, " ".join(words)), (2, " ".join(edited(words, "changed", 35))), (3, " ".join(f"x{j}" for j in range(41)))]
+    assert [r.n_dropped for r in linedup.dedup_lines(spark.createDataFrame(pair, "doc_id bigint, text string")).orderBy("doc_id").collect()] == [0, 1, 0]
+    assert tables["op7-variants"].count() == 2 * 21
+
+
+def test_white_space_at_the_ends_of_lines(spark):
+    rows = [(1, " a b\n \nc\t"), (2, "a  b \n\x0bc\n\f\r\n  "), (3, "a\tb\r\nc d"), (4, " c\nd e"), (5, "\n"), (6, "\u00a0\n\u00a0 ")]
+    got = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in linedup.dedup_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {1: (" a b\n \nc\t", 3, 0), 2: ("\f\r\n  ", 4, 2), 3: ("c d", 2, 1), 4: ("d e", 2, 1), 5: ("\n", 2, 0), 6: ("\u00a0", 2, 1)}
+
+
 def test_variant_hashes_are_those_of_the_shorter_line(spark):
     for n in (1, 2, 127, 128, 129, 300):
         df = spark.createDataFrame([(n, [1000 + i * i for i in range(n)])], "n int, h array<bigint>")
