@@ -14,13 +14,13 @@ BITS = 24
 
 def build(hashes: DataFrame, column: str):
     """A broadcast bitmap of 2^BITS bits with the bit of each hash's top bits set: or-ed in Spark as 64-bit pieces,
-    so at most 2^(BITS - 6) rows reach the driver."""
+    so at most 2^(BITS - 6) rows reach the driver, in one job whatever the number of partitions."""
     at = F.shiftrightunsigned(F.col(column), 64 - BITS)
     pieces = (hashes.select(F.shiftright(at, 6).alias("piece"), F.expr("1L").alias("one"), (at % 64).cast("int").alias("bit"))
               .groupBy("piece").agg(F.bit_or(F.expr("shiftleft(one, bit)")).alias("bits")))
     out = np.zeros(1 << (BITS - 6), dtype=np.uint64)
-    for r in pieces.toLocalIterator():
-        out[r["piece"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)
+    found = pieces.toArrow()
+    out[found.column("piece").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return hashes.sparkSession.sparkContext.broadcast(out)
 
 

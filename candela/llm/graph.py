@@ -1,19 +1,23 @@
 """Connected components of an undirected link table, as alternating large-star and small-star rounds.
 
 Everything stays in Spark tables; each round is written to the shared scratch folder, so lineage stays
-short. A round joins edges with one minimum per node (aggregated map-side), so a hub with very many
-links is a skewed join at most, which adaptive execution splits.
+short, in as many files as its rows ask for. A round joins edges with one minimum per node (aggregated
+map-side), so a hub with very many links is a skewed join at most, which adaptive execution splits.
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from candela.llm.stages import written
 
 
+#: A round's table has a file for so many rows, and FILES at least.
+FILE_ROWS, FILES = 1 << 16, 8
+
+
 class Forest:
     """Components of a bounded number of nodes inside a task, from the components ``lab`` on; ``links`` keeps one link for each time
     two of them join, so at most one less than there are nodes, however many links are added."""
@@ -46,19 +50,25 @@ def _with_low(pairs: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``links`` has columns a and b (any ordered type). Returns (node, label) for every node of a link, label the
     smallest node reachable."""
-    edges = written(links.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).distinct(), "links")
+    seen = Observation()
+    edges = links.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("other")).distinct()
+    edges = written(edges.observe(seen, F.count("*").alias("n")), "links")
+    n = seen.get["n"]
     while True:
+        # a round gives each edge's end one edge and each node one: twice as many at most
+        files = max(FILES, -(-2 * n // FILE_ROWS))
         both = edges.union(edges.select(F.col("other").alias("node"), F.col("node").alias("other")))
         large = _with_low(both).filter(F.col("other") > F.col("node")).select(F.col("other").alias("node"), F.col("low").alias("other"))
         large = large.filter("node <> other").distinct()
         s = _with_low(large)
         small = s.select(F.col("other").alias("node"), F.col("low").alias("other")).union(s.select("node", F.col("low").alias("other")))
-        after = written(small.filter("node <> other").distinct(), "links")
+        edges = written(small.filter("node <> other").distinct().coalesce(files), "links")
         # done when every node has one edge and no edge's end has an edge of its own
-        state = after.groupBy("node").count().agg(F.max("count").alias("most")).first()["most"]
-        chained = after.join(after.select(F.col("node").alias("n2")).distinct(), F.col("other") == F.col("n2"), "left_semi").limit(1).count()
-        edges = after
-        if (state or 1) == 1 and not chained:
+        ends = edges.select("node", F.lit(1).alias("own")).union(edges.select("other", F.lit(0)))
+        ends = ends.groupBy("node").agg(F.sum("own").alias("own"), F.min("own").alias("least"))
+        state = ends.agg(F.coalesce(F.sum("own"), F.lit(0)).alias("n"), F.count_if(F.expr("own > 1 or own = 1 and least = 0")).alias("open")).first()
+        n = state["n"]
+        if not state["open"]:
             break
     labels = edges.select("node", F.col("other").alias("label"))
-    return labels.union(labels.select(F.col("label").alias("node"), "label").distinct())
+    return labels.union(labels.select(F.col("label").alias("node"), "label").distinct().coalesce(files))

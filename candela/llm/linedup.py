@@ -98,10 +98,9 @@ def _at_places(words: str, earlier: int) -> Column:
 
 
 def _pieces(hashes: DataFrame, column: str) -> DataFrame:
-    """A bitmap of 2^BITS bits of the hashes' top bits, as at most 2^(BITS - 6) rows."""
+    """A bitmap of 2^BITS bits of the hashes' top bits, as at most 2^(BITS - 6) rows; broadcast as it is, once for all joins of a plan."""
     a = hashes.select(F.shiftrightunsigned(column, 64 - BITS).alias("a"))
-    bits = a.select(F.shiftright("a", 6).alias("piece"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("bit")).groupBy("piece").agg(F.bit_or("bit").alias("bits"))
-    return written(bits, "op7-bitmap")
+    return a.select(F.shiftright("a", 6).alias("piece"), F.expr("shiftleft(1L, cast(a & 63 as int))").alias("bit")).groupBy("piece").agg(F.bit_or("bit").alias("bits"))
 
 
 def _probed(rows: DataFrame, value: Column, pieces: DataFrame, flag: str) -> DataFrame:

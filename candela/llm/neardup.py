@@ -355,7 +355,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     links = written(_confirmed(written(_neighbours(leaves, percent), "op4-pairs"), docs, classes, id_col, text, percent), "op4-links")
     labels = written(components(links), "op4-labels")
     late = written(_across(leaves, classes, labels, docs, id_col, text, percent), "op4-late")
-    labels = written(components(links.union(late)), "op4-labels")
+    # what is linked so far is stars by now
+    labels = written(components(labels.select(F.col("node").alias("a"), F.col("label").alias("b")).union(late)), "op4-labels")
 
     named = classes.select("cls", "first").join(labels, F.col("cls") == F.col("node"), "left").select("cls", "first", F.coalesce("label", "cls").alias("label"))
     smallest = named.groupBy("label").agg(F.min("first").alias("top"))
