@@ -202,8 +202,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 got = encode_texts(part.column(text).to_pylist(), path)
                 yield pa.RecordBatch.from_arrays([*part.columns, got], names=[*part.schema.names, ids])
         _units(path).trim(KEPT)    # the worker lives on, beside other stages
-        K.release()
-    return carried.mapInArrow(run, schema)
+    return carried.mapInArrow(K.handing_back(run), schema)
 
 
 def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
@@ -221,7 +220,7 @@ def decode(docs: DataFrame, path: str, ids: str = "ids", out: str = "decoded") -
                 part = batch.slice(lo, hi - lo)
                 yield pa.RecordBatch.from_arrays([*part.columns, decode_ids(part.column(ids), path)], names=[*part.schema.names, out])
                 lo = hi
-    return carried.mapInArrow(run, schema)
+    return carried.mapInArrow(K.handing_back(run), schema)
 
 
 def digests(encoded: DataFrame, ids: str = "ids", decoded: str = "decoded") -> list:

@@ -55,7 +55,7 @@ def _windows(bench: DataFrame, id_col: str, text_col: str, window: int) -> DataF
                 if out:
                     yield pa.RecordBatch.from_pylist(out, schema=pa.schema([("item_id", pa.string()), ("wtext", pa.string()), ("n", pa.int32()), ("grams", pa.list_(pa.int64()))]))
 
-    return items.mapInArrow(run, "item_id string, wtext string, n int, grams array<bigint>")
+    return items.mapInArrow(K.handing_back(run), "item_id string, wtext string, n int, grams array<bigint>")
 
 
 def _corpus_counts(docs: DataFrame, bits) -> DataFrame:
@@ -68,7 +68,7 @@ def _corpus_counts(docs: DataFrame, bits) -> DataFrame:
                     h, c = np.unique(g[ok & bitmap.holds(bits.value, g)], return_counts=True)
                     if len(h):
                         yield pa.RecordBatch.from_arrays([pa.array(h.astype(np.int64)), pa.array(c.astype(np.int64))], names=["gram", "df"])
-    return docs.select("text").mapInArrow(run, "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
+    return docs.select("text").mapInArrow(K.handing_back(run), "gram bigint, df bigint").groupBy("gram").agg(F.sum("df").alias("df"))
 
 
 def _places(docs: DataFrame, bits, window: int) -> DataFrame:
@@ -94,8 +94,7 @@ def _places(docs: DataFrame, bits, window: int) -> DataFrame:
                     take = pa.array(r)
                     yield pa.RecordBatch.from_arrays([ids.take(take), keys.take(take), pa.array(n_words[r]), pa.array(g[at].astype(np.int64)), pa.array(at - w.first[r]), pa.array(lo - w.first[r]), pa.array(ctx, pa.string())],
                                                      names=["id", "key", "n_words", "gram", "pos", "ctx_from", "ctx"])
-        K.release()
-    return docs.mapInArrow(run, "id bigint, key bigint, n_words bigint, gram bigint, pos bigint, ctx_from bigint, ctx string")
+    return docs.mapInArrow(K.handing_back(run), "id bigint, key bigint, n_words bigint, gram bigint, pos bigint, ctx_from bigint, ctx string")
 
 
 def find_windows(docs: DataFrame, bench: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id",

@@ -102,8 +102,7 @@ def _signed(docs: DataFrame, id_col: str, text: str) -> DataFrame:
                     [part.column("id"), part.column("th"), pa.array(key, pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([r.tobytes() if k else None for k, r in zip(key, sig)], pa.binary()),
                      pa.array([r.tobytes() if k else None for k, r in zip(key, low)], pa.binary())], names=["id", "th", "cls", "n", "sig", "sketch"])
-        K.release()
-    return rows.mapInArrow(run, "id bigint, th bigint, cls binary, n bigint, sig binary, sketch binary")
+    return rows.mapInArrow(K.handing_back(run), "id bigint, th bigint, cls binary, n bigint, sig binary, sketch binary")
 
 
 def _leaves(classes: DataFrame) -> DataFrame:
@@ -169,7 +168,7 @@ def _pairs_with_hub(leaves: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*take.columns, pa.array(score, pa.int64())], names=["region", "hub", "hub_n", "hub_sketch", "score"])
 
     order = crowd.repartitionByRange("region", "path").sortWithinPartitions("region", "path")
-    proposed = order.mapInArrow(propose, "region bigint, hub binary, hub_n bigint, hub_sketch binary, score bigint")
+    proposed = order.mapInArrow(K.handing_back(propose), "region bigint, hub binary, hub_n bigint, hub_sketch binary, score bigint")
     hubs = proposed.groupBy("region").agg(F.max(F.struct("score", "hub", "hub_n", "hub_sketch")).alias("h")).select("region", "h.hub", "h.hub_n", "h.hub_sketch")
 
     def compare(batches):
@@ -180,7 +179,7 @@ def _pairs_with_hub(leaves: DataFrame, percent: int) -> DataFrame:
             ok = pa.array(_similar(both, n, x, x + batch.num_rows, percent))
             yield pa.RecordBatch.from_arrays([batch.column("cls").filter(ok), batch.column("hub").filter(ok)], names=["a", "b"])
     met = crowd.join(hubs, "region").filter("cls <> hub").select("cls", "n", "sketch", "hub", "hub_n", "hub_sketch")
-    return met.mapInArrow(compare, _PAIR)
+    return met.mapInArrow(K.handing_back(compare), _PAIR)
 
 
 def _neighbours(leaves: DataFrame, percent: int) -> DataFrame:
@@ -201,7 +200,7 @@ def _neighbours(leaves: DataFrame, percent: int) -> DataFrame:
             yield _pairs(both.column("cls"), x[ok], y[ok])
             last = batch.slice(batch.num_rows - 1)
     order = leaves.select("region", "path", "cls", "n", "sketch").repartitionByRange("region", "path").sortWithinPartitions("region", "path", "cls")
-    return _ordered(order.mapInArrow(run, _PAIR).union(_pairs_with_hub(leaves, percent)))
+    return _ordered(order.mapInArrow(K.handing_back(run), _PAIR).union(_pairs_with_hub(leaves, percent)))
 
 
 def _whole_groups(batches):
@@ -283,7 +282,7 @@ def _across(leaves: DataFrame, classes: DataFrame, labels: DataFrame, docs: Data
             for x, y in _candidates(rows, percent):
                 hit[x] = hit[y] = True
             yield rows.select(["region", "cls"]).filter(pa.array(hit))
-    near = written(_in_blocks(member, F.lit(1)).mapInArrow(flag, "region bigint, cls binary").distinct(), "op4-near")
+    near = written(_in_blocks(member, F.lit(1)).mapInArrow(K.handing_back(flag), "region bigint, cls binary").distinct(), "op4-near")
     sets = _sets(near.select("cls").distinct(), docs, classes, id_col, text)
     whole = member.join(near, ["region", "cls"]).join(sets, "cls")
 
@@ -303,7 +302,7 @@ def _across(leaves: DataFrame, classes: DataFrame, labels: DataFrame, docs: Data
                 forest.add(x[ok], y[ok])
                 for i, j in forest.links:
                     yield _pairs(cls, i + lo, j + lo)
-    return _ordered(_in_blocks(whole, F.sum(8 * F.col("n")) / BLOCK_BYTES).mapInArrow(link, _PAIR))
+    return _ordered(_in_blocks(whole, F.sum(8 * F.col("n")) / BLOCK_BYTES).mapInArrow(K.handing_back(link), _PAIR))
 
 
 def _sets(need: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -319,9 +318,8 @@ def _sets(need: DataFrame, docs: DataFrame, classes: DataFrame, id_col: str, tex
             for part in K.chunks(batch, "text"):
                 s = [x for x in shingle_sets(part.column("text")) if len(x)]
                 yield pa.RecordBatch.from_arrays([pa.array([_class_key(x) for x in s], pa.binary()), pa.array([x.tobytes() for x in s], pa.binary())], names=["cls", "items"])
-        K.release()
 
-    table = texts.mapInArrow(sets, "cls binary, items binary").join(need, "cls", "left_semi")
+    table = texts.mapInArrow(K.handing_back(sets), "cls binary, items binary").join(need, "cls", "left_semi")
     return written(table.groupBy("cls").agg(F.any_value("items").alias("items")), "op4-sets")
 
 

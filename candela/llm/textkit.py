@@ -26,21 +26,19 @@ _BYTE_VALUES = np.random.default_rng(20240229).integers(1, 2**63, 256, dtype=np.
 _GRAM = _U(0xD6E8FEB86659FD93)
 
 
-def _powers(base: np.uint64):
-    cache = np.ones(1, dtype=np.uint64)
+#: Bytes whose running sum is made at once, so that tables and sums stay small beside the executor's heap.
+SPAN_BYTES = 1 << 16
 
-    def get(n: int) -> np.ndarray:
-        nonlocal cache
-        if len(cache) < n:
-            with np.errstate(over="ignore"):
-                step = np.full(max(n, CHUNK_BYTES + 4096), base, dtype=np.uint64)
-                step[0] = 1
-                cache = np.multiply.accumulate(step)
-        return cache[:n]
-    return get
+
+def _powers(base: np.uint64) -> np.ndarray:
+    """base^0 .. base^SPAN_BYTES."""
+    with np.errstate(over="ignore"):
+        step = np.full(SPAN_BYTES + 1, base, dtype=np.uint64)
+        step[0] = 1
+        return np.multiply.accumulate(step)
 
 
-_power, _inverse_power = _powers(_MULT), _powers(_INV)
+_POWER, _INVERSE_POWER = _powers(_MULT), _powers(_INV)
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -115,14 +113,35 @@ class Words:
 
 
 def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of byte spans of ``buf`` from one running polynomial sum."""
+    """64-bit hashes of byte spans of ``buf``, in ascending order and without overlap, from running polynomial sums over
+    stretches of at most SPAN_BYTES; a longer span is summed up piece by piece."""
+    raw, lo = np.empty(len(start), dtype=np.uint64), 0
     with np.errstate(over="ignore"):
-        total = np.zeros(len(buf) + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_VALUES[buf] * _power(len(buf)), out=total[1:])
-        raw = (total[end] - total[start]) * _inverse_power(len(buf) + 1)[start]
+        while lo < len(start):
+            at = int(start[lo])
+            hi = int(np.searchsorted(end, at + SPAN_BYTES, "right"))
+            if hi <= lo:
+                raw[lo] = _long_sum(buf[at:end[lo]])
+                lo += 1
+                continue
+            part = buf[at:end[hi - 1]]
+            total = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum(_BYTE_VALUES[part] * _POWER[:len(part)], out=total[1:])
+            s, e = start[lo:hi] - at, end[lo:hi] - at
+            raw[lo:hi] = (total[e] - total[s]) * _INVERSE_POWER[s]
+            lo = hi
         return mix(raw + (end - start).astype(np.uint64) * _GRAM)
 
 
+def _long_sum(span: np.ndarray) -> np.uint64:
+    out, scale = 0, 1
+    for at in range(0, len(span), SPAN_BYTES):
+        part = span[at:at + SPAN_BYTES]
+        out += scale * int((_BYTE_VALUES[part] * _POWER[:len(part)]).sum(dtype=np.uint64))
+        scale = scale * int(_POWER[SPAN_BYTES]) % (1 << 64)
+    return _U(out % (1 << 64))
+
+
 def grams(h: np.ndarray, first: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(h)
     left = np.repeat(first[1:], np.diff(first)) - np.arange(n)  # words from here to the row's end
@@ -165,3 +184,11 @@ def release() -> None:
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it
         ctypes.CDLL(None).malloc_trim(0)
+
+
+def handing_back(run):
+    """``run`` over a task's batches, and ``release`` after it, when what its frame held is free as well."""
+    def whole(batches):
+        yield from run(batches)
+        release()
+    return whole
