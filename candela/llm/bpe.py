@@ -150,6 +150,7 @@ class Units(dict):
 
 _LOADED: dict[str, Units] = {}
 _TOKENS: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+K.keep(__name__, _LOADED, _TOKENS)
 
 
 def _units(path: str) -> Units:

@@ -186,9 +186,29 @@ def release() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+_KEPT: dict[str, tuple[dict, ...]] = {}
+
+
+def keep(module: str, *tables: dict) -> None:
+    """Name the tables that tasks of ``module`` leave in their worker for its later tasks."""
+    _KEPT[module] = tables
+
+
+def drop_others(module: str) -> None:
+    """Empty what other modules keep in this worker."""
+    for owner, tables in _KEPT.items():
+        if owner != module:
+            for t in tables:
+                t.clear()
+
+
 def handing_back(run):
-    """``run`` over a task's batches, and ``release`` after it, when what its frame held is free as well."""
+    """``run`` over a task's batches, without what other operators keep in the worker, and ``release`` after it, when what its
+    frame held is free as well."""
+    module = run.__module__
+
     def whole(batches):
+        drop_others(module)
         yield from run(batches)
         release()
     return whole

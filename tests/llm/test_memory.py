@@ -82,3 +82,30 @@ def test_tasks_hand_memory_back_when_their_words_are_gone(spark, monkeypatch):
         batches = iter([pa.RecordBatch.from_pydict(rows), pa.RecordBatch.from_pydict(rows)])
         assert sum(b.num_rows for b in run(batches)), i
         assert alive == [0] * (i + 1), i
+
+
+def test_other_operators_free_what_bpe_keeps(spark):
+    import public_tokenizers
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = Task()
+    bpe.encode(docs, path)
+    neardup._signed(docs, "id", "text")
+    batch = pa.RecordBatch.from_pydict({"id": [1], "th": [2], "text": ["one two three"]})
+    encode, sign = docs.runs
+    first = [b.column("ids").to_pylist() for b in encode(iter([batch]))]
+    memo = bpe._LOADED[path]
+    assert [b.column("ids").to_pylist() for b in encode(iter([batch]))] == first and bpe._LOADED[path] is memo
+    assert list(sign(iter([batch]))) and not bpe._LOADED
+    assert [b.column("ids").to_pylist() for b in encode(iter([batch]))] == first
+
+
+def test_workers_know_whose_tables_they_hold(spark):
+    """The functions reach a worker by value, the tables by name: a driver's memo stays in the driver."""
+    import public_tokenizers
+    from pyspark import cloudpickle
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    bpe._units(path)
+    docs = Task()
+    bpe.encode(docs, path)
+    neardup._signed(docs, "id", "text")
+    assert all(len(cloudpickle.dumps(run)) < 20_000 for run in docs.runs)
